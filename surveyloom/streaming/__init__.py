@@ -1,0 +1,2 @@
+"""Empty on purpose: the processing covered by this library is batch only,
+so there is no streaming source, window or state to express."""

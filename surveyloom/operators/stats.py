@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions import as_number
 from .common import attach_scalars, explode_stats, long_numeric, long_text, small_side
@@ -186,7 +187,7 @@ def f_tail(f: float, d1: float, d2: float) -> float:
     return 1.0 - math.exp(log_front) * _beta_fraction(b, a, y) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_survival(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """Tail probability of the F distribution; one row per feature passes here."""
     for f, d1, d2 in batches:

@@ -1 +1,254 @@
-"""Queries."""
+"""Model data preparation, models, and their application."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+from pyspark.sql.functions import col
+
+from ..operators import models as M
+from ..operators import prep as P
+from ..operators.stats import mutual_info
+from ..session import ensure_checkpoint_dir
+from .aggregates import DOCS, labelled, rounded
+from .registry import query
+
+FEATURES = ["n_chars", "text_length", "quality", "lang", "source"]
+
+
+def _quota_sql(table, y):
+    """Exact stratified quota: floors of the shares, rest to the largest remainders."""
+    return f"""(SELECT {y}, n, CAST(floor(x) AS BIGINT) + CAST(row_number() OVER (ORDER BY x - floor(x) DESC, CAST({y} AS VARCHAR))
+        <= k - SUM(floor(x)) OVER () AS BIGINT) AS q FROM (SELECT {y}, COUNT(*) AS n, ceil(0.3 * SUM(COUNT(*)) OVER ()) AS k,
+        ceil(0.3 * SUM(COUNT(*)) OVER ()) * COUNT(*) / SUM(COUNT(*)) OVER () AS x FROM {table} GROUP BY {y}))"""
+
+
+@query("l01_stratified_split_counts", f"""
+    SELECT toxic, q AS n_test, n - q AS n_train FROM {_quota_sql("labels", "toxic")}""")
+def _(t):
+    marked = P.stratified_split(t.labels, "toxic", 0.3, ["doc_id"])
+    return marked.groupBy("toxic").agg(F.count_if(col("is_test") == 1).alias("n_test"),
+                                       F.count_if(col("is_test") == 0).alias("n_train"))
+
+
+@query("l01b_stratified_split_many_classes", f"""
+    SELECT o_orderpriority, q AS n_test, n - q AS n_train FROM {_quota_sql("orders", "o_orderpriority")}""")
+def _(t):
+    marked = P.stratified_split(t.orders, "o_orderpriority", 0.3, ["o_orderkey"])
+    return marked.groupBy("o_orderpriority").agg(F.count_if(col("is_test") == 1).alias("n_test"),
+                                                 F.count_if(col("is_test") == 0).alias("n_train"))
+
+
+@query("l02_stratified_folds_counts", """
+    SELECT o_orderpriority, fold, COUNT(*) AS n FROM (SELECT o_orderpriority,
+      CAST((row_number() OVER (ORDER BY o_orderpriority) - 1) % 5 + 1 AS INTEGER) AS fold FROM orders) GROUP BY ALL""")
+def _(t):
+    folded = P.stratified_folds(t.orders, "o_orderpriority", 5, ["o_orderkey"])
+    return folded.groupBy("o_orderpriority", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
+GAPS = """(SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN n_chars END AS n_chars, nullif(source, 'src3') AS source
+    FROM documents)"""
+
+
+def gaps(t):
+    return t.documents.select("doc_id", F.when(col("doc_id") % 7 != 0, col("n_chars")).alias("n_chars"),
+                              F.nullif("source", F.lit("src3")).alias("source"))
+
+
+@query("l04_impute_learned_on_train", f"""
+    WITH tr AS (SELECT * FROM {GAPS} WHERE doc_id % 3 <> 0)
+    SELECT doc_id, coalesce(CAST(n_chars AS DOUBLE), (SELECT quantile_cont(CAST(n_chars AS DOUBLE), 0.5) FROM tr)) AS n_chars,
+           coalesce(source, (SELECT source FROM tr WHERE source IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)) AS source
+    FROM {GAPS} WHERE doc_id % 3 = 0""")
+def _(t):
+    df = gaps(t)
+    fill = P.fit_imputers(df.filter("doc_id % 3 <> 0"), ["n_chars"], ["source"])
+    return P.impute(df.filter("doc_id % 3 = 0"), fill)
+
+
+@query("l05_one_hot_unseen_is_zero", f"""
+    SELECT doc_id, CAST(source IN (SELECT source FROM {GAPS} WHERE doc_id % 3 <> 0 AND source < 'src15') AS INTEGER) AS ones,
+           (SELECT COUNT(DISTINCT source) FROM {GAPS} WHERE doc_id % 3 <> 0 AND source < 'src15') AS slots
+    FROM {GAPS} WHERE source IS NOT NULL""")
+def _(t):
+    from pyspark.ml.functions import vector_to_array
+
+    df = gaps(t).filter("source IS NOT NULL")
+    fitted = M.fit_preprocessor(df.filter("doc_id % 3 <> 0 AND source < 'src15'"), [], ["source"])
+    hot = fitted.transform(df).select("doc_id", vector_to_array("features").alias("v"))
+    return hot.select("doc_id", F.aggregate("v", F.lit(0.0), lambda a, x: a + x).cast("int").alias("ones"),
+                      F.size("v").cast("bigint").alias("slots"))
+
+
+@query("l06_standard_scale", """
+    SELECT l_orderkey, l_linenumber, l_partkey,
+           round((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 6) AS l_quantity_scaled,
+           round((l_tax - avg(l_tax) OVER ()) / stddev_pop(l_tax) OVER (), 6) AS l_tax_scaled FROM lineitem""")
+def _(t):
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_tax")
+    out = P.standard_scale(li, ["l_quantity", "l_tax"]).drop("l_quantity", "l_tax")
+    return rounded(out, "l_quantity_scaled", "l_tax_scaled")
+
+
+@query("l07_class_weights", """
+    SELECT doc_id, toxic, round((SELECT COUNT(*) FROM labels) / (2 * COUNT(*) OVER (PARTITION BY toxic)), 6) AS class_weight
+    FROM labels""")
+def _(t):
+    return rounded(P.class_weights(t.labels.select("doc_id", "toxic"), "toxic"), "class_weight")
+
+
+@query("l07b_positive_weight", """
+    SELECT round(COUNT(*) FILTER (toxic = 0) / COUNT(*) FILTER (toxic = 1), 6) AS positive_weight FROM labels""")
+def _(t):
+    return rounded(P.positive_weight(t.labels, "toxic"), "positive_weight")
+
+
+def _minority(t):
+    return t.embeddings.select("vec_id", col("embedding").cast("array<double>").alias("v"),
+                               (col("label") == 3).cast("int").alias("y"))
+
+
+@query("l08_smote_balance", """
+    SELECT COUNT(*) FILTER (label <> 3) - COUNT(*) FILTER (label = 3) AS n_synthetic, CAST(0 AS BIGINT) AS off_segment
+    FROM embeddings""")
+def _(t):
+    """Classes become equal, and every synthetic row lies between a minority row
+    and one of its nearest minority neighbours."""
+    df = _minority(t)
+    made = P.smote(df, "y", "vec_id", "v", k=5)
+    a = df.filter("y = 1").select("vec_id", col("v").alias("xa"))
+    b = df.filter("y = 1").select(col("vec_id").alias("neighbour_id"), col("v").alias("xb"))
+    on_line = F.zip_with(F.zip_with("xa", "xb", lambda x, y: x + col("fraction") * (y - x)), "v", lambda p, q: F.abs(p - q))
+    checked = made.join(a, "vec_id").join(b, "neighbour_id").withColumn("gap", F.array_max(on_line))
+    return checked.agg(F.count(F.lit(1)).alias("n_synthetic"), F.count_if(
+        (col("gap") > 1e-9) | (col("fraction") < 0) | (col("fraction") >= 1)).alias("off_segment"))
+
+
+@query("l09_feature_set_table", """
+    WITH f AS (SELECT p_brand || '/' || p_type AS variable, max(p_size) > 48 AS is_engineered,
+                      min(p_size) < 2 AND NOT max(p_size) > 48 AS leaks FROM part GROUP BY 1)
+    SELECT 'full' AS feature_set, variable FROM f WHERE NOT is_engineered
+    UNION ALL SELECT 'full_plus_engineered', variable FROM f
+    UNION ALL SELECT 'no_leakage', variable FROM f WHERE NOT is_engineered AND NOT leaks
+    UNION ALL SELECT 'no_leakage_plus_engineered', variable FROM f WHERE is_engineered OR NOT leaks""")
+def _(t):
+    f = t.part.groupBy(F.concat_ws("/", "p_brand", "p_type").alias("variable")).agg(
+        (F.max("p_size") > 48).alias("is_engineered"), (F.min("p_size") < 2).alias("low"))
+    return P.feature_set_table(f.select("variable", "is_engineered"), f.filter("low AND NOT is_engineered"))
+
+
+@query("l10_build_xy", f"""
+    SELECT doc_id, n_chars, lang, toxic FROM (SELECT doc_id, n_chars, lang,
+      CASE WHEN doc_id % 4 <> 0 THEN toxic END AS toxic FROM {DOCS}) WHERE toxic IS NOT NULL""")
+def _(t):
+    df = labelled(t).withColumn("toxic", F.when(col("doc_id") % 4 != 0, col("toxic")))
+    return P.build_xy(df, ["n_chars", "lang", "absent"], "toxic", keep=["doc_id"])[0]
+
+
+# ---------------------------------------------------------------- models
+
+SMALL = {"forest": {"numTrees": 10}, "gbt": {"maxIter": 5}}
+
+
+def _scores(t, name, strategy="weighted"):
+    df = labelled(t)
+    cfg = M.ModelConfig(name, strategy, SMALL.get(name, {}))
+    fitted = M.make_pipeline(df, FEATURES, "toxic", "doc_id", cfg)
+    return rounded(M.predict_scores(fitted, df, ["doc_id", "toxic"]), "score")
+
+
+@query("m01_logistic_scores")
+def _(t):
+    return _scores(t, "logistic")
+
+
+@query("m02_tree_scores")
+def _(t):
+    return _scores(t, "tree")
+
+
+@query("m03_forest_scores")
+def _(t):
+    return _scores(t, "forest")
+
+
+@query("m04_gbt_scores")
+def _(t):
+    return _scores(t, "gbt")
+
+
+@query("m05_svc_scores")
+def _(t):
+    return _scores(t, "svc")
+
+
+@query("m06_pipeline_with_smote")
+def _(t):
+    return _scores(t, "logistic", "smote")
+
+
+@query("m07_scaled_margin", """
+    SELECT o_orderkey, round((o_totalprice - min(o_totalprice) OVER ()) / (max(o_totalprice) OVER () - min(o_totalprice) OVER ()
+           + 1e-9), 6) AS score FROM orders""")
+def _(t):
+    return rounded(P.min_max_scale(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "score"), "score").drop(
+        "o_totalprice")
+
+
+@query("m08_cross_validate")
+def _(t):
+    sets = {"full": FEATURES, "no_leakage": ["n_chars", "text_length", "lang"]}
+    return M.cross_validate(labelled(t), sets, "toxic", "doc_id", [M.ModelConfig("logistic", "weighted"),
+                                                                   M.ModelConfig("tree", "weighted")], k=2)
+
+
+@query("m09_grid_search")
+def _(t):
+    return M.grid_search(labelled(t), ["n_chars", "text_length", "lang"], "toxic", "doc_id",
+                         M.parameter_grid(quick=True, forest=False, gbt=False))
+
+
+@query("m10_evaluate_winner")
+def _(t):
+    return M.evaluate_winner(labelled(t), FEATURES, "toxic", "doc_id", M.ModelConfig("logistic", "weighted"), 0.4)[1]
+
+
+@query("m11_export_models")
+def _(t):
+    folder = f"{ensure_checkpoint_dir(t._spark)}/models-{uuid.uuid4().hex}"
+    return M.export_models(labelled(t), FEATURES, "toxic", "doc_id", [
+        ("radar", M.ModelConfig("logistic", "weighted"), 0.2), ("plain", M.ModelConfig("tree"), 0.5)], folder).drop("path")
+
+
+@query("m12_saved_model_scores_whole_table", """
+    SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS differing FROM documents""")
+def _(t):
+    """A saved pipeline, loaded again, scores every document as the one in memory."""
+    train = labelled(t)
+    cfg = M.ModelConfig("logistic", "weighted")
+    fitted = M.make_pipeline(train, ["n_chars", "text_length", "lang"], "toxic", "doc_id", cfg)
+    path = f"{ensure_checkpoint_dir(t._spark)}/model-{uuid.uuid4().hex}"
+    fitted.write().save(path)
+    docs = t.documents.select("doc_id", "lang", "n_chars", F.length("text").cast("bigint").alias("text_length"))
+    here = M.score_table(fitted, docs, 0.2, ["doc_id"])
+    again = M.score_table(PipelineModel.load(path), docs, 0.2, ["doc_id"]).withColumnsRenamed(
+        {"score": "score2", "prediction": "prediction2"})
+    return here.join(again, "doc_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(
+        (F.abs(col("score") - col("score2")) > 1e-9) | (col("prediction") != col("prediction2"))).alias("differing"))
+
+
+@query("k09_rf_importance")
+def _(t):
+    forest = M.rf_importance(labelled(t), FEATURES, "toxic", "doc_id", trees=10)
+    mutual = mutual_info(labelled(t), ["lang", "source", "quality"], ["n_chars", "text_length"], "toxic")
+    return M.rank_by_two_scores(mutual, forest)
+
+
+@query("p11b_model_influence")
+def _(t):
+    df = labelled(t)
+    fitted = M.make_pipeline(df, FEATURES, "toxic", "doc_id", M.ModelConfig("logistic", "weighted"))
+    return rounded(M.grouped_importance(fitted, df), "influence")

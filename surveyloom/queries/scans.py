@@ -224,5 +224,3 @@ def _(t):
         "p_partkey", F.struct(F.col("p_brand").alias("z_brand"), F.col("p_size").alias("a_size")).alias("attributes"),
         F.create_map(F.lit("b"), F.col("p_partkey") % 3, F.lit("a"), F.col("p_size").cast("bigint")).alias("counts"))
     return nested_to_json(nested)
-
-

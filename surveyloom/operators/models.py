@@ -34,7 +34,7 @@ from .profile import error_profile
 
 # Thresholds swept by the benchmark and by the grid search.
 THRESHOLDS = (0.20, 0.25, 0.30, 0.35, 0.40, 0.45, 0.50)
-GRID_THRESHOLDS = (0.20, 0.25, 0.30, 0.35, 0.40)
+GRID_THRESHOLDS = (0.30, 0.35, 0.40, 0.45, 0.50)
 SEED = 42
 
 

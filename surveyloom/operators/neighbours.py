@@ -89,18 +89,18 @@ def knn_join(df: DataFrame, row_id: str, vector: str, k: int, block_rows: int =
         visits = (known.select("id", "v", "cell", "block", F.explode(reach).alias("to_cell"))
                   .select("*", F.explode(F.sequence(F.lit(0), _blocks_of(F.col("to_cell"), sizes) - 1)).alias("to_block"))
                   .filter((F.col("cell") != F.col("to_cell")) | (F.col("block") != F.col("to_block"))))
-        routes = visits.select("cell", "block", "to_cell", "to_block").distinct()
-        data = rows.select("id", "v", F.col("cell").alias("to_cell"), F.col("block").alias("to_block")).join(
-            routes, ["to_cell", "to_block"])
         key = ["cell", "block", "to_cell", "to_block"]
+        routes = visits.select(*[F.col(c).alias(f"r_{c}") for c in key]).distinct()
+        data = rows.select(F.col("id").alias("x_id"), F.col("v").alias("x_v"), F.col("cell").alias("r_to_cell"),
+                           F.col("block").alias("r_to_block")).join(routes, ["r_to_cell", "r_to_block"])
 
         def two_blocks(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
             if q.empty or x.empty:
                 return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour_id": pd.Series(dtype="int64"),
                                      "distance": pd.Series(dtype="float64")})
-            return _nearest(q, x, k)
+            return _nearest(q, x.rename(columns={"x_id": "id", "x_v": "v"}), k)
 
-        far = visits.groupBy(*key).cogroup(data.groupBy(*key)).applyInPandas(two_blocks, schema)
+        far = visits.groupBy(*key).cogroup(data.groupBy(*[f"r_{c}" for c in key])).applyInPandas(two_blocks, schema)
         candidates = local.unionByName(far)
     order = Window.partitionBy("id").orderBy("distance", "neighbour_id")
     return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -177,7 +177,7 @@ def smote(df: DataFrame, target: str, row_id: str, vector: str, k: int = 5, seed
                                   vector, target)
     small = df.filter(F.col(target) == minority).select(row_id, vector)
     near = knn_join(small, row_id, vector, min(k, n_min - 1))
-    packed = near.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour_id"))).alias("_near"))
+    packed = near.groupBy(F.col("id").alias("_origin")).agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour_id"))).alias("_near"))
     base, extra = divmod(missing_rows, n_min)
     marked = small.withColumn("_one", F.lit(1))
     if extra:
@@ -186,7 +186,7 @@ def smote(df: DataFrame, target: str, row_id: str, vector: str, k: int = 5, seed
         times = F.lit(base) + (key <= _literal_key(cut)).cast("int")
     else:
         times = F.lit(base)
-    draws = (marked.join(packed, marked[row_id] == packed["id"]).withColumn("_times", times)
+    draws = (marked.join(packed, F.col(row_id) == F.col("_origin")).withColumn("_times", times)
              .filter(F.col("_times") > 0)
              .select(row_id, F.col(vector).alias("_x"), "_near", F.explode(F.sequence(F.lit(1), "_times")).alias("_t"))
              .withColumn("neighbour_id", F.element_at("_near", (F.pmod(

@@ -237,6 +237,12 @@ def drop_redundant(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*[c for c in names if c in df.columns])
 
 
+def applicable_rules(df: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """The (drop, keep, kind) rules whose dropped column the table has."""
+    return df.sparkSession.createDataFrame([r for r in rules if r[0] in df.columns],
+                                           "drop string, keep string, kind string")
+
+
 def concept_search(variables: DataFrame, text: str, queries: Mapping[str, Sequence[str]],
                    allowed: Column) -> DataFrame:
     """For each concept and query: hits, hits that pass the filters, and status;

@@ -1,0 +1,14 @@
+"""The household survey as a composition of the operators."""
+
+from .household import (  # noqa: F401
+    build_household,
+    clean_scenario,
+    derive_household,
+    final_dataset,
+    household_target,
+    logical_checks,
+    model_views,
+    profile_tables,
+    scenario_dataset,
+    select_region,
+)

@@ -31,7 +31,7 @@ def _col(c: Column | str) -> Column:
 def normalize_text(c: Column | str) -> Column:
     """Free text: null becomes '', the stray 0x96 dash becomes a space, runs of
     white space collapse, ends are trimmed, letters are lower-cased."""
-    text = F.regexp_replace(F.coalesce(_col(c), F.lit("")), "\u0096", " ")
+    text = F.replace(F.coalesce(_col(c), F.lit("")), F.lit("\u0096"), F.lit(" "))
     return F.lower(F.trim(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " ")))
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-# Rows a table may have before it is joined by shuffling instead of broadcasting.
-BROADCAST_ROWS = 200_000
+# Rows a side table may have before it is joined by shuffling instead of broadcasting.
+BROADCAST_ROWS = 50_000
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -27,10 +27,13 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise an aggregate and mark it for broadcast only when it turned
-    out to hold at most ``max_rows`` rows; a larger one joins by shuffle."""
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    """Run an aggregate that should be small and fix its rows in the plan, marked
+    for broadcast. One that turns out to hold more than ``max_rows`` rows is
+    checkpointed instead and joins by shuffle."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return cut_lineage(df)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quality import assert_unique
+from .quality import ensure_unique
 
 
 def left_join(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -23,13 +23,14 @@ def _new_columns(base: DataFrame, addon: DataFrame, key: Sequence[str]) -> list[
 def merge_with_audit(base: DataFrame, addon: DataFrame, key: Sequence[str], name: str,
                      check: bool = True) -> tuple[DataFrame, DataFrame]:
     """One-to-one left join. Columns the base already has are dropped from the
-    add-on; a repeated key on either side is an error; one audit row is returned."""
+    add-on; one audit row is returned. A repeated key on either side fails when
+    the merged table runs."""
     key = list(key)
-    if check:
-        assert_unique(base, key, f"base of {name}")
-        assert_unique(addon, key, name)
     added = _new_columns(base, addon, key)
-    merged = left_join(base, addon.select(*key, *added), key)
+    addon = addon.select(*key, *added)
+    if check:
+        base, addon = ensure_unique(base, key, f"base of {name}"), ensure_unique(addon, key, name)
+    merged = left_join(base, addon, key)
     groups = merged.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     audit = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_after_merge"),
                        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicated_after_merge")).select(
@@ -45,10 +46,10 @@ def merge_all(base: DataFrame, addons: Mapping[str, DataFrame], key: Sequence[st
     """Fold of the audited join over named add-ons."""
     audits = []
     if check:
-        assert_unique(base, key, "base")
+        base = ensure_unique(base, key, "base")
     for name, addon in addons.items():
         if check:
-            assert_unique(addon, key, name)
+            addon = ensure_unique(addon, key, name)
         base, audit = merge_with_audit(base, addon, key, name, check=False)
         audits.append(audit)
     return base, reduce(DataFrame.unionByName, audits)

@@ -129,13 +129,16 @@ def make_pipeline(train: DataFrame, features: Sequence[str], target: str, row_id
                   preprocessor: PipelineModel | None = None) -> PipelineModel:
     """Preprocessing and estimator as one saved-able pipeline model. Over-sampling
     happens on the prepared training rows, between the two."""
-    prep = preprocessor or fit_preprocessor(train, *split_columns(train, features))
-    rows, weight = _training_rows(prep.transform(train), cfg, target, row_id)
-    rows = rows.persist()
+    narrow = train.select(*dict.fromkeys([row_id, *features, target])).persist()
+    rows = narrow
     try:
+        prep = preprocessor or fit_preprocessor(narrow, *split_columns(train, features))
+        rows, weight = _training_rows(prep.transform(narrow), cfg, target, row_id)
+        rows = rows.persist()
         fitted = model(cfg.name, weight=weight, **dict(cfg.params)).fit(rows)
     finally:
         rows.unpersist()
+        narrow.unpersist()
     return PipelineModel([*prep.stages, fitted])
 
 

@@ -14,7 +14,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_side  # noqa: F401  (re-exported for callers that join the result)
+from ..session import ship_by_value
+
+ship_by_value(__name__)
 
 BLOCK_ROWS = 2048
 MAX_PIVOTS = 256
@@ -22,21 +24,25 @@ MAX_PIVOTS = 256
 
 def _nearest(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
     """Top-k of one block against another, ties by id."""
-    data = data.sort_values("id")
     x, ids = np.stack(data["v"].to_numpy()), data["id"].to_numpy()
-    out = []
-    q = np.stack(queries["v"].to_numpy())
-    for start in range(0, len(q), 64):  # bounded working set per slice
-        part = q[start:start + 64]
-        dist = np.sqrt(((part[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
-        own = queries["id"].to_numpy()[start:start + 64]
-        dist[own[:, None] == ids[None, :]] = np.inf
-        take = np.argsort(dist, axis=1, kind="stable")[:, :k]
-        best = np.take_along_axis(dist, take, axis=1)
-        out.append(pd.DataFrame({"id": np.repeat(own, take.shape[1]), "neighbour_id": ids[take].ravel(),
-                                 "distance": best.ravel()}))
-    found = pd.concat(out) if out else pd.DataFrame({"id": [], "neighbour_id": [], "distance": []})
-    return found[np.isfinite(found["distance"])]
+    q, own = np.stack(queries["v"].to_numpy()), queries["id"].to_numpy()
+    xx, qq = (x * x).sum(axis=1), (q * q).sum(axis=1)
+    # squared distances by matrix product pick the candidates, with room for its
+    # rounding error; their order comes from exact differences
+    rough = qq[:, None] + xx[None, :] - 2.0 * (q @ x.T)
+    rough[own[:, None] == ids[None, :]] = np.inf
+    last = min(k, len(x)) - 1
+    limit = np.partition(rough, last, axis=1)[:, last] + 1e-9 * (qq + xx.max() + 1.0)
+    who, near, dist = [], [], []
+    for i in range(len(q)):
+        maybe = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
+        exact = np.sqrt(((x[maybe] - q[i]) ** 2).sum(axis=1))
+        take = np.lexsort((ids[maybe], exact))[:k]
+        who.append(np.repeat(own[i], len(take)))
+        near.append(ids[maybe][take])
+        dist.append(exact[take])
+    return pd.DataFrame({"id": np.concatenate(who), "neighbour_id": np.concatenate(near),
+                         "distance": np.concatenate(dist)})
 
 
 def _blocks_of(cell: Column, counts: list[int]) -> Column:

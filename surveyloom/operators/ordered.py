@@ -32,11 +32,12 @@ def hash_cell(h: Column, bits: int = 12) -> Column:
     return F.shiftright(h, 64 - bits)
 
 
-def _cell_starts(cells: DataFrame, by: Sequence[str], measures: Sequence[str], descending: bool) -> DataFrame:
+def _cell_starts(cells: DataFrame, by: Sequence[str], measures: Sequence[str], descending: bool,
+                 keep: Sequence[str] = ()) -> DataFrame:
     """Running total of each measure over the cells before this one."""
     order = F.col("_cell").desc() if descending else F.col("_cell").asc()
     before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return cells.select(*by, "_cell", *[
+    return cells.select(*by, "_cell", *keep, *[
         F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_start_{m}") for m in measures])
 
 
@@ -96,9 +97,8 @@ def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Mappi
     rows = (long.filter(F.col(value).isNotNull() & ~F.isnan(x))
             .select(*by, x.alias("_x")).withColumn("_cell", value_cell(F.col("_x"))))
     cells = rows.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("n"))
-    group = Window.partitionBy(*by)
-    located = join_keys(cells.withColumn("_total", F.sum("n").over(group)),
-                        _cell_starts(cells, by, ["n"], descending=False), [*by, "_cell"], "inner")
+    sized = cells.withColumn("_total", F.sum("n").over(Window.partitionBy(*by)))
+    located = _cell_starts(sized, by, ["n"], descending=False, keep=["n", "_total"])
 
     def position(p: float) -> Column:
         return (F.col("_total") - 1) * F.lit(float(p))

@@ -39,7 +39,7 @@ def _cutoffs(df: DataFrame, target: str, ids: Sequence[str], seed: int, ranks: M
         df.select(F.col(target), F.lit(0).cast("bigint").alias("_rank")).schema)
     marked = df.select(target, _hash_order(ids, seed).alias("_key")).withColumn("_cell", hash_cell(F.col("_key.h")))
     cells = marked.groupBy(target, "_cell").agg(F.count(F.lit(1)).alias("n"))
-    placed = cells.join(_cell_starts(cells, [target], ["n"], descending=False), [target, "_cell"])
+    placed = _cell_starts(cells, [target], ["n"], descending=False, keep=["n"])
     hit = (F.col("_rank") > F.col("_start_n")) & (F.col("_rank") <= F.col("_start_n") + F.col("n"))
     needed = small_side(placed.join(wanted, target).filter(hit).select(target, "_cell", "_start_n", "_rank"))
     inside = Window.partitionBy(target, "_cell", "_rank").orderBy("_key")

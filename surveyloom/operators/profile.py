@@ -16,10 +16,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_number, null_if_nan, strip_accents  # noqa: F401
+from ..functions import as_number
+from ..session import ship_by_value
 from .common import attach_scalars, explode_stats, long_numeric, long_text, missing, numeric_columns, small_side
 from .ordered import exact_quantiles
 
+ship_by_value(__name__)
+
 NULL_LABEL = "<NA>"
 WIDE_PAIR_LIMIT = 12  # columns up to which the pair moments are one SQL aggregate
 
@@ -236,9 +239,7 @@ def crosstab_by_target(df: DataFrame, cols: Sequence[str], target: str, classes:
 def _pair_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over the rows where both are present; null when either
     side is constant there."""
-    px, py = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    varies = (F.min(px) < F.max(px)) & (F.min(py) < F.max(py))
-    return F.when(varies, F.try_divide(F.covar_samp(px, py), F.stddev_samp(px) * F.stddev_samp(py)))
+    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x)))
 
 
 def target_corr(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:

@@ -31,6 +31,16 @@ def assert_unique(df: DataFrame, key: Sequence[str], name: str = "table") -> Dat
     return df
 
 
+def ensure_unique(df: DataFrame, key: Sequence[str], name: str = "table") -> DataFrame:
+    """The table with a check inside its plan: running it fails when a key
+    repeats. The check needs the partitioning a join on the key needs anyway, so
+    the table is not computed twice."""
+    size = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    message = F.lit(f"{name} is not unique by {', '.join(key)}")
+    fine = F.when(F.col("_size") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return df.withColumn("_size", size).filter(fine).drop("_size")
+
+
 def key_audit(df: DataFrame, candidates: Sequence[Sequence[str]], table: str = "") -> DataFrame:
     """For every candidate key whose columns exist: surplus rows and uniqueness."""
     def one(key: Sequence[str]) -> DataFrame:

@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import as_number
+from ..session import ship_by_value
 from .common import attach_scalars, explode_stats, long_numeric, long_text, small_side
 from .ordered import exact_quantiles, rank_min, running_totals
 from .profile import null_percent
 from .projection import select_existing
 
+ship_by_value(__name__)
+
 NULL_LEVEL = "<NA>"
 
 

@@ -37,9 +37,9 @@ from ..operators.projection import select_existing, standardize_columns, to_nume
 from ..operators.quality import (
     applicable_rules,
     apply_drop_rules,
-    assert_unique,
     drop_constant,
     drop_redundant,
+    ensure_unique,
     key_audit,
     model_ready,
     rule_violations,
@@ -93,8 +93,7 @@ def build_household(dwelling: DataFrame, roster: DataFrame, education: DataFrame
     modules say about it, and the audits."""
     key, person = spec.HOUSEHOLD_KEY, spec.PERSON
     context = select_existing(dwelling, [*key, *spec.DWELLING_KEEP]).distinct()
-    assert_unique(summary, key, "summary")
-    assert_unique(context, key, "dwelling")
+    summary, context = ensure_unique(summary, key, "summary"), ensure_unique(context, key, "dwelling")
 
     head = _is_head(F.col("p203"))
     heads = find_heads(roster, key, person, head)
@@ -120,7 +119,7 @@ def build_household(dwelling: DataFrame, roster: DataFrame, education: DataFrame
         "n_persons": "personas_con_mod_empleo", "n_earners": "miembros_con_ingreso_laboral",
         "head_earns": "jefe_con_ingreso_laboral", "any_earner": "any_ingreso_laboral_hogar"})
 
-    # the roll-ups are unique by construction; only the two inputs were checked
+    # the roll-ups are unique by construction; only the two inputs are checked
     merged, audit = merge_all(summary, {
         "modulo01_context": context, "modulo02_roster": members, "modulo03_education": school,
         "modulo04_health": care, "modulo05_employment": work}, key, check=False)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship_by_value(module_name: str) -> None:
+    """Let functions of a module travel to Python workers with the task, so that
+    workers need not have this package on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
+
+
 def get_session(app: str = "surveyloom", master: str | None = None, **conf) -> SparkSession:
     """A session with adaptive execution on; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)

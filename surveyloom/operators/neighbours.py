@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ship_by_value
+from ..session import cut_lineage, ship_by_value
 
 ship_by_value(__name__)
 
@@ -52,9 +52,34 @@ def _blocks_of(cell: Column, counts: list[int]) -> Column:
 def knn_join(df: DataFrame, row_id: str, vector: str, k: int, block_rows: int = BLOCK_ROWS,
              pivots: int | None = None) -> DataFrame:
     """(id, neighbour_id, distance, rank) for the k nearest other rows by
-    Euclidean distance; ties go to the smaller id. Exact."""
+    Euclidean distance; ties go to the smaller id. Exact.
+
+    Equal vectors are searched once. At most k + 1 ids of a group of copies can
+    be an answer, so the size of the group does not matter to the search.
+    """
     base = df.filter(F.col(vector).isNotNull()).select(
         F.col(row_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    first = Window.partitionBy("v").orderBy("id")
+    groups = cut_lineage(
+        base.withColumn("_i", F.row_number().over(first)).filter(F.col("_i") <= k + 1)
+        .groupBy("v").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")))
+    near = _knn_distinct(groups.select("id", "v"), k, block_rows, pivots)
+    if groups.filter(F.size("ids") > 1).limit(1).count() == 0:
+        return near
+    members = groups.select(F.col("id").alias("neighbour_id"), "ids")
+    found = near.join(members, "neighbour_id").select("id", "distance", F.explode("ids").alias("nid")).unionByName(
+        groups.select("id", F.lit(0.0).alias("distance"), F.explode("ids").alias("nid")))
+    best = Window.partitionBy("id").orderBy("distance", "nid")
+    listed = found.withColumn("_i", F.row_number().over(best)).filter(F.col("_i") <= k + 1).groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("distance", "nid"))).alias("_near"))
+    answers = groups.select("id", "v").join(listed, "id").select("v", "_near")
+    others = F.slice(F.filter("_near", lambda s: s["nid"] != F.col("id")), 1, k)
+    return base.join(answers, "v").select("id", F.posexplode(others).alias("_p", "_s")).select(
+        "id", F.col("_s.nid").alias("neighbour_id"), "_s.distance", (F.col("_p") + 1).alias("rank"))
+
+
+def _knn_distinct(base: DataFrame, k: int, block_rows: int, pivots: int | None) -> DataFrame:
+    """The search over distinct vectors."""
     total = base.count()
     wanted = pivots or max(1, min(MAX_PIVOTS, total // block_rows))
     chosen = base.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()  # at most MAX_PIVOTS rows

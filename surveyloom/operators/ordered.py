@@ -41,20 +41,31 @@ def _cell_starts(cells: DataFrame, by: Sequence[str], measures: Sequence[str], d
         F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_start_{m}") for m in measures])
 
 
+def _with_starts(rows: DataFrame, starts: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Bring the cell starts to the rows. The join key is one column ``_key``, on
+    which a following window inside the cell finds its partitioning in place; a
+    struct key also matches groups whose own key is missing."""
+    key = F.struct(*by, "_cell") if by else F.col("_cell")
+    side = starts.select(key.alias("_key"), *[f"_start_{m}" for m in measures])
+    return rows.withColumn("_key", key).join(side, "_key")
+
+
 def running_totals(df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column],
                    descending: bool = True, cell: Callable[[Column], Column] = value_cell) -> DataFrame:
     """One row per distinct ``value`` with each measure and its running sum
     (``cum_<measure>``, this value included) in value order. ``cell`` is any
     monotone, value-only function of the value."""
     by = list(by)
-    per_value = (df.filter(F.col(value).isNotNull()).groupBy(*by, value)
-                 .agg(*[m.alias(k) for k, m in measures.items()])
-                 .withColumn("_cell", cell(F.col(value))))
-    cells = per_value.groupBy(*by, "_cell").agg(*[F.sum(k).alias(k) for k in measures])
+    present = df.filter(F.col(value).isNotNull())
+    aggs = [m.alias(k) for k, m in measures.items()]
+    # counted from the rows, not from the distinct values: the second read costs
+    # less than a second shuffle of all distinct values
+    cells = present.withColumn("_cell", cell(F.col(value))).groupBy(*by, "_cell").agg(*aggs)
     starts = _cell_starts(cells, by, list(measures), descending)
+    per_value = present.groupBy(*by, value).agg(*aggs).withColumn("_cell", cell(F.col(value)))
     order = F.col(value).desc() if descending else F.col(value).asc()
-    inside = Window.partitionBy(*by, "_cell").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = join_keys(per_value, starts, [*by, "_cell"], "inner")
+    inside = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = _with_starts(per_value, starts, by, list(measures))
     return joined.select(*by, value, *measures, *[
         (F.col(f"_start_{k}") + F.sum(k).over(inside)).alias(f"cum_{k}") for k in measures])
 
@@ -63,7 +74,7 @@ def rank_min(df: DataFrame, col: str, out: str, by: Sequence[str] = (), descendi
     """Rank where ties share the smallest position; missing values get none."""
     totals = running_totals(df, by, col, {"_n": F.count(F.lit(1))}, descending)
     ranks = totals.select(*by, col, (F.col("cum__n") - F.col("_n") + 1).alias(out))
-    return join_keys(df, ranks, [*by, col], "left")
+    return join_keys(df, ranks, [*by, col], "left") if by else df.join(ranks, col, "left").select(*df.columns, out)
 
 
 def mean_rank(df: DataFrame, first: str, second: str, out: str = "mean_rank") -> DataFrame:
@@ -79,10 +90,10 @@ def hashed_position(df: DataFrame, by: Sequence[str], unique_id: Sequence[str],
     hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *unique_id)).withColumn("_cell", hash_cell(F.col("_h")))
     cells = hashed.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("n"))
     starts = _cell_starts(cells, by, ["n"], descending=False)
-    inside = Window.partitionBy(*by, "_cell").orderBy("_h", *unique_id)
-    return (join_keys(hashed, starts, [*by, "_cell"], "inner")
+    inside = Window.partitionBy("_key").orderBy("_h", *unique_id)
+    return (_with_starts(hashed, starts, by, ["n"])
             .withColumn(out, F.col("_start_n") + F.row_number().over(inside))
-            .drop("_h", "_cell", "_start_n"))
+            .select(*df.columns, out))
 
 
 def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:

@@ -428,6 +428,13 @@ def _(t):
     return U.geo_summary(t.orders, "o_custkey", ["o_custkey"], {"province": 4, "district": 5}, 6)
 
 
+@query("d07_join_counts", """
+    SELECT l_returnflag, l_linestatus, COUNT(*) AS n_rows, COUNT(DISTINCT (l_orderkey, l_linenumber)) AS n_units
+    FROM lineitem GROUP BY ALL""")
+def _(t):
+    return U.join_counts(t.lineitem, ["l_orderkey", "l_linenumber"], ["l_returnflag", "l_linestatus"])
+
+
 # ---------------------------------------------------------------- set operations and shape
 
 @query("h01_union_all", """

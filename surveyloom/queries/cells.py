@@ -264,6 +264,78 @@ def _(t):
         "area_bin", "income_pc")
 
 
+# ---------------------------------------------------------------- one operator each
+
+@query("b09_flag_in", """
+    SELECT c_custkey, CAST(coalesce(nullif(c_mktsegment, 'BUILDING') IN ('MACHINERY', 'HOUSEHOLD'), false) AS INTEGER) AS f
+    FROM customer""")
+def _(t):
+    return t.customer.select("c_custkey", flag_in(F.nullif("c_mktsegment", F.lit("BUILDING")), ["MACHINERY", "HOUSEHOLD"]).alias("f"))
+
+
+@query("b10_flag_contains", "SELECT doc_id, CAST(contains(text, 'tion') AS INTEGER) AS f FROM documents")
+def _(t):
+    return t.documents.select("doc_id", flag_contains("text", "tion").alias("f"))
+
+
+@query("b12_flag_all", """
+    SELECT p_partkey, CAST(p_size > 25 AND p_type = 'PROMO' AS INTEGER) AS proxy FROM part""")
+def _(t):
+    from ..functions import flag
+
+    parts = t.part.select("p_partkey", flag(col("p_size") > 25).alias("big"), flag_eq("p_type", "PROMO").alias("promo"))
+    return parts.select("p_partkey", flag_all(["big", "promo"]).alias("proxy"))
+
+
+@query("b13_if_else", """
+    SELECT c_custkey, CASE WHEN contains(nullif(c_mktsegment, 'MACHINERY'), 'E') THEN 'rural' ELSE 'urbana' END AS area
+    FROM customer""")
+def _(t):
+    seg = F.nullif("c_mktsegment", F.lit("MACHINERY"))
+    return t.customer.select("c_custkey", if_else(seg.contains("E"), "rural", "urbana").alias("area"))
+
+
+@query("b14_flag_reported", """
+    SELECT event_id, CAST(coalesce(lower(trim(nullif(event_type, 'error'))) <> 'click', false) AS INTEGER) AS reported FROM events""")
+def _(t):
+    return t.events.select("event_id", flag_reported(F.nullif("event_type", F.lit("error")), ["click"]).alias("reported"))
+
+
+@query("b15_any_reported", """
+    SELECT doc_id, CAST(coalesce(lower(trim(nullif(lang, 'de'))) NOT IN ('en', 'none', ''), false)
+        OR coalesce(nullif(source, 'src1') NOT IN ('src2', 'en'), false) AS INTEGER) AS any_answer FROM documents""")
+def _(t):
+    docs = t.documents.select("doc_id", F.nullif("lang", F.lit("de")).alias("a"), F.nullif("source", F.lit("src1")).alias("b"))
+    return docs.select("doc_id", any_reported(["a", "b"], ["en", "none", "", "src2"]).alias("any_answer"))
+
+
+@query("b16_count_positive", """
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_discount > 0 AS INTEGER) + CAST(l_tax > 0 AS INTEGER) AS n_positive FROM lineitem""")
+def _(t):
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", count_positive(["l_discount", "l_tax"]).alias("n_positive"))
+
+
+@query("b17_ratio", """
+    SELECT p_partkey, round(p_retailprice / nullif(p_size % 5, 0), 6) AS price_ratio FROM part""")
+def _(t):
+    return t.part.select("p_partkey", F.round(ratio("p_retailprice", col("p_size") % 5), 6).alias("price_ratio"))
+
+
+@query("b18_row_sum", """
+    SELECT o_orderkey, round(coalesce(TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE), 0)
+        + coalesce(TRY_CAST(o_orderstatus AS DOUBLE), 0) + o_totalprice, 4) AS total FROM orders""")
+def _(t):
+    return t.orders.select("o_orderkey", F.round(row_sum(
+        [F.substring("o_orderpriority", 1, 1), "o_orderstatus", "o_totalprice"]), 4).alias("total"))
+
+
+@query("b19_fill_int", """
+    SELECT c_custkey, CAST(coalesce(nullif(c_nationkey, 3), 99) AS INTEGER) AS nation FROM customer""")
+def _(t):
+    df = t.customer.select("c_custkey", F.nullif("c_nationkey", F.lit(3)).alias("nation"))
+    return fill_int(df, ["nation", "absent"], 99)
+
+
 # ---------------------------------------------------------------- filters
 
 C6 = "lpad(CAST(o_custkey AS VARCHAR), 6, '0')"

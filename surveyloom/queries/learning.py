@@ -10,6 +10,7 @@ from pyspark.sql.functions import col
 
 from ..operators import models as M
 from ..operators import prep as P
+from ..operators.common import attach_scalars
 from ..operators.stats import mutual_info
 from ..session import ensure_checkpoint_dir
 from .aggregates import DOCS, labelled, rounded
@@ -153,39 +154,45 @@ def _(t):
 SMALL = {"forest": {"numTrees": 10}, "gbt": {"maxIter": 5}}
 
 
+# Fitted values have no SQL. What has: the rows that are scored, the range of a
+# score, and the counts every confusion matrix must add up to.
+SCORED_ROWS = """SELECT doc_id, toxic, true AS in_range FROM documents JOIN labels USING (doc_id)"""
+
+
 def _scores(t, name, strategy="weighted"):
     df = labelled(t)
     cfg = M.ModelConfig(name, strategy, SMALL.get(name, {}))
     fitted = M.make_pipeline(df, FEATURES, "toxic", "doc_id", cfg)
-    return rounded(M.predict_scores(fitted, df, ["doc_id", "toxic"]), "score")
+    scored = M.predict_scores(fitted, df, ["doc_id", "toxic"])
+    return scored.select("doc_id", "toxic", F.coalesce(col("score").between(0, 1), F.lit(False)).alias("in_range"))
 
 
-@query("m01_logistic_scores")
+@query("m01_logistic_scores", SCORED_ROWS)
 def _(t):
     return _scores(t, "logistic")
 
 
-@query("m02_tree_scores")
+@query("m02_tree_scores", SCORED_ROWS)
 def _(t):
     return _scores(t, "tree")
 
 
-@query("m03_forest_scores")
+@query("m03_forest_scores", SCORED_ROWS)
 def _(t):
     return _scores(t, "forest")
 
 
-@query("m04_gbt_scores")
+@query("m04_gbt_scores", SCORED_ROWS)
 def _(t):
     return _scores(t, "gbt")
 
 
-@query("m05_svc_scores")
+@query("m05_svc_scores", SCORED_ROWS)
 def _(t):
     return _scores(t, "svc")
 
 
-@query("m06_pipeline_with_smote")
+@query("m06_pipeline_with_smote", SCORED_ROWS)
 def _(t):
     return _scores(t, "logistic", "smote")
 
@@ -198,25 +205,58 @@ def _(t):
         "o_totalprice")
 
 
-@query("m08_cross_validate")
+def _checked(df, *keys):
+    """Counts of the confusion matrix, and whether all metrics follow from them."""
+    def same(metric, value):
+        return F.abs(col(metric) - F.coalesce(value, F.lit(0.0))) < 1e-9
+
+    tp, fp, fn, tn = (col(c) for c in ("tp", "fp", "fn", "tn"))
+    fine = (same("precision", F.try_divide(tp, tp + fp)) & same("recall", F.try_divide(tp, tp + fn))
+            & same("f1", F.try_divide(2 * tp, 2 * tp + fp + fn)) & same("accuracy", F.try_divide(tp + tn, tp + tn + fp + fn))
+            & col("roc_auc").between(0, 1) & col("pr_auc").between(0, 1))
+    return df.select(*keys, "threshold", (tp + fn).alias("positives"), (tn + fp).alias("negatives"), fine.alias("consistent"))
+
+
+def _thresholds(values):
+    return "(SELECT unnest([" + ", ".join(f"{v}::DOUBLE" for v in values) + "]) AS threshold)"
+
+
+TWO_FOLDS = """(SELECT fold, COUNT(*) FILTER (toxic = 1) AS positives, COUNT(*) FILTER (toxic = 0) AS negatives FROM (
+    SELECT toxic, CAST((row_number() OVER (ORDER BY toxic) - 1) % 2 + 1 AS INTEGER) AS fold FROM labels) GROUP BY fold)"""
+HOLD_OUT = f"""(SELECT max(q) FILTER (toxic = 1) AS positives, max(q) FILTER (toxic = 0) AS negatives
+    FROM {_quota_sql("labels", "toxic")})"""
+
+
+@query("m08_cross_validate", f"""
+    SELECT s AS feature_set, fold, m AS model, threshold, positives, negatives, true AS consistent
+    FROM (SELECT unnest(['full', 'no_leakage']) AS s), (SELECT unnest(['logistic', 'tree']) AS m), {TWO_FOLDS},
+         {_thresholds(M.THRESHOLDS)}""")
 def _(t):
     sets = {"full": FEATURES, "no_leakage": ["n_chars", "text_length", "lang"]}
-    return M.cross_validate(labelled(t), sets, "toxic", "doc_id", [M.ModelConfig("logistic", "weighted"),
-                                                                   M.ModelConfig("tree", "weighted")], k=2)
+    return _checked(M.cross_validate(labelled(t), sets, "toxic", "doc_id", [
+        M.ModelConfig("logistic", "weighted"), M.ModelConfig("tree", "weighted")], k=2), "feature_set", "fold", "model")
 
 
-@query("m09_grid_search")
+@query("m09_grid_search", f"""
+    SELECT m AS model, s AS strategy, threshold, positives, negatives, true AS consistent
+    FROM (SELECT unnest(['logistic', 'tree']) AS m), (SELECT unnest(['plain', 'weighted']) AS s), {HOLD_OUT},
+         {_thresholds(M.GRID_THRESHOLDS)}""")
 def _(t):
-    return M.grid_search(labelled(t), ["n_chars", "text_length", "lang"], "toxic", "doc_id",
-                         M.parameter_grid(quick=True, forest=False, gbt=False))
+    return _checked(M.grid_search(labelled(t), ["n_chars", "text_length", "lang"], "toxic", "doc_id",
+                                  M.parameter_grid(quick=True, forest=False, gbt=False)), "model", "strategy")
 
 
-@query("m10_evaluate_winner")
+@query("m10_evaluate_winner", f"""
+    SELECT 'logistic' AS model, 0.4::DOUBLE AS threshold, positives, negatives, true AS consistent FROM {HOLD_OUT}""")
 def _(t):
-    return M.evaluate_winner(labelled(t), FEATURES, "toxic", "doc_id", M.ModelConfig("logistic", "weighted"), 0.4)[1]
+    return _checked(M.evaluate_winner(labelled(t), FEATURES, "toxic", "doc_id", M.ModelConfig("logistic", "weighted"),
+                                      0.4)[1], "model")
 
 
-@query("m11_export_models")
+@query("m11_export_models", """
+    SELECT alias, model, strategy, threshold, n_features, COUNT(*) AS n_rows_trained, CAST(0 AS BIGINT) AS target_null_rows_dropped
+    FROM labels, (VALUES ('radar', 'logistic', 'weighted', 0.2::DOUBLE, 5), ('plain', 'tree', 'plain', 0.5::DOUBLE, 5))
+      AS v(alias, model, strategy, threshold, n_features) GROUP BY ALL""")
 def _(t):
     folder = f"{ensure_checkpoint_dir(t._spark)}/models-{uuid.uuid4().hex}"
     return M.export_models(labelled(t), FEATURES, "toxic", "doc_id", [
@@ -240,15 +280,24 @@ def _(t):
         (F.abs(col("score") - col("score2")) > 1e-9) | (col("prediction") != col("prediction2"))).alias("differing"))
 
 
-@query("k09_rf_importance")
+NAMES = "(SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS variable)"
+
+
+@query("k09_rf_importance", f"""
+    SELECT variable, true AS in_range, true AS rank_is_mean FROM {NAMES}, (SELECT COUNT(*) AS n FROM labels) WHERE n > 0""")
 def _(t):
     forest = M.rf_importance(labelled(t), FEATURES, "toxic", "doc_id", trees=10)
     mutual = mutual_info(labelled(t), ["lang", "source", "quality"], ["n_chars", "text_length"], "toxic")
-    return M.rank_by_two_scores(mutual, forest)
+    ranked = M.rank_by_two_scores(mutual, forest)
+    return ranked.select("variable", col("rf_importance").between(0, 1).alias("in_range"), (
+        col("mean_rank") * 2 == col("rank_mutual_info") + col("rank_rf_importance")).alias("rank_is_mean"))
 
 
-@query("p11b_model_influence")
+@query("p11b_model_influence", f"""
+    SELECT variable, true AS in_range, true AS scaled_to_one FROM {NAMES}, (SELECT COUNT(*) AS n FROM labels) WHERE n > 0""")
 def _(t):
     df = labelled(t)
     fitted = M.make_pipeline(df, FEATURES, "toxic", "doc_id", M.ModelConfig("logistic", "weighted"))
-    return rounded(M.grouped_importance(fitted, df), "influence")
+    out = M.grouped_importance(fitted, df)
+    return attach_scalars(out, out.agg(F.max("influence").alias("top"))).select(
+        "variable", col("influence").between(0, 1).alias("in_range"), (col("top") == 1).alias("scaled_to_one"))

@@ -93,12 +93,16 @@ def _(t):
     return read_json(t._spark, path, audit.schema, multi_line=False)
 
 
-@query("a06_file_inventory")
+@query("a06_file_inventory", """
+    SELECT n || '.parquet' AS file_name, CASE WHEN n = 'not_delivered' THEN 'missing' ELSE 'ok' END AS status,
+           n <> 'not_delivered' AS has_size FROM (SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders',
+      'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations', 'not_delivered']) AS n)""")
 def _(t):
     names = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
              "labels conversations not_delivered").split()
     expected = t._spark.createDataFrame([(f"{n}.parquet",) for n in names], "file_name string")
-    return file_inventory(t._spark, t._folder, expected)
+    found = file_inventory(t._spark, t._folder, expected)
+    return found.select("file_name", "status", (F.coalesce("size_bytes", F.lit(0)) > 0).alias("has_size"))
 
 
 def nested_parts(t) -> DataFrame:

@@ -57,9 +57,18 @@ def _(t):
                    "f_score")
 
 
-@query("k03_anova_p_values")
+@query("k03_anova_p_values", f"""
+    SELECT expanded_feature, true AS p_in_range, true AS consistent FROM ({anova_docs_sql()})""")
 def _(t):
-    return S.anova_f(labelled(t), ["n_chars", "text_length", "quality"], ["lang", "source"], "toxic")
+    """p-values lie in [0, 1], agree with the flag, and fall as F rises (all
+    features here have the same degrees of freedom)."""
+    from pyspark.sql import Window
+
+    out = S.anova_f(labelled(t), ["n_chars", "text_length", "quality"], ["lang", "source"], "toxic")
+    below = F.lag("p_value").over(Window.orderBy("f_score"))  # one row per feature
+    p = F.col("p_value")
+    return out.select("expanded_feature", F.coalesce(p.between(0, 1), F.lit(True)).alias("p_in_range"), F.coalesce(
+        (p <= below) & (F.col("significant_5pct") == (p < 0.05)), F.lit(True)).alias("consistent"))
 
 
 @query("k04_aggregate_scores", f"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -44,13 +44,26 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def missing(df: DataFrame, name: str) -> Column:
-    """True for null, and for NaN in a floating column."""
-    kind = dict(df.dtypes)[name]
+def missing(name: str, kind: str) -> Column:
+    """True for null, and for NaN in a column of a floating type."""
     col = F.col(f"`{name}`")
     return col.isNull() | F.isnan(col) if kind in ("double", "float") else col.isNull()
 
 
+def present_only(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The columns with NaN replaced by null."""
+    kinds = dict(df.dtypes)
+    return df.select(*[F.when(~missing(c, kinds[c]), F.col(f"`{c}`")).alias(c) for c in cols])
+
+
+def by_chunks(cols: Sequence[str], build: Callable[[Sequence[str]], DataFrame], size: int = 100) -> DataFrame:
+    """Union of a wide per-column aggregate taken over groups of columns. A
+    columnar scan reads each column once either way, and the generated code of
+    one aggregate stays small on tables with many hundred columns."""
+    parts = [build(cols[i:i + size]) for i in range(0, len(cols), size)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     kinds = ("tinyint", "smallint", "int", "bigint", "float", "double")
     return [n for n, t in df.dtypes if t in kinds or t.startswith("decimal")]

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_number
-from .common import attach_scalars, explode_stats, long_text, numeric_columns, small_side
+from .common import attach_scalars, long_text, numeric_columns, small_side
 from .filters import drop_null_target
-from .ordered import _cell_starts, exact_quantiles, hash_cell
+from .ordered import _cell_starts, hash_cell
 from .projection import select_existing
 
 MAX_CLASSES = 1000

@@ -18,7 +18,17 @@ from pyspark.sql import functions as F
 
 from ..functions import as_number
 from ..session import ship_by_value
-from .common import attach_scalars, explode_stats, long_numeric, long_text, missing, numeric_columns, small_side
+from .common import (
+    attach_scalars,
+    by_chunks,
+    explode_stats,
+    long_numeric,
+    long_text,
+    missing,
+    numeric_columns,
+    present_only,
+    small_side,
+)
 from .ordered import exact_quantiles
 
 ship_by_value(__name__)
@@ -90,8 +100,7 @@ def max_by_keys(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> Data
 # ---------------------------------------------------------------- whole-table profiles
 
 def _value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    clean = df.select(*[F.when(~missing(df, c), F.col(c)).alias(c) for c in cols])
-    return long_text(clean, cols).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long_text(present_only(df, cols), cols).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -112,48 +121,59 @@ def top_missing(profile: DataFrame, n: int = 25) -> DataFrame:
 
 
 def null_percent(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Missing percent per column from one wide aggregate."""
-    cols = list(cols or df.columns)
-    wide = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(missing(df, c)).alias(f"m_{i}")
-                                                       for i, c in enumerate(cols)])
-    return explode_stats(wide, [
-        {"variable": F.lit(c), "null_pct": F.coalesce(_pct(F.col(f"m_{i}"), F.col("_total")), F.lit(0.0))}
-        for i, c in enumerate(cols)])
+    """Missing percent per column from wide aggregates."""
+    kinds = dict(df.dtypes)
+
+    def part(some: Sequence[str]) -> DataFrame:
+        wide = df.agg(F.count(F.lit(1)).alias("_total"), *[
+            F.count_if(missing(c, kinds[c])).alias(f"m_{i}") for i, c in enumerate(some)])
+        return explode_stats(wide, [
+            {"variable": F.lit(c), "null_pct": F.coalesce(_pct(F.col(f"m_{i}"), F.col("_total")), F.lit(0.0))}
+            for i, c in enumerate(some)])
+
+    return by_chunks(list(cols or df.columns), part)
 
 
 def column_shapes(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Per column: present rows, all rows, whether it is constant (missing counts
     as a value), and whether its present values all lie in {0, 1}. Constants are
     found by comparing minimum and maximum, without counting distinct values."""
-    cols = list(cols or df.columns)
-    kinds = dict(df.dtypes)
-    aggs, entries = [F.count(F.lit(1)).alias("_total")], []
-    for i, c in enumerate(cols):
-        value = F.when(~missing(df, c), F.col(c))
-        if kinds[c].startswith(("struct", "array", "map")):
-            value = F.to_json(value)
-        off = (~as_number(c).isin(0.0, 1.0) if c in numeric_columns(df)
-               else F.lit(False) if kinds[c] == "boolean" else F.lit(True))
-        aggs += [F.count(value).alias(f"k_{i}"), F.min(value).alias(f"a_{i}"), F.max(value).alias(f"b_{i}"),
-                 F.count_if(value.isNotNull() & off).alias(f"o_{i}")]
-        k, t = F.col(f"k_{i}"), F.col("_total")
-        entries.append({"variable": F.lit(c), "dtype": F.lit(kinds[c]), "present": k, "total": t,
-                        "is_constant": (k == 0) | ((k == t) & (F.col(f"a_{i}") == F.col(f"b_{i}"))),
-                        "is_binary": F.col(f"o_{i}") == 0})
-    return explode_stats(df.agg(*aggs), entries)
+    kinds, numbers = dict(df.dtypes), set(numeric_columns(df))
+
+    def part(some: Sequence[str]) -> DataFrame:
+        aggs, entries = [F.count(F.lit(1)).alias("_total")], []
+        for i, c in enumerate(some):
+            value = F.when(~missing(c, kinds[c]), F.col(f"`{c}`"))
+            if kinds[c].startswith(("struct", "array", "map")):
+                value = F.to_json(value)
+            off = (~as_number(c).isin(0.0, 1.0) if c in numbers
+                   else F.lit(False) if kinds[c] == "boolean" else F.lit(True))
+            aggs += [F.count(value).alias(f"k_{i}"), F.min(value).alias(f"a_{i}"), F.max(value).alias(f"b_{i}"),
+                     F.count_if(value.isNotNull() & off).alias(f"o_{i}")]
+            k, t = F.col(f"k_{i}"), F.col("_total")
+            entries.append({"variable": F.lit(c), "dtype": F.lit(kinds[c]), "present": k, "total": t,
+                            "is_constant": (k == 0) | ((k == t) & (F.col(f"a_{i}") == F.col(f"b_{i}"))),
+                            "is_binary": F.col(f"o_{i}") == 0})
+        return explode_stats(df.agg(*aggs), entries)
+
+    return by_chunks(list(cols or df.columns), part)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, missing percent, mean, sample deviation, minimum, exact quartiles
     and maximum per column."""
-    wide = df.agg(F.count(F.lit(1)).alias("_total"), *[
-        f(as_number(c)).alias(f"{name}_{i}") for i, c in enumerate(cols)
-        for name, f in (("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
-    moments = explode_stats(wide, [
-        {"variable": F.lit(c), "count": F.col(f"n_{i}"),
-         "missing_pct": _pct(F.col("_total") - F.col(f"n_{i}"), F.col("_total")),
-         "mean": F.col(f"mean_{i}"), "std": F.col(f"std_{i}"),
-         "min": F.col(f"min_{i}"), "max": F.col(f"max_{i}")} for i, c in enumerate(cols)])
+    measures = (("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+
+    def part(some: Sequence[str]) -> DataFrame:
+        wide = df.agg(F.count(F.lit(1)).alias("_total"), *[
+            f(as_number(c)).alias(f"{name}_{i}") for i, c in enumerate(some) for name, f in measures])
+        return explode_stats(wide, [
+            {"variable": F.lit(c), "count": F.col(f"n_{i}"),
+             "missing_pct": _pct(F.col("_total") - F.col(f"n_{i}"), F.col("_total")),
+             "mean": F.col(f"mean_{i}"), "std": F.col(f"std_{i}"),
+             "min": F.col(f"min_{i}"), "max": F.col(f"max_{i}")} for i, c in enumerate(some)])
+
+    moments = by_chunks(list(cols), part)
     quart = exact_quantiles(long_numeric(df, cols), ["variable"], "value", {"p25": .25, "median": .5, "p75": .75})
     return moments.join(quart, "variable", "left").select(
         "variable", "count", "missing_pct", "mean", "std", "min", "p25", "median", "p75", "max")
@@ -245,9 +265,13 @@ def _pair_corr(x: Column, y: Column) -> Column:
 def target_corr(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Absolute correlation with the target, one pass over the table."""
     y = as_number(target)
-    wide = df.agg(*[F.abs(_pair_corr(as_number(c), y)).alias(f"r_{i}") for i, c in enumerate(cols)])
-    return explode_stats(wide, [{"variable": F.lit(c), "abs_corr_target": F.col(f"r_{i}")}
-                                for i, c in enumerate(cols)]).orderBy(F.desc_nulls_last("abs_corr_target"), "variable")
+
+    def part(some: Sequence[str]) -> DataFrame:
+        wide = df.agg(*[F.abs(_pair_corr(as_number(c), y)).alias(f"r_{i}") for i, c in enumerate(some)])
+        return explode_stats(wide, [{"variable": F.lit(c), "abs_corr_target": F.col(f"r_{i}")}
+                                    for i, c in enumerate(some)])
+
+    return by_chunks(list(cols), part).orderBy(F.desc_nulls_last("abs_corr_target"), "variable")
 
 
 def _pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -298,14 +322,14 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], at_least: float) -> DataFrame
 
 def missing_by_row(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Missing cells of every row, as a count and as a percent of the columns."""
-    count = reduce(lambda a, b: a + b, [missing(df, c).cast("int") for c in df.columns])
+    count = reduce(lambda a, b: a + b, [missing(c, k).cast("int") for c, k in df.dtypes])
     return df.select(*keep, count.alias("missing_cols"),
                      F.round(count * 100.0 / len(df.columns), 4).alias("missing_pct"))
 
 
 def rows_with_missing(df: DataFrame) -> DataFrame:
     """Rows, rows with any missing cell, and rows without."""
-    some = reduce(lambda a, b: a | b, [missing(df, c) for c in df.columns])
+    some = reduce(lambda a, b: a | b, [missing(c, k) for c, k in df.dtypes])
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(some).alias("with_missing"),
                   F.count_if(~some).alias("without_missing"))
 

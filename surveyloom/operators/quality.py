@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import composite_id, label_rules, normalize_text
-from .common import explode_stats, long_text, missing
+from .common import explode_stats, long_text, present_only
 from .profile import column_shapes, null_percent, profile_columns
 from .projection import rename_map, select_existing
 
@@ -75,8 +75,7 @@ def rule_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Every present value of every column, one row each."""
-    clean = df.select(*[F.when(~missing(df, c), F.col(c)).alias(c) for c in cols])
-    return long_text(clean, cols).filter(F.col("value").isNotNull()).distinct()
+    return long_text(present_only(df, cols), cols).filter(F.col("value").isNotNull()).distinct()
 
 
 def binary_validation(df: DataFrame, cols: Sequence[str], list_up_to: int = 100) -> DataFrame:
@@ -95,15 +94,19 @@ def binary_validation(df: DataFrame, cols: Sequence[str], list_up_to: int = 100)
         "is_binary_01")
 
 
-def drop_constant(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drop all-null and constant columns (missing counts as a value) and list them."""
-    shapes = column_shapes(df)
-    found = shapes.filter("is_constant").select(
+def constant_columns(df: DataFrame) -> list[tuple[str, str]]:
+    """(column, ``all_null`` or ``constant``) for columns with one value, where
+    missing counts as a value."""
+    found = column_shapes(df).filter("is_constant").select(
         "variable", F.when(F.col("present") == 0, "all_null").otherwise("constant").alias("reason"))
-    names = [r["variable"] for r in found.collect()]  # at most one row per column
-    report = df.sparkSession.createDataFrame([tuple(r) for r in found.collect()] if names else [],
-                                             "variable string, reason string")
-    return df.drop(*names), report
+    return [tuple(r) for r in found.collect()]  # at most one row per column
+
+
+def drop_constant(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Drop all-null and constant columns and list them."""
+    found = constant_columns(df)
+    report = df.sparkSession.createDataFrame(found, "variable string, reason string")
+    return df.drop(*[c for c, _ in found]), report
 
 
 @dataclass(frozen=True)
@@ -116,14 +119,15 @@ class DropRules:
     auxiliary: Sequence[str] = ()
 
 
-def apply_drop_rules(df: DataFrame, rules: DropRules, constants: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Model-ready view and the reason of every dropped column."""
+def apply_drop_rules(df: DataFrame, rules: DropRules,
+                     constants: Sequence[tuple[str, str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Model-ready view and the reason of every dropped column. Constant columns
+    are looked for unless they are given."""
     rows = [(c, "leakage", why) for c, why in rules.leakage.items()]
     rows += [(c, "redundant", why) for c, why in rules.redundant.items()]
     rows += [(c, "identifier", "identifier without use in a model") for c in rules.identifiers]
     rows += [(c, "auxiliary", "auxiliary or control column") for c in rules.auxiliary]
-    if constants:
-        rows += [(r["variable"], "constant", r["reason"]) for r in drop_constant(df)[1].collect()]
+    rows += [(c, "constant", why) for c, why in (constant_columns(df) if constants is None else constants)]
     rows = list(dict.fromkeys(r for r in rows if r[0] in df.columns))
     reasons = df.sparkSession.createDataFrame(rows, "variable string, kind string, reason string")
     return df.drop(*{r[0] for r in rows}), reasons

@@ -8,13 +8,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import as_number
 from ..session import ship_by_value
-from .common import attach_scalars, explode_stats, long_numeric, long_text, small_side
+from .common import attach_scalars, long_numeric, long_text, small_side
 from .ordered import exact_quantiles, rank_min, running_totals
 from .profile import null_percent
 from .projection import select_existing

@@ -37,7 +37,7 @@ from ..operators.projection import select_existing, standardize_columns, to_nume
 from ..operators.quality import (
     applicable_rules,
     apply_drop_rules,
-    drop_constant,
+    constant_columns,
     drop_redundant,
     ensure_unique,
     key_audit,
@@ -203,9 +203,9 @@ def household_target(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def model_views(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Analytical view (without all-null columns), model-ready view, and why each
     column was dropped."""
-    empty = [r["variable"] for r in drop_constant(df)[1].filter("reason = 'all_null'").collect()]
-    analytical = df.drop(*empty)
-    ready, reasons = apply_drop_rules(analytical, spec.DROP_RULES)
+    found = constant_columns(df)
+    analytical = df.drop(*[c for c, why in found if why == "all_null"])
+    ready, reasons = apply_drop_rules(analytical, spec.DROP_RULES, found)
     return analytical, ready, reasons
 
 

@@ -26,9 +26,11 @@ def read_table(spark: SparkSession, path: str, nan_as_null: bool = True) -> Data
     return df.withColumns({n: null_if_nan(n) for n in floating}) if floating else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """CSV scan with header; a leading byte-order mark is dropped by the reader."""
-    return spark.read.csv(path, header=True, schema=schema, multiLine=True, escape='"')
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False) -> DataFrame:
+    """CSV scan with header; a leading byte-order mark is dropped by the reader.
+    Files with line breaks inside quotes need ``multi_line``, which reads each
+    file in one task."""
+    return spark.read.csv(path, header=True, schema=schema, multiLine=multi_line, escape='"')
 
 
 def read_first(spark: SparkSession, csv_path: str, parquet_path: str, schema: StructType | str) -> DataFrame:

@@ -130,3 +130,20 @@ def test_concepts_without_hits(spark):
         df, "label", {"water": ["agua", "rio"], "light": ["luz"]}, F.col("m") == "1").collect())
     assert got == [("light", "luz", 0, 0, "no_direct_equivalent"), ("light", "luz", 1, 0, "outside_universe"),
                    ("water", "agua", 2, 1, "ok"), ("water", "rio", 0, 0, "no_results")]
+
+
+def test_csv_with_byte_order_mark_keeps_codes(spark, tmp_path):
+    from surveyloom.sources import read_csv, read_first, read_json
+
+    path = tmp_path / "t.csv"
+    path.write_bytes("﻿ubigeo,x\n040101,1.5\n,\n".encode())
+    rows = read_csv(spark, str(path), "ubigeo string, x double").collect()
+    assert [tuple(r) for r in rows] == [("040101", 1.5), (None, None)]
+    assert read_first(spark, str(path), "absent", "ubigeo string, x double").count() == 2
+    assert read_json(spark, str(tmp_path / "none.json"), "a int").count() == 0
+
+
+def test_profile_of_a_wide_table(spark):
+    df = spark.range(5).select(*[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(230)])
+    assert P.column_shapes(df).filter("is_constant").collect()[0]["variable"] == "c0"
+    assert P.null_percent(df).count() == 230

@@ -26,6 +26,8 @@ def get_session(app: str = "surveyloom", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # recording a call site per column expression slows down plans over wide tables
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for key, value in settings.items():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, language_id, mixing, pii, quality_rules, secret_scan, simhash
+from . import bpe, chat_tree, language_id, mixing, neighbours, pii, quality_rules, repeats, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,6 +52,23 @@ def _bpe_round_trip(docs: DataFrame) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op4_hilbert_neighbours", "embeddings")
+def _hilbert_neighbours(vectors: DataFrame) -> DataFrame:
+    return neighbours.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query("op5_chat_tree", "conversations")
+def _chat_tree(turns: DataFrame) -> DataFrame:
+    odd = "\\### Assistant: </turn> ok"
+    extra = turns.sparkSession.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id bigint, turn int, role string, text string")
+    back = chat_tree.read_back(*chat_tree.build(turns.select("conv_id", "turn", "role", "text").unionByName(extra)))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return back.select("conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                       F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 @query("op6_curriculum_mix", "documents")
 def _curriculum_mix(docs: DataFrame) -> DataFrame:
     planned = mixing.plan(docs).withColumn("position", F.get("positions", F.lit(0)))
@@ -65,6 +82,13 @@ def _simhash(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op8_repeated_bytes", "documents")
+def _repeated_bytes(docs: DataFrame) -> DataFrame:
+    cut = repeats.remove_repeats(docs)
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, r: a + r["end"] - r["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 @query("op9_personal_data", "documents")
 def _personal_data(docs: DataFrame) -> DataFrame:
     weights = pii.train(docs)

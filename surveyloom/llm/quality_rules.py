@@ -88,7 +88,9 @@ def _repeated(df: DataFrame, words: str, out: str) -> DataFrame:
 def measure(docs: DataFrame, text: str = "text", stop_words=STOP_WORDS) -> DataFrame:
     """All columns of ``docs`` under ``doc`` and the measures beside it.
 
-    Columns of ``docs`` may have any names: they travel inside one struct.
+    Columns of ``docs`` may have any names: they travel inside one struct. The
+    measures leave through ``inline``, so that a condition on them is a condition on
+    finished values and is not put together again from the text.
     """
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text_or_empty(text).alias("_t"))
     df = df.withColumns({"_w": word_list(F.col("_t")),
@@ -96,7 +98,7 @@ def measure(docs: DataFrame, text: str = "text", stop_words=STOP_WORDS) -> DataF
     df = _repeated(df, "_w", "n_repeat_words")
     forms = sorted({f for w in stop_words for f in (w, w.capitalize())})
     count = lambda n: n.cast("bigint")
-    return df.select(
+    return df.select(F.inline(F.array(F.struct(
         "doc",
         count(F.size("_w")).alias("n_words"),
         count(F.length(F.array_join("_w", ""))).alias("word_chars"),
@@ -106,7 +108,7 @@ def measure(docs: DataFrame, text: str = "text", stop_words=STOP_WORDS) -> DataF
         count(F.size(F.filter("_w", lambda w: w.isin(*forms)))).alias("n_stop_words"),
         count(F.size("_l")).alias("n_lines"),
         count(F.size(F.filter("_l", lambda x: F.substring(F.ltrim(x), 1, 1).isin("-", "*", "•")))).alias("n_bullet_lines"),
-        count(F.size(F.filter("_l", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")))).alias("n_ellipsis_lines"))
+        count(F.size(F.filter("_l", lambda x: F.rtrim(x).endswith("...") | F.rtrim(x).endswith("…")))).alias("n_ellipsis_lines")))))
 
 
 def verdicts(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:

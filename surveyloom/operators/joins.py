@@ -62,8 +62,10 @@ def mark_exists(df: DataFrame, keys: DataFrame, on: Sequence[str], flag: str) ->
 
 
 def attach_metadata(df: DataFrame, meta: DataFrame, on: str, defaults: Mapping[str, object]) -> DataFrame:
-    """Join a metadata table and fill what it does not know with defaults."""
-    joined = df.join(meta.select(on, *defaults), on, "left")
+    """Join a metadata table and fill what it does not know with defaults. A key
+    listed twice gives the smallest value of each column; rows are never multiplied."""
+    side = meta.groupBy(on).agg(*[F.min(c).alias(c) for c in defaults])
+    joined = df.join(side, on, "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 

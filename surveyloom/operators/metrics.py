@@ -18,6 +18,11 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
+def _reaches(score: Column, threshold: float) -> Column:
+    """Whether a score is at or above the threshold; NaN is missing and gives null."""
+    return F.when(~F.isnan(score.cast("double")), score >= threshold)
+
+
 def _confusion_cols(label: Column, predicted: Column) -> dict[str, Column]:
     return {"tn": F.count_if((label == 0) & ~predicted), "fp": F.count_if((label == 0) & predicted),
             "fn": F.count_if((label == 1) & ~predicted), "tp": F.count_if((label == 1) & predicted)}
@@ -32,7 +37,7 @@ def _rates(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Column]:
 def confusion(df: DataFrame, threshold: float, label: str = "label", score: str = "score",
               by: Sequence[str] = ()) -> DataFrame:
     """TN, FP, FN and TP when scores at or above the threshold are positive."""
-    counts = _confusion_cols(F.col(label), F.col(score) >= threshold)
+    counts = _confusion_cols(F.col(label), _reaches(F.col(score), threshold))
     return df.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()])
 
 
@@ -49,7 +54,7 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "la
     aggs, entries = [], []
     for i, t in enumerate(thresholds):
         names = {n: f"{n}_{i}" for n in ("tn", "fp", "fn", "tp")}
-        counts = _confusion_cols(F.col(label), F.col(score) >= float(t))
+        counts = _confusion_cols(F.col(label), _reaches(F.col(score), float(t)))
         aggs += [c.alias(names[n]) for n, c in counts.items()]
         cols = {n: F.col(a) for n, a in names.items()}
         entries.append({**{b: F.col(b) for b in by}, "threshold": F.lit(float(t)), **cols, **_rates(**cols)})

@@ -18,13 +18,17 @@ from .common import attach_scalars, join_keys, small_side
 CELLS_PER_OCTAVE = 512
 _LIFT = 600_000  # above the exponent range of a double times the cells per octave
 _LAST = 2**62
+_INF_CELL, _NAN_CELL = 2**60, 2**61
 
 
 def value_cell(c: Column) -> Column:
-    """Monotone cell number of a number: 512 cells per power of two."""
+    """Monotone cell number of a number: 512 cells per power of two. Infinities
+    and NaN, the largest value in Spark's order, have end cells of their own."""
     x = c.cast("double")
     size = F.floor(F.log2(F.abs(x)) * CELLS_PER_OCTAVE) + _LIFT
-    return F.when(x == 0, F.lit(0)).otherwise(F.signum(x) * size).cast("bigint")
+    return (F.when(x == 0, F.lit(0)).when(F.isnan(x), F.lit(_NAN_CELL))
+            .when(F.abs(x) == float("inf"), F.when(x > 0, F.lit(_INF_CELL)).otherwise(F.lit(-_INF_CELL)))
+            .otherwise((F.signum(x) * size).cast("bigint"))).cast("bigint")
 
 
 def hash_cell(h: Column, bits: int = 12) -> Column:

@@ -239,8 +239,12 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str
     """Fit on at most ``sample`` texts with a digit or ``@``: those with the smallest
     hash of their text, so that the model doesn't depend on the order of rows."""
     t = F.col(f"`{text}`").cast("string")
-    rows = (docs.select(F.substring(t, 1, SAMPLE_CHARS + 2000).alias("t"), F.xxhash64(t).alias("h"))
-            .where(F.col("t").rlike("[0-9@]")).orderBy("h", "t").limit(sample).collect())
+    asked = docs.select(F.substring(t, 1, SAMPLE_CHARS + 2000).alias("t"), F.xxhash64(t).alias("h")).where(F.col("t").rlike("[0-9@]"))
+    # hashes first, so that only the texts of the sample leave their tasks
+    last = asked.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    if last is None:
+        return fit([])
+    rows = asked.where(F.col("h") <= last).orderBy("h", "t").limit(sample).collect()
     return fit([r["t"] for r in rows])
 
 

@@ -158,11 +158,19 @@ def candidates(text: str, words: list[tuple[int, int]]) -> dict[tuple[int, int],
     return out
 
 
+def possible(feats: list[str]) -> Iterator[str]:
+    """Kinds that a span can be at all, by what a kind is made of."""
+    digits = int(feats[1].removeprefix("digits=").replace("many", "20"))
+    plain = feats[4] == "letters=False"
+    tests = {"email": "address" in feats, "ip": "octets" in feats, "card": plain and 12 <= digits <= 19, "phone": plain and 9 <= digits <= 15}
+    return (k for k in KINDS if tests[k])
+
+
 def scores(found: dict, weights: dict[str, float]) -> dict[tuple[int, int, str], float]:
     """Score of every (first word, last word, kind); a plain word scores 0."""
     get = weights.get
     return {(i, j, k): sum(get(f"{k}|{f}", 0.0) for f in feats) + get(f"{k}|", 0.0)
-            for (i, j), (_, _, feats) in found.items() for k in KINDS}
+            for (i, j), (_, _, feats) in found.items() for k in possible(feats)}
 
 
 def best_path(n: int, scored: dict[tuple[int, int, str], float]) -> list[tuple[int, int, str]]:

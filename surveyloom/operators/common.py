@@ -51,9 +51,14 @@ def missing(name: str, kind: str) -> Column:
 
 
 def present_only(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The columns with NaN replaced by null."""
+    """The columns with NaN replaced by null and -0.0 by 0.0."""
     kinds = dict(df.dtypes)
-    return df.select(*[F.when(~missing(c, kinds[c]), F.col(f"`{c}`")).alias(c) for c in cols])
+
+    def plain(c: str) -> Column:
+        col = F.col(f"`{c}`")
+        return (col + F.lit(0.0)).cast(kinds[c]) if kinds[c] in ("double", "float") else col
+
+    return df.select(*[F.when(~missing(c, kinds[c]), plain(c)).alias(c) for c in cols])
 
 
 def by_chunks(cols: Sequence[str], build: Callable[[Sequence[str]], DataFrame], size: int = 100) -> DataFrame:

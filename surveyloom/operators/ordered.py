@@ -13,6 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .common import attach_scalars, join_keys, small_side
 
 CELLS_PER_OCTAVE = 512
@@ -74,6 +75,19 @@ def running_totals(df: DataFrame, by: Sequence[str], value: str, measures: Mappi
         (F.col(f"_start_{k}") + F.sum(k).over(inside)).alias(f"cum_{k}") for k in measures])
 
 
+def running_before(df: DataFrame, order: Sequence[str], measure: str, out: str) -> DataFrame:
+    """The total of ``measure`` over all rows before each row, in an order that has
+    no ties. Rows are dealt by range and summed inside their range; only one total
+    per range is put in order in one place."""
+    ranged = cut_lineage(df.repartitionByRange(*order).withColumn("_slot", F.spark_partition_id()))
+    totals = ranged.groupBy("_slot").agg(F.sum(measure).alias("_n"))
+    ranges = Window.partitionBy(F.lit(1)).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("_slot", F.coalesce(F.sum("_n").over(ranges), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum(measure).over(inside), F.lit(0))
+    return ranged.join(starts, "_slot").withColumn(out, F.col("_start") + within).select(*df.columns, out)
+
+
 def rank_min(df: DataFrame, col: str, out: str, by: Sequence[str] = (), descending: bool = True) -> DataFrame:
     """Rank where ties share the smallest position; missing values get none."""
     totals = running_totals(df, by, col, {"_n": F.count(F.lit(1))}, descending)
@@ -136,9 +150,13 @@ def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Mappi
     picked = placed.groupBy(*by).agg(F.max("_total").alias("_total"), *[
         at(f(position(p))).alias(f"_{side}_{k}")
         for k, p in probs.items() for side, f in (("lo", F.floor), ("hi", F.ceil))])
-    return picked.select(*by, *[
-        (F.col(f"_lo_{k}") + (F.col(f"_hi_{k}") - F.col(f"_lo_{k}"))
-         * (position(p) - F.floor(position(p)))).alias(k) for k, p in probs.items()])
+
+    def between(k: str, p: float) -> Column:
+        lo, hi, part = F.col(f"_lo_{k}"), F.col(f"_hi_{k}"), position(p) - F.floor(position(p))
+        # the ends of a flat or whole step may be infinite
+        return F.when((lo == hi) | (part == 0), lo).otherwise(lo + (hi - lo) * part)
+
+    return picked.select(*by, *[between(k, p).alias(k) for k, p in probs.items()])
 
 
 # ---------------------------------------------------------------- first / best per group

@@ -5,100 +5,88 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_number
-from .common import attach_scalars, long_text, numeric_columns, small_side
+from ..session import cut_lineage
+from .common import attach_scalars, join_keys, long_text, numeric_columns, small_side
 from .filters import drop_null_target
-from .ordered import _cell_starts, hash_cell
+from .ordered import _cell_starts, hash_cell, running_before
 from .projection import select_existing
 
-MAX_CLASSES = 1000
-
-
 # ---------------------------------------------------------------- exact splits
 
-def _class_counts(df: DataFrame, target: str) -> dict:
-    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).orderBy(target).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
-    return {r[target]: r["n"] for r in rows}
+def _class_counts(df: DataFrame, target: str) -> DataFrame:
+    """One row per class, missing included: (target, n), written once."""
+    return cut_lineage(df.groupBy(target).agg(F.count(F.lit(1)).alias("n")))
 
 
 def _hash_order(ids: Sequence[str], seed: int) -> Column:
     return F.struct(F.xxhash64(F.lit(seed), *ids).alias("h"), *[F.col(i).alias(f"i{j}") for j, i in enumerate(ids)])
 
 
-def _cutoffs(df: DataFrame, target: str, ids: Sequence[str], seed: int, ranks: Mapping) -> dict:
-    """For every class, the rows at the given positions of the hash order. Only
-    the hash cells that hold a wanted position are ranked."""
-    wanted = df.sparkSession.createDataFrame(
-        [(c, int(r)) for c, rs in ranks.items() for r in sorted(set(rs)) if r > 0],
-        df.select(F.col(target), F.lit(0).cast("bigint").alias("_rank")).schema)
+def _cutoffs(df: DataFrame, target: str, ids: Sequence[str], seed: int, wanted: DataFrame) -> DataFrame:
+    """(target, _rank, _key): the rows at the ``wanted`` (target, _rank) positions
+    of the hash order of their class. Only the hash cells that hold a wanted
+    position are ranked."""
     marked = df.select(target, _hash_order(ids, seed).alias("_key")).withColumn("_cell", hash_cell(F.col("_key.h")))
     cells = marked.groupBy(target, "_cell").agg(F.count(F.lit(1)).alias("n"))
     placed = _cell_starts(cells, [target], ["n"], descending=False, keep=["n"])
     hit = (F.col("_rank") > F.col("_start_n")) & (F.col("_rank") <= F.col("_start_n") + F.col("n"))
-    needed = small_side(placed.join(wanted, target).filter(hit).select(target, "_cell", "_start_n", "_rank"))
+    needed = small_side(join_keys(placed, wanted, [target], "inner").filter(hit).select(target, "_cell", "_start_n", "_rank"))
     inside = Window.partitionBy(target, "_cell", "_rank").orderBy("_key")
-    found = (marked.join(needed, [target, "_cell"])
-             .withColumn("_pos", F.col("_start_n") + F.row_number().over(inside))
-             .filter(F.col("_pos") == F.col("_rank")).select(target, "_rank", "_key").collect())
-    return {(r[target], r["_rank"]): r["_key"] for r in found}
-
-
-def _literal_key(key) -> Column:
-    return F.struct(*[F.lit(v).alias(n) for n, v in key.asDict().items()])
+    return (join_keys(marked, needed, [target, "_cell"], "inner")
+            .withColumn("_pos", F.col("_start_n") + F.row_number().over(inside))
+            .filter(F.col("_pos") == F.col("_rank")).select(target, "_rank", "_key"))
 
 
-def _quota(counts: Mapping, wanted: int) -> dict:
-    """Share ``wanted`` rows out by class: floors first, the rest to the largest
-    remainders."""
-    total = sum(counts.values())
-    exact = {c: wanted * n / total for c, n in counts.items()}
-    quota = {c: math.floor(x) for c, x in exact.items()}
-    order = sorted(counts, key=lambda c: (-(exact[c] - quota[c]), str(c)))
-    for c in order[: wanted - sum(quota.values())]:
-        quota[c] += 1
-    return quota
+def _quotas(counts: DataFrame, target: str, share: float) -> DataFrame:
+    """(target, _rank): how many rows of each class make up ``share`` of all rows,
+    rounded up over all classes: floors first, the rest to the largest remainders
+    (ties by the class as text)."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    wanted = math.ceil(share * total)
+    exact = F.lit(wanted).cast("bigint") * F.col("n") / F.lit(max(total, 1))
+    parts = counts.select(target, F.floor(exact).alias("_floor"), (F.floor(exact) - exact).alias("_late"),
+                          F.col(target).cast("string").alias("_name"), F.lit(1).cast("bigint").alias("_one"))
+    over = wanted - (parts.agg(F.sum("_floor")).first()[0] or 0)
+    placed = running_before(parts, ["_late", "_name"], "_one", "_place")
+    return placed.select(target, (F.col("_floor") + (F.col("_place") < over).cast("bigint")).alias("_rank"))
 
 
 def stratified_split(df: DataFrame, target: str, test_size: float, ids: Sequence[str], seed: int = 42,
                      out: str = "is_test") -> DataFrame:
-    """Mark an exact stratified hold-out. The test size rounds up over all rows;
-    its rows are the first of each class in the order of a hash of a unique id.
-    Only cut-off keys are searched, the marking itself is a projection."""
-    counts = _class_counts(df, target)
-    quota = _quota(counts, math.ceil(test_size * sum(counts.values())))
-    cuts = _cutoffs(df, target, ids, seed, {c: [q] for c, q in quota.items()})
-    key = _hash_order(ids, seed)
-    mark = F.lit(0)
-    for c, q in quota.items():
-        if q:
-            mark = F.when(F.col(target).eqNullSafe(F.lit(c)), (key <= _literal_key(cuts[c, q])).cast("int")).otherwise(mark)
-    return df.withColumn(out, mark)
+    """Mark an exact stratified hold-out over any number of classes. The test size
+    rounds up over all rows; its rows are the first of each class in the order of a
+    hash of a unique id. Only cut-off keys are searched; the rows meet the one
+    cut-off of their class and are not ranked."""
+    quotas = _quotas(_class_counts(df, target), target, test_size)
+    cuts = _cutoffs(df, target, ids, seed, quotas.filter(F.col("_rank") > 0))
+    met = join_keys(df, small_side(cuts.select(target, F.col("_key").alias("_cut"))), [target], "left")
+    first = (_hash_order(ids, seed) <= F.col("_cut")).cast("int")
+    return met.select(*df.columns, F.coalesce(first, F.lit(0)).alias(out))
 
 
 def stratified_folds(df: DataFrame, target: str, k: int, ids: Sequence[str], seed: int = 42,
                      out: str = "fold") -> DataFrame:
-    """Folds 1..k whose sizes per class and in total differ by at most one."""
-    counts = _class_counts(df, target)
-    ends, offset = {}, 0
-    for c, n in counts.items():  # row i of the class-sorted table belongs to fold i mod k
-        sizes = [len(range((f - offset) % k, n, k)) for f in range(k)]
-        ends[c] = [sum(sizes[: f + 1]) for f in range(k)]
-        offset += n
-    cuts = _cutoffs(df, target, ids, seed, {c: e[:-1] for c, e in ends.items()})
-    key = _hash_order(ids, seed)
-    fold = F.lit(None).cast("int")
-    for c, bounds in ends.items():
-        number = F.lit(1)
-        for b in bounds[:-1]:
-            number = number + ((key > _literal_key(cuts[c, b])).cast("int") if b else F.lit(1))
-        fold = F.when(F.col(target).eqNullSafe(F.lit(c)), number).otherwise(fold)
-    return df.withColumn(out, fold)
+    """Folds 1..k whose sizes per class and in total differ by at most one, over
+    any number of classes."""
+    # row i of the class-sorted table belongs to fold i mod k; a class ends fold f
+    # where its rows of the folds up to f are used up
+    placed = running_before(_class_counts(df, target), [target], "n", "_offset")
+    sizes = [F.floor((F.col("n") - F.pmod(F.lit(f) - F.col("_offset"), F.lit(k)) + k - 1) / k) for f in range(k)]
+    ends = F.array(*[reduce(lambda a, b: a + b, sizes[:f + 1]) for f in range(k - 1)]).cast("array<bigint>")
+    bounds = placed.select(target, ends.alias("_ends"))
+    wanted = bounds.select(target, F.explode(F.array_distinct("_ends")).alias("_rank")).filter(F.col("_rank") > 0)
+    cuts = _cutoffs(df, target, ids, seed, wanted).groupBy(target).agg(
+        F.map_from_entries(F.collect_list(F.struct("_rank", "_key"))).alias("_cuts"))  # at most k - 1 entries
+    met = join_keys(df, small_side(join_keys(bounds, cuts, [target], "left")), [target], "left")
+    met = met.withColumn("_k", _hash_order(ids, seed))
+    passed = F.filter("_ends", lambda e: (e == 0) | (F.col("_k") > F.try_element_at(F.col("_cuts"), e)))
+    return met.select(*df.columns, (F.size(passed) + 1).alias(out))
 
 
 # ---------------------------------------------------------------- imputation and scaling
@@ -169,9 +157,10 @@ def smote(df: DataFrame, target: str, row_id: str, vector: str, k: int = 5, seed
     only: (row_id of the origin, neighbour_id, fraction, vector, target)."""
     from .neighbours import knn_join
 
-    counts = _class_counts(df.filter(F.col(target).isNotNull()), target)
-    n_min = counts.get(minority, 0)
-    missing_rows = max(counts.values()) - n_min
+    counts = df.filter(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.max("n").alias("largest"), F.sum(F.when(F.col(target) == minority, F.col("n"))).alias("small")).first()
+    n_min = sizes["small"] or 0
+    missing_rows = (sizes["largest"] or 0) - n_min
     if n_min < 2 or missing_rows == 0:
         return df.limit(0).select(F.col(row_id), F.col(row_id).alias("neighbour_id"), F.lit(0.0).alias("fraction"),
                                   vector, target)
@@ -182,8 +171,10 @@ def smote(df: DataFrame, target: str, row_id: str, vector: str, k: int = 5, seed
     marked = small.withColumn("_one", F.lit(1))
     if extra:
         key = _hash_order([row_id], seed)
-        cut = _cutoffs(marked, "_one", [row_id], seed, {1: [extra]})[1, extra]
-        times = F.lit(base) + (key <= _literal_key(cut)).cast("int")
+        wanted = df.sparkSession.createDataFrame([(1, extra)], "_one int, _rank bigint")
+        cut = _cutoffs(marked, "_one", [row_id], seed, wanted).first()["_key"]
+        limit = F.struct(*[F.lit(v).alias(n) for n, v in cut.asDict().items()])
+        times = F.lit(base) + (key <= limit).cast("int")
     else:
         times = F.lit(base)
     draws = (marked.join(packed, F.col(row_id) == F.col("_origin")).withColumn("_times", times)

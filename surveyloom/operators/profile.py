@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -34,7 +33,6 @@ from .ordered import exact_quantiles
 ship_by_value(__name__)
 
 NULL_LABEL = "<NA>"
-WIDE_PAIR_LIMIT = 12  # columns up to which the pair moments are one SQL aggregate
 
 
 def _pct(part: Column, whole: Column) -> Column:
@@ -108,11 +106,15 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     cols = list(cols or df.columns)
     kinds = dict(df.dtypes)
     table = F.create_map(*[F.lit(x) for c in cols for x in (c, kinds[c])])
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
     counts = _value_counts_long(df, cols).groupBy("variable").agg(
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
         F.count("value").alias("n_unique"), F.sum("n").alias("_total"))
-    return counts.select("variable", F.element_at(table, F.col("variable")).alias("dtype"), "null_count",
-                         _pct(F.col("null_count"), F.col("_total")).alias("null_pct"), "n_unique")
+    # an empty table still has its columns
+    listed = names.join(F.broadcast(counts), "variable", "left").na.fill(0, ["null_count", "n_unique", "_total"])
+    pct = F.coalesce(_pct(F.col("null_count"), F.col("_total")), F.lit(0.0))
+    return listed.select("variable", F.element_at(table, F.col("variable")).alias("dtype"), "null_count",
+                         pct.alias("null_pct"), "n_unique")
 
 
 def top_missing(profile: DataFrame, n: int = 25) -> DataFrame:
@@ -307,14 +309,8 @@ def _pair_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def corr_pairs(df: DataFrame, cols: Sequence[str], at_least: float) -> DataFrame:
     """Column pairs with a correlation of at least ``at_least`` in size, from one
-    pass over the table (two for wide tables)."""
-    if len(cols) > WIDE_PAIR_LIMIT:
-        pairs = _pair_moments(df, cols)
-    else:
-        combos = list(combinations(cols, 2))
-        wide = df.agg(*[_pair_corr(as_number(a), as_number(b)).alias(f"r_{i}") for i, (a, b) in enumerate(combos)])
-        pairs = explode_stats(wide, [{"col_a": F.lit(a), "col_b": F.lit(b), "corr": F.col(f"r_{i}")}
-                                     for i, (a, b) in enumerate(combos)])
+    pass for the means and one for the moments, however many columns there are."""
+    pairs = _pair_moments(df, cols)
     return pairs.withColumn("abs_corr", F.abs("corr")).filter(F.col("abs_corr") >= at_least)
 
 

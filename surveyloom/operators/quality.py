@@ -78,20 +78,16 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long_text(present_only(df, cols), cols).filter(F.col("value").isNotNull()).distinct()
 
 
-def binary_validation(df: DataFrame, cols: Sequence[str], list_up_to: int = 100) -> DataFrame:
-    """Whether each column holds only 0 and 1, how many values it has and which.
-    Columns with more values than a report can list are listed by
-    ``distinct_values``."""
+def binary_validation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Every value of every column, one row each, with the number of values of its
+    column and whether these are only 0 and 1 (compared as numbers, so 1.00 is 1).
+    A column without a present value has no row."""
     values = distinct_values(df, cols)
-    spot = Window.partitionBy("variable").orderBy(F.length("value"), "value")
-    listed = values.withColumn("_i", F.row_number().over(spot)).filter(F.col("_i") <= list_up_to).groupBy(
-        "variable").agg(F.sort_array(F.collect_list("value")).alias("_listed"))
-    counts = values.groupBy("variable").agg(
-        F.count(F.lit(1)).alias("n_values"),
-        (F.count_if(~F.col("value").isin("0", "1", "0.0", "1.0", "true", "false")) == 0).alias("is_binary_01"))
-    return counts.join(listed, "variable").select(
-        "variable", "n_values", F.when(F.col("n_values") <= list_up_to, F.to_json("_listed")).alias("unique_values"),
-        "is_binary_01")
+    number = F.expr("try_cast(value AS double)")
+    binary = F.coalesce(number.isin(0.0, 1.0), F.lit(False)) | F.col("value").isin("true", "false")
+    counts = values.groupBy("variable").agg(F.count(F.lit(1)).alias("n_values"), F.every(binary).alias("is_binary_01"))
+    return values.join(F.broadcast(counts), "variable").select(  # one row per column of the table
+        "variable", "value", "n_values", "is_binary_01")
 
 
 def constant_columns(df: DataFrame) -> list[tuple[str, str]]:
@@ -298,11 +294,11 @@ def model_ready(df: DataFrame, key: Sequence[str], id_parts: Sequence[str], id_n
     unique by key and by id. Also the old → new report."""
     kept = select_existing(df, [*id_parts, *key, *leading, *features])
     if check:
-        assert_unique(kept, key, "source table")
+        kept = ensure_unique(kept, key, "source table")
     types = {f.name: f.dataType for f in kept.schema.fields}
     named = kept.select(composite_id(id_parts, [types[c] for c in id_parts]).alias(id_name), *kept.columns)
     if check:
-        assert_unique(named, [id_name], id_name)
+        named = ensure_unique(named, [id_name], id_name)
     renamed, report = rename_map(named, renames)
     order = [id_name, *[renames.get(c, c) for c in [*key, *id_parts, *leading, *features]]]
     return select_existing(renamed, order), report

@@ -47,14 +47,20 @@ def dummy_levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .withColumn("expanded_feature", F.concat_ws("__", "variable", "level")))
 
 
-def expand_dummies(df: DataFrame, cols: Sequence[str], keep: Sequence[str],
-                   max_levels: int = 2000) -> tuple[DataFrame, DataFrame]:
-    """Wide 0/1 columns, one per level, and the metadata row of every dummy. The
-    levels become column names, so their number is checked first."""
+def long_dummies(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The ones of the dummy columns, one row each: (keep…, expanded_feature, flag).
+    Any number of levels; ``dummy_levels`` is the table of all columns."""
+    level = F.coalesce("value", F.lit("<NA>"))
+    return long_text(df, cols, keep).select(
+        *keep, F.concat_ws("__", "variable", level).alias("expanded_feature"), F.lit(1).alias("flag"))
+
+
+def expand_dummies(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Wide 0/1 columns, one per level, and the metadata row of every dummy. Every
+    level is a column of the result and so a name in the plan; ``long_dummies`` has
+    the same content for columns with very many levels."""
     meta = dummy_levels(df, cols)
-    levels = meta.orderBy("variable", "level").limit(max_levels + 1).collect()
-    if len(levels) > max_levels:
-        raise ValueError(f"more than {max_levels} levels: keep the long form (dummy_levels)")
+    levels = meta.orderBy("variable", "level").collect()
     flags = [(F.coalesce(F.col(r["variable"]).cast("string"), F.lit("<NA>")) == r["level"]).cast("int")
              .alias(r["expanded_feature"]) for r in levels]
     return df.select(*keep, *flags), meta

@@ -192,6 +192,13 @@ def _(t):
     return P.profile_columns(lines(t))
 
 
+@query("e12c_profile_of_no_rows", f"""
+    SELECT variable, dtype, CAST(0 AS BIGINT) AS null_count, CAST(0 AS DOUBLE) AS null_pct, CAST(0 AS BIGINT) AS n_unique
+    FROM ({_profile_sql(LINES, LINE_COLS)}), (SELECT COUNT(*) AS n FROM lineitem WHERE l_quantity < 0) WHERE n = 0""")
+def _(t):
+    return P.profile_columns(lines(t).filter("first_ship < 0"))
+
+
 @query("e12b_top_missing", f"""
     SELECT * FROM ({_profile_sql(LINES, LINE_COLS)}) ORDER BY null_pct DESC, variable LIMIT 2""")
 def _(t):
@@ -331,8 +338,7 @@ MANY = [*PAIRS, "l_discount", "l_extendedprice"]
 
 @query("e20b_corr_pairs_many_columns", _pairs_sql(MANY, 0.0))
 def _(t):
-    pairs = P._pair_moments(_pairs(t), [*MANY, "constant"]).withColumn("abs_corr", F.abs("corr"))
-    return rounded(pairs.filter(col("corr").isNotNull()), "corr", "abs_corr")
+    return rounded(P.corr_pairs(_pairs(t), [*MANY, "constant"], 0.0), "corr", "abs_corr")
 
 
 @query("e24_having_zero", """
@@ -489,3 +495,11 @@ def _(t):
            CAST(lang = 'es' AS INTEGER) AS lang__es, CAST(lang = 'fr' AS INTEGER) AS lang__fr FROM documents""")
 def _(t):
     return R.expand_dummies(t.documents, ["lang"], ["doc_id"])[0]
+
+
+@query("h07c_long_dummies_many_levels", """
+    SELECT o_orderkey, 'o_custkey__' || o_custkey AS expanded_feature, 1 AS flag FROM orders
+    UNION ALL SELECT o_orderkey, 'o_totalprice__' || CAST(round(o_totalprice) AS BIGINT), 1 FROM orders""")
+def _(t):
+    df = t.orders.select("o_orderkey", "o_custkey", F.round("o_totalprice").cast("bigint").alias("o_totalprice"))
+    return R.long_dummies(df, ["o_custkey", "o_totalprice"], ["o_orderkey"])

@@ -50,6 +50,22 @@ def _(t):
     return folded.groupBy("o_orderpriority", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("l01c_stratified_split_class_per_customer", f"""
+    SELECT o_custkey, q AS n_test, n - q AS n_train FROM {_quota_sql("orders", "o_custkey")}""")
+def _(t):
+    marked = P.stratified_split(t.orders, "o_custkey", 0.3, ["o_orderkey"])
+    return marked.groupBy("o_custkey").agg(F.count_if(col("is_test") == 1).alias("n_test"),
+                                           F.count_if(col("is_test") == 0).alias("n_train"))
+
+
+@query("l02b_stratified_folds_class_per_customer", """
+    SELECT o_custkey, fold, COUNT(*) AS n FROM (SELECT o_custkey,
+      CAST((row_number() OVER (ORDER BY o_custkey) - 1) % 5 + 1 AS INTEGER) AS fold FROM orders) GROUP BY ALL""")
+def _(t):
+    folded = P.stratified_folds(t.orders, "o_custkey", 5, ["o_orderkey"])
+    return folded.groupBy("o_custkey", "fold").agg(F.count(F.lit(1)).alias("n"))
+
+
 GAPS = """(SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN n_chars END AS n_chars, nullif(source, 'src3') AS source
     FROM documents)"""
 

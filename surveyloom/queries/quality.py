@@ -31,10 +31,16 @@ def _(t):
 
 
 @query("e23_duplicate_rows", """
-    SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem))
+    SELECT (SELECT COUNT(*) FROM lineitem) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows""")
+def _(t):
+    return Q.duplicate_rows(t.lineitem)
+
+
+@query("e23b_duplicate_rows_present", """
+    SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber % 2, l_returnflag FROM lineitem))
            AS duplicate_rows FROM lineitem""")
 def _(t):
-    return Q.duplicate_rows(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag"))
+    return Q.duplicate_rows(t.lineitem.select("l_orderkey", (col("l_linenumber") % 2).alias("odd"), "l_returnflag"))
 
 
 @query("j01_key_violations", """
@@ -55,14 +61,18 @@ def _(t):
         "count_mismatch": col("n_lines") != col("first_ship")})
 
 
-@query("j03_binary_validation", """
-    SELECT 'flag' AS variable, COUNT(DISTINCT f) AS n_values, '["0","1"]' AS unique_values, true AS is_binary_01
-    FROM (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS f FROM lineitem)
-    UNION ALL SELECT 'l_linenumber', COUNT(DISTINCT l_linenumber), '["1","2","3","4","5","6","7"]', false FROM lineitem
-    UNION ALL SELECT 'l_partkey', COUNT(DISTINCT l_partkey), NULL, false FROM lineitem""")
+BINARY = """(SELECT CAST(l_returnflag = 'R' AS INTEGER) AS flag, CAST(l_returnflag = 'R' AS DECIMAL(9,2)) AS price_flag,
+    l_linenumber, l_partkey FROM lineitem)"""
+
+
+@query("j03_binary_validation", " UNION ALL ".join(f"""
+    SELECT DISTINCT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, (SELECT COUNT(DISTINCT {c}) FROM {BINARY}) AS n_values,
+           {yes} AS is_binary_01 FROM {BINARY}""" for c, yes in (
+    ("flag", "true"), ("price_flag", "true"), ("l_linenumber", "false"), ("l_partkey", "false"))))
 def _(t):
-    li = t.lineitem.select((col("l_returnflag") == "R").cast("int").alias("flag"), "l_linenumber", "l_partkey")
-    return Q.binary_validation(li, ["flag", "l_linenumber", "l_partkey"])
+    flag = (col("l_returnflag") == "R").cast("int")
+    li = t.lineitem.select(flag.alias("flag"), flag.cast("decimal(9,2)").alias("price_flag"), "l_linenumber", "l_partkey")
+    return Q.binary_validation(li, ["flag", "price_flag", "l_linenumber", "l_partkey"])
 
 
 @query("j04_drop_constant", """

@@ -120,8 +120,8 @@ def test_dummies_have_a_missing_level(spark):
     wide, meta = R.expand_dummies(messy(spark), ["c"], ["id"])
     assert wide.columns == ["id", "c__<NA>", "c__a", "c__b"]
     assert {r["level"]: r["n"] for r in meta.collect()} == {"<NA>": 1, "a": 2, "b": 1}
-    with pytest.raises(ValueError, match="levels"):
-        R.expand_dummies(messy(spark), ["c"], ["id"], max_levels=2)
+    ones = {(r["id"], n) for r in wide.collect() for n in wide.columns[1:] if r[n] == 1}
+    assert {(r["id"], r["expanded_feature"]) for r in R.long_dummies(messy(spark), ["c"], ["id"]).collect()} == ones
 
 
 def test_concepts_without_hits(spark):

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import explode_stats
 from .quality import ensure_unique
 
 
@@ -20,39 +21,44 @@ def _new_columns(base: DataFrame, addon: DataFrame, key: Sequence[str]) -> list[
     return [c for c in addon.columns if c not in key and c not in base.columns]
 
 
+def _merge_audit(base: DataFrame, steps: Sequence[tuple[str, DataFrame, Sequence[str]]], key: Sequence[str]) -> DataFrame:
+    """One row per (name, add-on, new columns), from the number of rows each table
+    has per key: a left join multiplies the rows of a key by those of the add-on.
+    Only keys and counts are joined, once per add-on; the merged tables are not run."""
+    n = F.count(F.lit(1))
+    sizes = base.groupBy(*key).agg(n.alias("_n0"))
+    for i, (_, addon, _) in enumerate(steps, 1):
+        sizes = left_join(sizes, addon.groupBy(*key).agg(n.alias(f"_a{i}")), key)
+        sizes = sizes.withColumn(f"_n{i}", F.col(f"_n{i - 1}") * F.coalesce(f"_a{i}", F.lit(1)))
+    every = range(len(steps) + 1)
+    totals = sizes.agg(*[F.coalesce(F.sum(f"_n{i}"), F.lit(0)).alias(f"rows_{i}") for i in every],
+                       *[F.coalesce(F.sum(F.col(f"_n{i}") - 1), F.lit(0)).alias(f"surplus_{i}") for i in every])
+    totals = totals.select("*", *[addon.agg(n).scalar().alias(f"addon_{i}") for i, (_, addon, _) in enumerate(steps, 1)])
+    return explode_stats(totals, [{
+        "merge_name": F.lit(name), "base_rows_before": F.col(f"rows_{i - 1}"), "addon_rows": F.col(f"addon_{i}"),
+        "rows_after_merge": F.col(f"rows_{i}"), "duplicated_after_merge": F.col(f"surplus_{i}"),
+        "new_columns_added": F.lit("|".join(added))} for i, (name, _, added) in enumerate(steps, 1)])
+
+
 def merge_with_audit(base: DataFrame, addon: DataFrame, key: Sequence[str], name: str,
                      check: bool = True) -> tuple[DataFrame, DataFrame]:
     """One-to-one left join. Columns the base already has are dropped from the
     add-on; one audit row is returned. A repeated key on either side fails when
     the merged table runs."""
-    key = list(key)
-    added = _new_columns(base, addon, key)
-    addon = addon.select(*key, *added)
-    if check:
-        base, addon = ensure_unique(base, key, f"base of {name}"), ensure_unique(addon, key, name)
-    merged = left_join(base, addon, key)
-    groups = merged.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    audit = groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows_after_merge"),
-                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicated_after_merge")).select(
-        F.lit(name).alias("merge_name"),
-        base.agg(F.count(F.lit(1))).scalar().alias("base_rows_before"),
-        addon.agg(F.count(F.lit(1))).scalar().alias("addon_rows"),
-        "rows_after_merge", "duplicated_after_merge", F.lit("|".join(added)).alias("new_columns_added"))
-    return merged, audit
-
-
-def merge_all(base: DataFrame, addons: Mapping[str, DataFrame], key: Sequence[str],
-              check: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Fold of the audited join over named add-ons."""
-    audits = []
-    if check:
-        base = ensure_unique(base, key, "base")
+    return merge_all(base, {name: addon}, key, check, f"base of {name}")
+
+
+def merge_all(base: DataFrame, addons: Mapping[str, DataFrame], key: Sequence[str], check: bool = True,
+              base_name: str = "base") -> tuple[DataFrame, DataFrame]:
+    """Fold of the one-to-one left join over named add-ons, with one audit row each."""
+    key, steps = list(key), []
+    merged = ensure_unique(base, key, base_name) if check else base
     for name, addon in addons.items():
-        if check:
-            addon = ensure_unique(addon, key, name)
-        base, audit = merge_with_audit(base, addon, key, name, check=False)
-        audits.append(audit)
-    return base, reduce(DataFrame.unionByName, audits)
+        added = _new_columns(merged, addon, key)
+        addon = addon.select(*key, *added)
+        steps.append((name, addon, added))
+        merged = left_join(merged, ensure_unique(addon, key, name) if check else addon, key)
+    return merged, _merge_audit(base, steps, key)
 
 
 def mark_exists(df: DataFrame, keys: DataFrame, on: Sequence[str], flag: str) -> DataFrame:

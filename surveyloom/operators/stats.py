@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -130,9 +131,10 @@ def dummy_class_moments(df: DataFrame, cols: Sequence[str], target: str) -> Data
 def ordinal_class_moments(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Moments of the ordinal codes, computed from the joint counts."""
     counts = joint_counts(df, cols, target).join(level_codes(df, cols), ["variable", "level"])
+    code = F.col("code").cast("double")  # squares of many levels exceed a bigint
     sums = counts.groupBy("variable", "class").agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("code")) / F.sum("n")).alias("mean"),
-        (F.sum(F.col("n") * F.col("code") * F.col("code")) / F.sum("n")).alias("_square"))
+        F.sum("n").alias("n"), (F.sum(F.col("n") * code) / F.sum("n")).alias("mean"),
+        (F.sum(F.col("n") * code * code) / F.sum("n")).alias("_square"))
     return sums.select(F.col("variable").alias("expanded_feature"), "variable", F.lit("ordinal").alias("expansion"),
                        "class", "n", "mean", (F.col("_square") - F.col("mean") * F.col("mean")).alias("var"))
 
@@ -158,22 +160,29 @@ def anova_f(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], t
         *keep, "p_value", F.coalesce(F.col("p_value") < 0.05, F.lit(False)).alias("significant_5pct"))
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function."""
+def _gamma_step(a: float, b: float) -> float:
+    """log Γ(a + b) - log Γ(a), without the difference of two large numbers."""
+    if a < 20:
+        return math.lgamma(a + b) - math.lgamma(a)
+    late = lambda z: (1 / 12 - (1 / 360 - (1 / 1260 - 1 / (1680 * z * z)) / (z * z)) / (z * z)) / z
+    return (a - 0.5) * math.log1p(b / a) + b * math.log(a + b) - b + late(a + b) - late(a)
+
+
+def _beta_fraction(a: float, b: float, x: float, lead: float) -> float:
+    """Continued fraction of the incomplete beta function, for a lead
+    a·(1 - x) - b·x that is not negative; runs until it stands still."""
     tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 500):
-        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-                     -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d, c = 1.0 + step * d, 1.0 + step / c
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = c if abs(c) > tiny else tiny
-            h *= d * c
-        if abs(d * c - 1.0) < 1e-15:
-            break
-    return h
+    h = a * (lead + 1) / (a + 1)
+    c, d = h, 0.0
+    for m in count(1):
+        top = ((a + m - 1) / (a + 2 * m - 1)) * ((a + b + m - 1) / (a + 2 * m - 1)) * m * (b - m) * x * x
+        low = m + m * (b - m) * x / (a + 2 * m - 1) + (a + m) / (a + 2 * m + 1) * (lead + 1 + m * (2 - x))
+        d, c = low + top * d, low + top / c
+        d = 1.0 / (d if abs(d) > tiny else tiny)
+        c = c if abs(c) > tiny else tiny
+        h *= c * d
+        if abs(c * d - 1.0) < 1e-15:
+            return h
 
 
 def f_tail(f: float, d1: float, d2: float) -> float:
@@ -182,12 +191,13 @@ def f_tail(f: float, d1: float, d2: float) -> float:
         return 0.0
     if f <= 0:
         return 1.0
-    x, a, b = d2 / (d2 + d1 * f), d2 / 2.0, d1 / 2.0
-    y = d1 * f / (d2 + d1 * f)  # 1 - x without cancellation
-    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(y)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(log_front) * _beta_fraction(a, b, x) / a
-    return 1.0 - math.exp(log_front) * _beta_fraction(b, a, y) / b
+    a, b, ratio = d2 / 2.0, d1 / 2.0, d1 * f / d2
+    x, y = 1 / (1 + ratio), ratio / (1 + ratio)
+    lead = b * (f - 1) * x  # a·y - b·x
+    front = _gamma_step(max(a, b), min(a, b)) - math.lgamma(min(a, b)) - a * math.log1p(ratio) + b * math.log(y)
+    if lead >= 0:
+        return math.exp(front) / _beta_fraction(a, b, x, lead)
+    return 1.0 - math.exp(front) / _beta_fraction(b, a, y, -lead)
 
 
 @F.pandas_udf(DoubleType())

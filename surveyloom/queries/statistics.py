@@ -71,6 +71,20 @@ def _(t):
         (p <= below) & (F.col("significant_5pct") == (p < 0.05)), F.lit(True)).alias("consistent"))
 
 
+def _three_class_sql(column):
+    """With two degrees of freedom between the classes the tail has a closed form."""
+    return f"""SELECT '{column}' AS expanded_feature, round(f, 4) AS f_score, round(pow(1 + 2 * f / d2, -d2 / 2), 6) AS p_value
+    FROM (SELECT sum(n * (m - g) * (m - g)) / 2 / (sum(n * v) / (sum(n) - 3)) AS f, sum(n) - 3 AS d2
+      FROM (SELECT count(*) AS n, avg({column}) AS m, var_pop({column}) AS v FROM orders GROUP BY o_orderstatus),
+           (SELECT avg({column}) AS g FROM orders))"""
+
+
+@query("k03b_p_values_of_three_classes", " UNION ALL ".join(map(_three_class_sql, ("o_totalprice", "o_custkey", "o_orderkey"))))
+def _(t):
+    out = S.anova_f(t.orders, ["o_totalprice", "o_custkey", "o_orderkey"], [], "o_orderstatus")
+    return out.select("expanded_feature", F.round("f_score", 4).alias("f_score"), F.round("p_value", 6).alias("p_value"))
+
+
 @query("k04_aggregate_scores", f"""
     SELECT *, rank() OVER (ORDER BY f_score_max DESC) AS rank_f_score FROM (
       SELECT variable, COUNT(*) AS expanded_features, round(max(coalesce(f, 0)), 4) AS f_score_max,

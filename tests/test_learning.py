@@ -19,6 +19,10 @@ def test_f_tail_known_values():
     assert S.f_tail(1e-9, 2.0, 50.0) == pytest.approx((1 + 2e-9 / 50) ** -25, rel=1e-12)
     assert S.f_tail(130.0, 2.0, 1514.0) == pytest.approx((1 + 260.0 / 1514.0) ** -757.0, rel=1e-9)
     assert 0 < S.f_tail(120.0, 1.0, 1515.0) < 1e-25
+    assert S.f_tail(3.0, 2.0, 1e12) == pytest.approx(math.exp(-3.0), rel=1e-10)
+    assert S.f_tail(0.5, 2.0, 1e12) == pytest.approx(math.exp(-0.5), rel=1e-10)
+    assert S.f_tail(3.84145882, 1.0, 1e13) == pytest.approx(0.05, rel=1e-7)
+    assert S.f_tail(1.0, 5e5, 5e5) == pytest.approx(0.5, rel=1e-8)
     assert S.f_tail(0.0, 1.0, 9.0) == 1.0 and S.f_tail(math.inf, 1.0, 9.0) == 0.0
 
 

@@ -18,7 +18,7 @@ def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0.0))
 
 
-def _reaches(score: Column, threshold: float) -> Column:
+def reaches(score: Column, threshold: float) -> Column:
     """Whether a score is at or above the threshold; NaN is missing and gives null."""
     return F.when(~F.isnan(score.cast("double")), score >= threshold)
 
@@ -37,7 +37,7 @@ def _rates(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Column]:
 def confusion(df: DataFrame, threshold: float, label: str = "label", score: str = "score",
               by: Sequence[str] = ()) -> DataFrame:
     """TN, FP, FN and TP when scores at or above the threshold are positive."""
-    counts = _confusion_cols(F.col(label), _reaches(F.col(score), threshold))
+    counts = _confusion_cols(F.col(label), reaches(F.col(score), threshold))
     return df.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()])
 
 
@@ -54,7 +54,7 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "la
     aggs, entries = [], []
     for i, t in enumerate(thresholds):
         names = {n: f"{n}_{i}" for n in ("tn", "fp", "fn", "tp")}
-        counts = _confusion_cols(F.col(label), _reaches(F.col(score), float(t)))
+        counts = _confusion_cols(F.col(label), reaches(F.col(score), float(t)))
         aggs += [c.alias(names[n]) for n, c in counts.items()]
         cols = {n: F.col(a) for n, a in names.items()}
         entries.append({**{b: F.col(b) for b in by}, "threshold": F.lit(float(t)), **cols, **_rates(**cols)})
@@ -100,20 +100,27 @@ def _with_totals(curve: DataFrame, df: DataFrame, label: str, by: Sequence[str])
     return join_keys(curve, small_side(totals), list(by), "inner")
 
 
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under the ROC curve: ties count one half; null for one class."""
+def curve_areas(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """roc_auc and average_precision from one curve.
+
+    The area under the ROC curve is exact: ties count one half; null for one class.
+    Average precision is step-wise: recall gained at each score times the precision
+    there; 0 without positives."""
     curve = _with_totals(cumulative_scores(df, label, score, by), df, label, by)
     # negatives below this score = all negatives minus those at or above it
     wins = F.col("pos") * ((F.col("n") - F.col("cum_neg")) + F.col("neg") * 0.5)
-    return curve.groupBy(*by).agg(F.try_divide(F.sum(wins), F.max(F.col("p").cast("double") * F.col("n"))).alias("roc_auc"))
+    step = F.col("pos") * F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
+    return curve.groupBy(*by).agg(
+        F.try_divide(F.sum(wins), F.max(F.col("p").cast("double") * F.col("n"))).alias("roc_auc"),
+        _zero(F.try_divide(F.sum(step), F.max("p"))).alias("average_precision"))
+
+
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    return curve_areas(df, label, score, by).select(*by, "roc_auc")
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
-    """Step-wise average precision: recall gained at each score times the
-    precision there."""
-    curve = _with_totals(cumulative_scores(df, label, score, by), df, label, by)
-    step = F.col("pos") * F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
-    return curve.groupBy(*by).agg(_zero(F.try_divide(F.sum(step), F.max("p"))).alias("average_precision"))
+    return curve_areas(df, label, score, by).select(*by, "average_precision")
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
@@ -145,7 +152,7 @@ def winner_rows(summary: DataFrame, winners: DataFrame, keys: Sequence[str], thr
 
 def error_rows(df: DataFrame, threshold: float, label: str = "label", score: str = "score") -> DataFrame:
     """False positives and false negatives with their kind."""
-    predicted = (F.col(score) >= threshold).cast("int")
+    predicted = reaches(F.col(score), threshold).cast("int")
     kind = F.when((F.col(label) == 0) & (predicted == 1), "false_positive").when(
         (F.col(label) == 1) & (predicted == 0), "false_negative")
     return df.withColumns({"prediction": predicted, "error_kind": kind}).filter(F.col("error_kind").isNotNull())

@@ -8,12 +8,12 @@ support-vector classifier has a linear kernel.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -21,15 +21,23 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numeric_columns
-from .metrics import average_precision, confusion, error_rows, group_importance, roc_auc, threshold_sweep
+from .common import attach_scalars, numeric_columns
+from .metrics import (
+    classification_report,
+    confusion,
+    curve_areas,
+    error_rows,
+    group_importance,
+    reaches,
+    threshold_sweep,
+)
 from .ordered import mean_rank
-from .prep import class_weights, fit_imputers, min_max_scale, smote, stratified_folds, stratified_split
+from .prep import class_weights, fit_imputers, min_max_scale, positive_weight, smote, stratified_folds, stratified_split
 from .profile import error_profile
 
 # Thresholds swept by the benchmark and by the grid search.
@@ -40,12 +48,15 @@ SEED = 42
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """An estimator by name with its parameters and the imbalance strategy
-    (``plain``, ``weighted`` or ``smote``)."""
+    """An estimator by name with its parameters, the imbalance strategy (``plain``,
+    ``weighted``: balanced classes, ``positive_weight``: negatives per positive on the
+    positives, ``smote``) and how its numeric columns are scaled."""
 
     name: str
     strategy: str = "plain"
     params: Mapping[str, object] = field(default_factory=dict)
+    scale: bool = True
+    with_mean: bool = True
 
     @property
     def label(self) -> str:
@@ -54,13 +65,25 @@ class ModelConfig:
 
 
 def model(name: str, features: str = "features", label: str = "label", weight: str | None = None,
-          **params) -> Estimator:
-    """A classifier with the benchmark's defaults; ``params`` overrides them."""
+          total_weight: float | None = None, **params) -> Estimator:
+    """A classifier with the benchmark's defaults; ``params`` overrides them.
+
+    The penalty of the linear models is given as ``C`` (1 by default), the weight of
+    the summed loss against half the squared coefficients. Spark averages the loss,
+    so its own parameter is 1 / (C * ``total_weight``), the summed weight of the rows;
+    ``regParam`` states it directly instead.
+    """
     base = {"featuresCol": features, "labelCol": label}
     if weight:
         base["weightCol"] = weight
-    if name == "logistic":
-        made = LogisticRegression(**{"maxIter": 100, "regParam": 1e-3, **base, **params})
+    if name in ("logistic", "svc"):
+        penalty = float(params.pop("C", 1.0))
+        if "regParam" not in params:
+            if not total_weight:
+                raise ValueError("a penalty given as C needs the weight of the training rows")
+            params["regParam"] = 1.0 / (penalty * total_weight)
+        linear = LogisticRegression if name == "logistic" else LinearSVC
+        made = linear(**{"maxIter": 3000, "standardization": False, **base, **params})
     elif name == "tree":
         made = DecisionTreeClassifier(**{"maxDepth": 5, "minInstancesPerNode": 10, "seed": SEED, **base, **params})
     elif name == "forest":
@@ -68,9 +91,7 @@ def model(name: str, features: str = "features", label: str = "label", weight: s
                                          **base, **params})
     elif name == "gbt":
         made = GBTClassifier(**{"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.9,
-                                "seed": SEED, **base, **params})
-    elif name == "svc":
-        made = LinearSVC(**{"maxIter": 100, "regParam": 1e-2, **base, **params})
+                                "featureSubsetStrategy": "0.9", "seed": SEED, **base, **params})
     else:
         raise ValueError(f"unknown model {name!r}")
     return made
@@ -86,24 +107,29 @@ def _literal(value: object) -> str:
 
 def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                      with_mean: bool = True, scale: bool = True) -> PipelineModel:
-    """Imputation, one-hot coding (unseen categories give all zeros) and scaling
-    of the numeric columns, learned from the training rows. Every stage is a
+    """Imputation, scaling of the numeric columns by the population deviation (a
+    constant column is divided by 1) and one-hot coding (unseen categories give all
+    zeros), learned from the training rows. NaN counts as missing. Every stage is a
     Spark ML stage, so the whole can be saved."""
     fill = fit_imputers(train, numeric, categorical)
-    exprs = [f"coalesce(try_cast(`{c}` AS DOUBLE), {_literal(fill[c])}) AS `{c}__num`" for c in numeric]
+    as_double = {c: f"coalesce(nanvl(try_cast(`{c}` AS DOUBLE), CAST(NULL AS DOUBLE)), {_literal(fill[c])})" for c in numeric}
+    if scale and numeric:
+        moments = train.agg(*[F.expr(f"struct(avg({x}) AS mean, stddev_pop({x}) AS sd)").alias(c)
+                              for c, x in as_double.items()]).first()
+        for c, x in as_double.items():
+            mean, sd = moments[c]["mean"], moments[c]["sd"]
+            shifted = f"({x} - {_literal(mean)})" if with_mean and mean is not None else x
+            as_double[c] = f"{shifted} / {_literal(sd or 1.0)}"
+    exprs = [f"{x} AS `{c}__num`" for c, x in as_double.items()]
     exprs += [f"coalesce(CAST(`{c}` AS STRING), {_literal(fill[c])}) AS `{c}__cat`" for c in categorical]
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")]
-    if numeric:
-        stages.append(VectorAssembler(inputCols=[f"{c}__num" for c in numeric], outputCol="numeric_raw"))
-        if scale:
-            stages.append(StandardScaler(inputCol="numeric_raw", outputCol="numeric_part", withMean=with_mean))
     if categorical:
         stages.append(StringIndexer(inputCols=[f"{c}__cat" for c in categorical],
                                     outputCols=[f"{c}__idx" for c in categorical], handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))
         stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical],
                                     outputCols=[f"{c}__hot" for c in categorical], dropLast=True))
-    parts = (["numeric_part" if scale else "numeric_raw"] if numeric else []) + [f"{c}__hot" for c in categorical]
+    parts = [f"{c}__num" for c in numeric] + [f"{c}__hot" for c in categorical]
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return Pipeline(stages=stages).fit(train)
 
@@ -113,32 +139,41 @@ def split_columns(df: DataFrame, features: Sequence[str]) -> tuple[list[str], li
     return [c for c in features if c in kinds], [c for c in features if c not in kinds]
 
 
-def _training_rows(prepared: DataFrame, cfg: ModelConfig, target: str, row_id: str) -> tuple[DataFrame, str | None]:
+def training_rows(prepared: DataFrame, strategy: str, target: str, row_id: str) -> DataFrame:
+    """(features, label, weight) after the imbalance strategy: what an estimator is fitted on."""
     rows = prepared.select(row_id, "features", F.col(target).cast("double").alias("label"))
-    if cfg.strategy == "weighted":
-        return class_weights(rows, "label"), "class_weight"
-    if cfg.strategy == "smote":
+    if strategy == "weighted":
+        return class_weights(rows, "label", "weight")
+    if strategy == "positive_weight":
+        weighted = attach_scalars(rows, positive_weight(rows, "label"))
+        return weighted.withColumn("weight", F.when(F.col("label") == 1, F.col("positive_weight")).otherwise(1.0))
+    if strategy == "smote":
         dense = rows.select(row_id, vector_to_array("features").alias("_v"), "label")
         extra = smote(dense, "label", row_id, "_v")
         both = dense.select("_v", "label").unionByName(extra.select("_v", "label"))
-        return both.select(array_to_vector("_v").alias("features"), "label"), None
-    return rows, None
+        return both.select(array_to_vector("_v").alias("features"), "label", F.lit(1.0).alias("weight"))
+    if strategy != "plain":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    return rows.withColumn("weight", F.lit(1.0))
+
+
+def fit_model(rows: DataFrame, cfg: ModelConfig) -> Model:
+    """The estimator of a configuration on prepared :func:`training_rows`."""
+    total = rows.agg(F.sum("weight")).first()[0] if cfg.name in ("logistic", "svc") else None
+    return model(cfg.name, weight="weight", total_weight=total, **dict(cfg.params)).fit(rows)
 
 
 def make_pipeline(train: DataFrame, features: Sequence[str], target: str, row_id: str, cfg: ModelConfig,
                   preprocessor: PipelineModel | None = None) -> PipelineModel:
     """Preprocessing and estimator as one saved-able pipeline model. Over-sampling
     happens on the prepared training rows, between the two."""
-    narrow = train.select(*dict.fromkeys([row_id, *features, target])).persist()
-    rows = narrow
+    narrow = train.select(*dict.fromkeys([row_id, *features, target]))
+    prep = preprocessor or fit_preprocessor(narrow, *split_columns(train, features), cfg.with_mean, cfg.scale)
+    rows = training_rows(prep.transform(narrow), cfg.strategy, target, row_id).persist()
     try:
-        prep = preprocessor or fit_preprocessor(narrow, *split_columns(train, features))
-        rows, weight = _training_rows(prep.transform(narrow), cfg, target, row_id)
-        rows = rows.persist()
-        fitted = model(cfg.name, weight=weight, **dict(cfg.params)).fit(rows)
+        fitted = fit_model(rows, cfg)
     finally:
         rows.unpersist()
-        narrow.unpersist()
     return PipelineModel([*prep.stages, fitted])
 
 
@@ -163,51 +198,61 @@ def _evaluate(scored: DataFrame, thresholds: Sequence[float]) -> list[dict]:
     """Threshold metrics and curve metrics; a handful of rows."""
     kept = scored.select(F.col("label").cast("int").alias("label"), "score").persist()
     try:
-        auc = roc_auc(kept).first()["roc_auc"]
-        ap = average_precision(kept).first()["average_precision"]
+        areas = curve_areas(kept).first()
         rows = threshold_sweep(kept, thresholds).collect()
     finally:
         kept.unpersist()
-    return [{**r.asDict(), "roc_auc": auc, "pr_auc": ap} for r in rows]
+    return [{**r.asDict(), "roc_auc": areas["roc_auc"], "pr_auc": areas["average_precision"]} for r in rows]
+
+
+def _fitted_side_by_side(train: DataFrame, features: Sequence[str], target: str, row_id: str,
+                         configs: Sequence[ModelConfig], parallelism: int) -> Iterator[tuple[ModelConfig, PipelineModel]]:
+    """Every configuration fitted on ``train``. Preprocessing is learned once per way
+    of scaling and over-sampling done once per strategy, not once per model."""
+    numeric, categorical = split_columns(train, features)
+    narrow = train.select(*dict.fromkeys([row_id, *features, target]))
+    groups: dict[tuple, list[ModelConfig]] = {}
+    for cfg in configs:
+        groups.setdefault((cfg.scale, cfg.with_mean), []).append(cfg)
+    for (scale, with_mean), same_scale in groups.items():
+        prep = fit_preprocessor(narrow, numeric, categorical, with_mean, scale)
+        prepared = prep.transform(narrow)
+        for strategy in dict.fromkeys(c.strategy for c in same_scale):
+            rows = training_rows(prepared, strategy, target, row_id).persist()
+            try:
+                wanted = [c for c in same_scale if c.strategy == strategy]
+                with ThreadPool(parallelism) as pool:
+                    for cfg, fitted in zip(wanted, pool.map(lambda c: fit_model(rows, c), wanted)):
+                        yield cfg, PipelineModel([*prep.stages, fitted])
+            finally:
+                rows.unpersist()
 
 
 def cross_validate(df: DataFrame, sets: Mapping[str, Sequence[str]], target: str, row_id: str,
                    configs: Sequence[ModelConfig], k: int = 5, thresholds: Sequence[float] = THRESHOLDS,
-                   seed: int = SEED, parallelism: int = 2) -> DataFrame:
-    """Feature sets × folds × models × thresholds in long form. Preprocessing is
-    learned once per fold; the models of a fold are fitted side by side."""
+                   seed: int = SEED, parallelism: int = 4) -> DataFrame:
+    """Feature sets × folds × models × thresholds in long form."""
     folded = stratified_folds(df, target, k, [row_id], seed).persist()
     rows: list[dict] = []
     try:
         for set_name, features in sets.items():
-            numeric, categorical = split_columns(df, features)
             for fold in range(1, k + 1):
                 train, valid = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-                prep = fit_preprocessor(train, numeric, categorical)
-
-                def one(cfg: ModelConfig) -> list[dict]:
-                    fitted = make_pipeline(train, features, target, row_id, cfg, prep)
+                for cfg, fitted in _fitted_side_by_side(train, features, target, row_id, configs, parallelism):
                     scored = predict_scores(fitted, valid.withColumn("label", F.col(target)), ["label"])
-                    return [{"feature_set": set_name, "fold": fold, "model": cfg.name, "strategy": cfg.strategy, **m}
-                            for m in _evaluate(scored, thresholds)]
-
-                with ThreadPool(parallelism) as pool:
-                    for found in pool.map(one, configs):
-                        rows += found
+                    rows += [{"feature_set": set_name, "fold": fold, "model": cfg.name, "strategy": cfg.strategy, **m}
+                             for m in _evaluate(scored, thresholds)]
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, CV_SCHEMA)
 
 
-def parameter_grid(logistic: bool = True, tree: bool = True, forest: bool = True, gbt: bool = True,
-                   quick: bool = False) -> list[ModelConfig]:
-    """The tuning grid: 6 logistic, 24 tree, 24 forest and 16 boosted
-    configurations; ``quick`` keeps the corners with few trees."""
-    depth = {"none": 30}
+def parameter_grid(logistic: bool = True, tree: bool = True, forest: bool = True, gbt: bool = True) -> list[ModelConfig]:
+    """The tuning grid: 6 logistic, 24 tree, 24 forest and 16 boosted configurations."""
+    depth = {"none": 30}  # the deepest that Spark grows
     out: list[ModelConfig] = []
     if logistic:
-        out += [ModelConfig("logistic", s, {"regParam": round(r, 4)}) for r, s in
-                product((0.01, 0.001, 0.0003), ("plain", "weighted"))]
+        out += [ModelConfig("logistic", s, {"C": c}) for c, s in product((0.1, 1.0, 3.0), ("plain", "weighted"))]
     if tree:
         out += [ModelConfig("tree", s, {"maxDepth": depth.get(d, d), "minInstancesPerNode": m})
                 for d, m, s in product((3, 5, 8, "none"), (1, 5, 10), ("plain", "weighted"))]
@@ -216,28 +261,20 @@ def parameter_grid(logistic: bool = True, tree: bool = True, forest: bool = True
                 for n, d, m, s in product((200, 400), (5, 10, "none"), (1, 5), ("plain", "weighted"))]
     if gbt:
         out += [ModelConfig("gbt", s, {"maxIter": n, "maxDepth": d, "stepSize": r})
-                for n, d, r, s in product((200, 400), (3, 5), (0.05, 0.10), ("plain", "weighted"))]
-    if not quick:
-        return out
-    small = {"numTrees": 10, "maxIter": 5}
-    picked = {}
-    for cfg in out:
-        picked.setdefault((cfg.name, cfg.strategy), cfg)
-    return [ModelConfig(c.name, c.strategy, {p: small[p] if p in small and c.name != "logistic" else v
-                                             for p, v in c.params.items()}) for c in picked.values()]
+                for n, d, r, s in product((200, 400), (3, 5), (0.05, 0.10), ("plain", "positive_weight"))]
+    return out
 
 
 def grid_search(df: DataFrame, features: Sequence[str], target: str, row_id: str, grid: Sequence[ModelConfig],
-                thresholds: Sequence[float] = GRID_THRESHOLDS, test_size: float = 0.3, seed: int = SEED) -> DataFrame:
+                thresholds: Sequence[float] = GRID_THRESHOLDS, test_size: float = 0.3, seed: int = SEED,
+                parallelism: int = 4) -> DataFrame:
     """Every configuration fitted on the training part and swept over thresholds
     on the hold-out part."""
     marked = stratified_split(df, target, test_size, [row_id], seed).persist()
     rows = []
     try:
         train, test = marked.filter("is_test = 0"), marked.filter("is_test = 1")
-        prep = fit_preprocessor(train, *split_columns(df, features))
-        for cfg in grid:
-            fitted = make_pipeline(train, features, target, row_id, cfg, prep)
+        for cfg, fitted in _fitted_side_by_side(train, features, target, row_id, grid, parallelism):
             scored = predict_scores(fitted, test.withColumn("label", F.col(target)), ["label"])
             rows += [{"model": cfg.name, "strategy": cfg.strategy, "configuration": cfg.label,
                       "params": json.dumps(dict(cfg.params), sort_keys=True), **m}
@@ -252,9 +289,9 @@ def grid_search(df: DataFrame, features: Sequence[str], target: str, row_id: str
 
 def evaluate_winner(df: DataFrame, features: Sequence[str], target: str, row_id: str, cfg: ModelConfig,
                     threshold: float, test_size: float = 0.3, seed: int = SEED
-                    ) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame]:
+                    ) -> tuple[PipelineModel, DataFrame, DataFrame, DataFrame, DataFrame]:
     """Fit on the training part, then on the hold-out part: the model, one metric
-    row, the misclassified rows, and their profile by error kind."""
+    row, the misclassified rows, their profile by error kind, and the report per class."""
     marked = stratified_split(df, target, test_size, [row_id], seed)
     train, test = marked.filter("is_test = 0"), marked.filter("is_test = 1")
     fitted = make_pipeline(train, features, target, row_id, cfg)
@@ -268,7 +305,8 @@ def evaluate_winner(df: DataFrame, features: Sequence[str], target: str, row_id:
     numeric, categorical = split_columns(df, features)
     profiles = [error_profile(errors.filter(F.col("error_kind") == kind), numeric, categorical).withColumn(
         "error_kind", F.lit(kind)) for kind in ("false_positive", "false_negative")]
-    return fitted, metrics, errors, profiles[0].unionByName(profiles[1])
+    predicted = scored.select("label", reaches(F.col("score"), threshold).cast("int").alias("prediction"))
+    return fitted, metrics, errors, profiles[0].unionByName(profiles[1]), classification_report(predicted)
 
 
 def model_matrix_json(metrics: DataFrame) -> DataFrame:
@@ -284,11 +322,10 @@ def export_models(df: DataFrame, features: Sequence[str], target: str, row_id: s
     was saved. An export is (alias, configuration, threshold)."""
     clean = df.filter(F.col(target).isNotNull())
     counts = df.agg(F.count(F.lit(1)).alias("all"), F.count(target).alias("kept")).first()
-    prep = fit_preprocessor(clean, *split_columns(df, features))
     rows = []
     for alias, cfg, threshold in exports:
         path = f"{folder.rstrip('/')}/{alias}"
-        make_pipeline(clean, features, target, row_id, cfg, prep).write().overwrite().save(path)
+        make_pipeline(clean, features, target, row_id, cfg).write().overwrite().save(path)
         rows.append((alias, cfg.name, cfg.strategy, float(threshold), len(features), counts["kept"],
                      counts["all"] - counts["kept"], path))
     return df.sparkSession.createDataFrame(rows, (
@@ -301,7 +338,7 @@ def score_table(fitted: PipelineModel | str, df: DataFrame, threshold: float, ke
     if isinstance(fitted, str):
         fitted = PipelineModel.load(fitted)
     scored = predict_scores(fitted, df, keep)
-    return scored.withColumn("prediction", (F.col("score") >= threshold).cast("int"))
+    return scored.withColumn("prediction", reaches(F.col("score"), threshold).cast("int"))
 
 
 def grouped_importance(fitted: PipelineModel, df: DataFrame) -> DataFrame:
@@ -315,12 +352,7 @@ def grouped_importance(fitted: PipelineModel, df: DataFrame) -> DataFrame:
     rows = []
     for i, w in enumerate(weights.toArray()):
         name = names.get(i, f"slot_{i}")
-        hot = name.split("__hot_")[0] if "__hot_" in name else name
-        base = hot.removesuffix("__num")
-        if base.startswith("numeric_part_") or base.startswith("numeric_raw_"):
-            assembler = next(s for s in fitted.stages if isinstance(s, VectorAssembler))
-            base = assembler.getInputCols()[int(base.rsplit("_", 1)[1])].removesuffix("__num")
-        rows.append((base, float(w)))
+        rows.append((name.split("__hot_")[0] if "__hot_" in name else name.removesuffix("__num"), float(w)))
     return group_importance(df.sparkSession.createDataFrame(rows, "variable string, weight double"))
 
 

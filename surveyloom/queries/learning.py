@@ -167,18 +167,15 @@ def _(t):
 
 # ---------------------------------------------------------------- models
 
-SMALL = {"forest": {"numTrees": 10}, "gbt": {"maxIter": 5}}
-
-
-# Fitted values have no SQL. What has: the rows that are scored, the range of a
-# score, and the counts every confusion matrix must add up to.
+# Fitted values on many features have no SQL. What has: the rows that are scored, the
+# range of a score, and the counts every confusion matrix must add up to. On one
+# yes/no feature the fitted values have closed forms; see below.
 SCORED_ROWS = """SELECT doc_id, toxic, true AS in_range FROM documents JOIN labels USING (doc_id)"""
 
 
 def _scores(t, name, strategy="weighted"):
     df = labelled(t)
-    cfg = M.ModelConfig(name, strategy, SMALL.get(name, {}))
-    fitted = M.make_pipeline(df, FEATURES, "toxic", "doc_id", cfg)
+    fitted = M.make_pipeline(df, FEATURES, "toxic", "doc_id", M.ModelConfig(name, strategy))
     scored = M.predict_scores(fitted, df, ["doc_id", "toxic"])
     return scored.select("doc_id", "toxic", F.coalesce(col("score").between(0, 1), F.lit(False)).alias("in_range"))
 
@@ -213,6 +210,70 @@ def _(t):
     return _scores(t, "logistic", "smote")
 
 
+# One yes/no feature (English or not; missing and NaN are filled by the median): a model
+# without penalty, or one tree over it, gives each side the share of its positives.
+ENGLISH = """(SELECT doc_id, toxic, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS english
+    FROM documents JOIN labels USING (doc_id))"""
+RATE = f"""SELECT doc_id, round(avg(toxic) OVER (PARTITION BY english), 5) AS score FROM {ENGLISH}"""
+BALANCED_RATE = f"""SELECT doc_id, round(p / (p + n), 5) AS score FROM (SELECT doc_id,
+    SUM(toxic) OVER (PARTITION BY english) / SUM(toxic) OVER () AS p,
+    SUM(1 - toxic) OVER (PARTITION BY english) / SUM(1 - toxic) OVER () AS n FROM {ENGLISH})"""
+BOTH_CLASSES = {"maxIter": 3000, "regParam": 0.0, "tol": 1e-12}
+
+
+def _one_flag(t, name, strategy, params):
+    """Scores of a model on the one feature, which is numeric with holes: most documents
+    are English, so the null or NaN of a quarter of them is filled with 1."""
+    held = F.when(col("doc_id") % 8 == 1, F.lit(float("nan"))).when(col("doc_id") % 8 != 3, F.lit(1.0))
+    df = labelled(t).select("doc_id", "toxic", F.when(col("lang") == "en", held).otherwise(F.lit(0.0)).alias("english"))
+    fitted = M.make_pipeline(df, ["english"], "toxic", "doc_id", M.ModelConfig(name, strategy, params))
+    return rounded(M.predict_scores(fitted, df, ["doc_id"]), "score", digits=5)
+
+
+@query("m01b_logistic_is_the_rate", RATE)
+def _(t):
+    return _one_flag(t, "logistic", "plain", BOTH_CLASSES)
+
+
+@query("m01c_weighted_logistic_is_the_balanced_rate", BALANCED_RATE)
+def _(t):
+    return _one_flag(t, "logistic", "weighted", BOTH_CLASSES)
+
+
+# Spark merges leaves that predict the same class, so a tree shows the share of each side
+# only where the sides predict different classes, as they do with balanced ones.
+@query("m02b_weighted_tree_is_the_balanced_rate", BALANCED_RATE)
+def _(t):
+    return _one_flag(t, "tree", "weighted", {"maxDepth": 1, "minInstancesPerNode": 1})
+
+
+@query("m02c_positive_weight_tree_is_the_balanced_rate", BALANCED_RATE)
+def _(t):
+    return _one_flag(t, "tree", "positive_weight", {"maxDepth": 1, "minInstancesPerNode": 1})
+
+
+@query("m03b_one_tree_forest_is_the_balanced_rate", BALANCED_RATE)
+def _(t):
+    return _one_flag(t, "forest", "weighted", {"numTrees": 1, "bootstrap": False, "maxDepth": 1, "minInstancesPerNode": 1,
+                                            "featureSubsetStrategy": "all"})
+
+
+@query("m04b_one_boosting_round", f"""
+    SELECT doc_id, round(1 / (1 + exp(-2 * (2 * avg(toxic) OVER (PARTITION BY english) - 1))), 5) AS score FROM {ENGLISH}""")
+def _(t):
+    """The first round fits the mean of -1 and 1; the score is the logistic of twice it."""
+    return _one_flag(t, "gbt", "plain", {"maxIter": 1, "maxDepth": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": "all"})
+
+
+@query("m05b_svc_orders_the_sides", f"""
+    SELECT doc_id, CASE WHEN rate > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS score FROM (SELECT doc_id, p / (p + n) AS rate FROM (
+        SELECT doc_id, SUM(toxic) OVER (PARTITION BY english) / SUM(toxic) OVER () AS p,
+        SUM(1 - toxic) OVER (PARTITION BY english) / SUM(1 - toxic) OVER () AS n FROM {ENGLISH}))""")
+def _(t):
+    """With balanced classes the margin's two values lie on either side of zero."""
+    return _one_flag(t, "svc", "weighted", {})
+
+
 @query("m07_scaled_margin", """
     SELECT o_orderkey, round((o_totalprice - min(o_totalprice) OVER ()) / (max(o_totalprice) OVER () - min(o_totalprice) OVER ()
            + 1e-9), 6) AS score FROM orders""")
@@ -237,29 +298,38 @@ def _thresholds(values):
     return "(SELECT unnest([" + ", ".join(f"{v}::DOUBLE" for v in values) + "]) AS threshold)"
 
 
-TWO_FOLDS = """(SELECT fold, COUNT(*) FILTER (toxic = 1) AS positives, COUNT(*) FILTER (toxic = 0) AS negatives FROM (
-    SELECT toxic, CAST((row_number() OVER (ORDER BY toxic) - 1) % 2 + 1 AS INTEGER) AS fold FROM labels) GROUP BY fold)"""
+FIVE_FOLDS = """(SELECT fold, COUNT(*) FILTER (toxic = 1) AS positives, COUNT(*) FILTER (toxic = 0) AS negatives FROM (
+    SELECT toxic, CAST((row_number() OVER (ORDER BY toxic) - 1) % 5 + 1 AS INTEGER) AS fold FROM labels) GROUP BY fold)"""
 HOLD_OUT = f"""(SELECT max(q) FILTER (toxic = 1) AS positives, max(q) FILTER (toxic = 0) AS negatives
     FROM {_quota_sql("labels", "toxic")})"""
 
 
+SETS = P.feature_sets(["n_chars", "lang", "source", "quality"], [*FEATURES, "text_per_char"], ["quality"], ["text_per_char"])
+
+
+def _engineered(t):
+    return labelled(t).withColumn("text_per_char", F.try_divide("text_length", "n_chars"))
+
+
 @query("m08_cross_validate", f"""
-    SELECT s AS feature_set, fold, m AS model, threshold, positives, negatives, true AS consistent
-    FROM (SELECT unnest(['full', 'no_leakage']) AS s), (SELECT unnest(['logistic', 'tree']) AS m), {TWO_FOLDS},
-         {_thresholds(M.THRESHOLDS)}""")
+    SELECT s AS feature_set, fold, m AS model, w AS strategy, threshold, positives, negatives, true AS consistent
+    FROM (SELECT unnest({list(SETS)}) AS s), (SELECT unnest(['logistic', 'tree']) AS m), (SELECT unnest(['weighted']) AS w),
+         {FIVE_FOLDS}, {_thresholds(M.THRESHOLDS)}""")
 def _(t):
-    sets = {"full": FEATURES, "no_leakage": ["n_chars", "text_length", "lang"]}
-    return _checked(M.cross_validate(labelled(t), sets, "toxic", "doc_id", [
-        M.ModelConfig("logistic", "weighted"), M.ModelConfig("tree", "weighted")], k=2), "feature_set", "fold", "model")
+    configs = [M.ModelConfig(m, "weighted") for m in ("logistic", "tree")]
+    return _checked(M.cross_validate(_engineered(t), SETS, "toxic", "doc_id", configs), "feature_set", "fold", "model", "strategy")
 
 
 @query("m09_grid_search", f"""
-    SELECT m AS model, s AS strategy, threshold, positives, negatives, true AS consistent
-    FROM (SELECT unnest(['logistic', 'tree']) AS m), (SELECT unnest(['plain', 'weighted']) AS s), {HOLD_OUT},
-         {_thresholds(M.GRID_THRESHOLDS)}""")
+    SELECT model, strategy, n_configurations, threshold, positives, negatives, true AS consistent
+    FROM (VALUES ('logistic', 3), ('tree', 12)) AS v(model, n_configurations), (SELECT unnest(['plain', 'weighted']) AS strategy),
+         {HOLD_OUT}, {_thresholds(M.GRID_THRESHOLDS)}""")
 def _(t):
-    return _checked(M.grid_search(labelled(t), ["n_chars", "text_length", "lang"], "toxic", "doc_id",
-                                  M.parameter_grid(quick=True, forest=False, gbt=False)), "model", "strategy")
+    """The linear and tree parts of the grid, every configuration of them."""
+    found = M.grid_search(labelled(t), ["n_chars", "text_length", "lang"], "toxic", "doc_id", M.parameter_grid(forest=False, gbt=False))
+    each = _checked(found, "model", "strategy", "configuration")
+    return each.groupBy("model", "strategy", "threshold", "positives", "negatives").agg(
+        F.count_distinct("configuration").cast("int").alias("n_configurations"), F.bool_and("consistent").alias("consistent"))
 
 
 @query("m10_evaluate_winner", f"""
@@ -302,7 +372,7 @@ NAMES = "(SELECT unnest([" + ", ".join(f"'{c}'" for c in FEATURES) + "]) AS vari
 @query("k09_rf_importance", f"""
     SELECT variable, true AS in_range, true AS rank_is_mean FROM {NAMES}, (SELECT COUNT(*) AS n FROM labels) WHERE n > 0""")
 def _(t):
-    forest = M.rf_importance(labelled(t), FEATURES, "toxic", "doc_id", trees=10)
+    forest = M.rf_importance(labelled(t), FEATURES, "toxic", "doc_id")
     mutual = mutual_info(labelled(t), ["lang", "source", "quality"], ["n_chars", "text_length"], "toxic")
     ranked = M.rank_by_two_scores(mutual, forest)
     return ranked.select("variable", col("rf_importance").between(0, 1).alias("in_range"), (

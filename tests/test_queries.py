@@ -5,7 +5,7 @@ from oracle import compare, connect
 
 import __spark_entry__ as entry
 
-SLOW = ("m0", "m1", "k09", "p11b")  # fitting is covered by test_learning on fixtures
+SLOW = ("m01_", "m03_", "m04_", "m05", "m06", "m08", "m09", "m1", "k09", "p11b")  # fitting is covered by test_learning on fixtures
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def con(data):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, data, con, name):
     sql = entry.oracle_sql().get(name)
-    if name.startswith(SLOW) and name not in ("m02_tree_scores", "m07_scaled_margin"):
+    if name.startswith(SLOW):
         pytest.skip("fitting is tested on fixtures")
     df = entry.queries()[name](spark, data)
     if sql is None:

@@ -171,7 +171,12 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row of each group: that with the smallest id (one of them, if rows share it)."""
-    found = groups(docs, doc_id, text, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return keep_smallest(docs, groups(docs, doc_id, text, shingle), doc_id)
+
+
+def keep_smallest(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is the component_id of their group in ``found``."""
+    found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = found.groupBy(F.col("doc_id").alias("_keep")).agg(F.count("*").alias("_n"))
     rows = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_keep")), "inner")
     single = rows.where("_n = 1").select(docs.columns)

@@ -9,16 +9,17 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from . import bpe, chat_tree, language_id, mixing, neighbours, pii, quality_rules, repeats, secret_scan, simhash
+from . import (bpe, chat_tree, filter_audit, importance, language_id, mixing, neighbours, pii, quality_rules, repeats, secret_scan,
+               signature_join, simhash)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, table: str, sql: str | None = None):
-    """Register ``fn(whole table) -> DataFrame``."""
+def query(name: str, tables: str, sql: str | None = None):
+    """Register ``fn(whole table, ...) -> DataFrame``."""
     def wrap(fn):
-        QUERIES[name] = lambda spark, folder: fn(spark.read.parquet(f"{folder}/{table}.parquet"))
+        QUERIES[name] = lambda spark, folder: fn(*[spark.read.parquet(f"{folder}/{t}.parquet") for t in tables.split()])
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -104,3 +105,46 @@ def _secret_scan(docs: DataFrame) -> DataFrame:
     return found.select(
         "doc.doc_id", *[secret_scan.how_many("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
         F.sha2(secret_scan.listed("base"), 256).alias("base_sha256"), secret_scan.listed("spans").alias("spans"))
+
+
+@query("op11_filter_audit", "documents labels", """
+    with docs as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+    worded as (select *, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words,
+        min(doc_id) over (partition by text) as least from docs),
+    failing as (select doc_id, part,
+        len(words) < 100 as a, 100 * len(list_distinct(words)) < 80 * len(words) as b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) as c,
+        regexp_matches(text, '[#$%&*|]') as d, coalesce(doc_id > least, false) as e from worded),
+    good as (select doc_id, max(coalesce(quality = 1, false)) as good, max(coalesce(toxic = 1, false)) as toxic from labels group by doc_id),
+    masks as (select part, 1 * a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as mask, count(*) as n,
+        count(*) filter (where good) as good, count(*) filter (where toxic) as toxic
+        from failing left join good using (doc_id) group by all),
+    letters as (select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) t(f, bit)),
+    orders as (select p.f || q.f || r.f || s.f || t.f as filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] as bits
+        from letters p, letters q, letters r, letters s, letters t where p.bit + q.bit + r.bit + s.bit + t.bit = 31
+        and (p.bit | q.bit | r.bit | s.bit | t.bit) = 31),
+    steps as (select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0)::int as earlier
+        from orders, range(1, 6) r(step)),
+    sums as (select part, filter_order, step, bit,
+        sum(n) filter (where mask & (earlier | bit) = 0) as kept, sum(n) filter (where mask & bit <> 0 and mask & earlier = 0) as removed,
+        sum(n) filter (where mask & bit <> 0 and mask & earlier <> 0) as redundant, sum(n) filter (where mask = bit) as unique_fails,
+        sum(good) filter (where mask & bit <> 0 and mask & earlier = 0) as good_lost,
+        sum(toxic) filter (where mask & bit <> 0 and mask & earlier = 0) as toxic_lost
+        from masks, steps group by all),
+    values_of as (select part, bit, sum(removed) as shapley from sums group by all)
+    select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+        coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+        coalesce(toxic_lost, 0)::bigint as toxic_lost, coalesce(shapley, 0)::bigint as shapley
+    from sums join values_of using (part, bit)""")
+def _filter_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    return filter_audit.audit(docs, labels)
+
+
+@query("op12_importance_resampling", "documents benchmark")
+def _importance_resampling(docs: DataFrame, target: DataFrame) -> DataFrame:
+    return importance.resample(docs, target)
+
+
+@query("op13_jaccard_join", "documents")
+def _jaccard_join(docs: DataFrame) -> DataFrame:
+    return signature_join.join(docs)

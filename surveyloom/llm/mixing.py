@@ -111,12 +111,14 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 
 def curriculum(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", most: float = MOST) -> DataFrame:
     """The rows of ``docs`` in training order, as often as the mix takes them whole
-    (a last occurrence counts if at least half of it is inside the share)."""
+    (a last occurrence counts if at least half of it is inside the share). Rows travel
+    inside one struct, so columns of ``docs`` may have any names."""
     counted = plan(docs, doc_id, text, source, most).where("copies > 0")
     # rows that share an id and a source share their occurrences in turn
     slots = counted.groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("size").alias("_z")).agg(
         F.min("positions").alias("_positions"))
-    kept = docs.withColumn("_size", size_of(text)).join(slots, F.col(f"`{doc_id}`").eqNullSafe(F.col("_d"))
-        & F.col(f"`{source}`").cast("string").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z")))
-    spread = kept.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode("_positions").alias("_position"))
-    return spread.orderBy("_position", doc_id).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{doc_id}`").alias("id"),
+                       F.col(f"`{source}`").cast("string").alias("source"), size_of(text).alias("size"))
+    kept = rows.join(slots, F.col("id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")))
+    spread = kept.select("doc", "id", F.explode("_positions").alias("position"))
+    return spread.orderBy("position", "id").select("doc.*")

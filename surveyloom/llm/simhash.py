@@ -131,15 +131,16 @@ def links(prints: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return twos.unionByName(few).unionByName(stars).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge; root is the smallest node reachable.
 
-    Alternates large-star and small-star rounds until the edges stay the same; each
-    round is a minimum per node and a join with it, never a list per node.
+    Alternates large-star and small-star rounds until the edges stay the same, however
+    many that takes; each round is a minimum per node and a join with it, never a list
+    per node.
     """
     cur = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     state = None
-    for _ in range(rounds):
+    while True:
         mark = cur.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == state:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
@@ -152,7 +153,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(down, "u")
         cur = materialise(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .unionByName(down.select("u", F.col("m").alias("v"))).distinct())
-    raise RuntimeError("components did not settle")
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -175,10 +175,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
 
 
 def keep_smallest(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is the component_id of their group in ``found``."""
+    """The rows of ``docs`` whose id is the component_id of their group in ``found``.
+
+    Rows travel inside one struct, so columns of ``docs`` may have any names."""
     found = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.groupBy(F.col("doc_id").alias("_keep")).agg(F.count("*").alias("_n"))
-    rows = docs.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_keep")), "inner")
-    single = rows.where("_n = 1").select(docs.columns)
-    several = rows.where("_n > 1").dropDuplicates([doc_id]).select(docs.columns)
-    return single.unionByName(several)
+    kept = found.groupBy(F.col("doc_id").alias("keep")).agg(F.count("*").alias("n"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{doc_id}`").alias("id"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("keep")), "inner")
+    single = rows.where("n = 1").select("doc")
+    several = rows.where("n > 1").dropDuplicates(["id"]).select("doc")
+    return single.unionByName(several).select("doc.*")

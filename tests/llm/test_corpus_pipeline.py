@@ -56,3 +56,15 @@ def test_odd_rows_and_empty_table(spark, data):
                 assert set(docs.columns) == set(out.columns)
     twice = spark.createDataFrame(rows[1:3], kind)
     assert simhash.keep_one(twice).count() == 1
+
+
+def test_columns_of_any_name(spark):
+    names = ["_n", "_keep", "_d", "_s", "_z", "_positions", "_position", "_size", "keep", "n", "doc", "id", "position", "size"]
+    kind = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"{n} int" for n in names)
+    own = tuple(range(len(names)))
+    docs = spark.createDataFrame([(k, f"words of text {k} " * 30, "en", "ab"[k % 2], 1, *own) for k in range(6)], kind)
+    for stage in (corpus_pipeline.near_dedup, corpus_pipeline.mix):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        rows = [tuple(r) for r in out.collect()]
+        assert rows and all(r[5:] == own for r in rows)

@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from surveyloom.llm import bpe, mixing, near_copies, pii, quality_rules
+from surveyloom.llm import bpe, mixing, pii, quality_rules, simhash
 from surveyloom.llm.common import shared_folder
 
 #: The pipeline has no SQL: fingerprints and tokens are beyond it. Tests compare
@@ -27,9 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word overlap of 0.8 or more) the document with
-    the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of each group of near copies (fingerprints linked at two bits or fewer) the
+    document with the smallest id stays."""
+    return simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

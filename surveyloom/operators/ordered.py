@@ -1,24 +1,28 @@
 """Order-dependent operators that never sort a whole group in one task.
 
-Ranks, running sums and exact quantiles are computed in *cells*: a cell is a
-monotone, value-only function of the sort key, so cells can be counted with a
-map-side combine, the running total over cells is a small table, and only the
-rows inside one cell are ever sorted together.
+Ranks and running sums work in *slots*: rows are dealt by ranges of (group, value), whose
+bounds Spark samples from the rows themselves, so that slots are about equally large
+whatever the values look like (epoch seconds, names with one prefix, one large class). A
+slot is sorted alone; its start is a sum over the small table of slots.
+
+Exact quantiles work in *cells*: monotone functions of the value whose rows are counted
+with a map-side combine. Only cells that hold a wanted rank are looked into, and one that
+is still too large is cut again between its own smallest and largest value.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import attach_scalars, join_keys, small_side
+from .common import attach_scalars, missing, small_side
 
 CELLS_PER_OCTAVE = 512
+CELL_ROWS = 1 << 20   # rows of a cell that are sorted together
 _LIFT = 600_000  # above the exponent range of a double times the cells per octave
-_LAST = 2**62
 _INF_CELL, _NAN_CELL = 2**60, 2**61
 
 
@@ -37,6 +41,11 @@ def hash_cell(h: Column, bits: int = 12) -> Column:
     return F.shiftright(h, 64 - bits)
 
 
+def hash_bits(rows: int) -> int:
+    """Leading bits for which a hash cell of so many rows holds about ``CELL_ROWS`` / 16."""
+    return min(40, max(12, (16 * rows // CELL_ROWS).bit_length()))
+
+
 def _cell_starts(cells: DataFrame, by: Sequence[str], measures: Sequence[str], descending: bool,
                  keep: Sequence[str] = ()) -> DataFrame:
     """Running total of each measure over the cells before this one."""
@@ -46,33 +55,41 @@ def _cell_starts(cells: DataFrame, by: Sequence[str], measures: Sequence[str], d
         F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_start_{m}") for m in measures])
 
 
-def _with_starts(rows: DataFrame, starts: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Bring the cell starts to the rows. The join key is one column ``_key``, on
-    which a following window inside the cell finds its partitioning in place; a
-    struct key also matches groups whose own key is missing."""
-    key = F.struct(*by, "_cell") if by else F.col("_cell")
-    side = starts.select(key.alias("_key"), *[f"_start_{m}" for m in measures])
-    return rows.withColumn("_key", key).join(side, "_key")
+# ---------------------------------------------------------------- slots
+
+def known(df: DataFrame, value: str) -> Column:
+    """Whether a value is there; NaN counts as missing."""
+    return ~missing(value, dict(df.dtypes)[value])
+
+
+def slotted(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` dealt by ranges of (by, order) and written once, with the number of the range
+    and the key ``_key`` of its group inside the range. A struct key also matches groups
+    whose own key is missing."""
+    dealt = cut_lineage(df.repartitionByRange(*by, *order).withColumn("_slot", F.spark_partition_id()))
+    return dealt.withColumn("_key", F.struct("_slot", *by))
+
+
+def _slot_starts(sums: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Sums per ``_key`` become the totals of the group's slots before this one."""
+    group = [F.col(f"_key.`{b}`") for b in by] or [F.lit(1)]
+    before = Window.partitionBy(*group).orderBy("_key._slot").rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select("*", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_start_{m}") for m in measures])
 
 
 def running_totals(df: DataFrame, by: Sequence[str], value: str, measures: Mapping[str, Column],
-                   descending: bool = True, cell: Callable[[Column], Column] = value_cell) -> DataFrame:
+                   descending: bool = True) -> DataFrame:
     """One row per distinct ``value`` with each measure and its running sum
-    (``cum_<measure>``, this value included) in value order. ``cell`` is any
-    monotone, value-only function of the value."""
-    by = list(by)
-    present = df.filter(F.col(value).isNotNull())
-    aggs = [m.alias(k) for k, m in measures.items()]
-    # counted from the rows, not from the distinct values: the second read costs
-    # less than a second shuffle of all distinct values
-    cells = present.withColumn("_cell", cell(F.col(value))).groupBy(*by, "_cell").agg(*aggs)
-    starts = _cell_starts(cells, by, list(measures), descending)
-    per_value = present.groupBy(*by, value).agg(*aggs).withColumn("_cell", cell(F.col(value)))
+    (``cum_<measure>``, this value included) in value order. Missing values and NaN have
+    no place in the order and are left out."""
+    by, names = list(by), list(measures)
     order = F.col(value).desc() if descending else F.col(value).asc()
+    per_value = df.filter(known(df, value)).groupBy(*by, value).agg(*[m.alias(k) for k, m in measures.items()])
+    dealt = slotted(per_value, by, [order])
+    starts = _slot_starts(dealt.groupBy("_key").agg(*[F.sum(k).alias(k) for k in names]), by, names).drop(*names)
     inside = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = _with_starts(per_value, starts, by, list(measures))
-    return joined.select(*by, value, *measures, *[
-        (F.col(f"_start_{k}") + F.sum(k).over(inside)).alias(f"cum_{k}") for k in measures])
+    return dealt.join(starts, "_key").select(*by, value, *names, *[
+        (F.col(f"_start_{k}") + F.sum(k).over(inside)).alias(f"cum_{k}") for k in names])
 
 
 def running_before(df: DataFrame, order: Sequence[str], measure: str, out: str) -> DataFrame:
@@ -89,10 +106,32 @@ def running_before(df: DataFrame, order: Sequence[str], measure: str, out: str)
 
 
 def rank_min(df: DataFrame, col: str, out: str, by: Sequence[str] = (), descending: bool = True) -> DataFrame:
-    """Rank where ties share the smallest position; missing values get none."""
-    totals = running_totals(df, by, col, {"_n": F.count(F.lit(1))}, descending)
-    ranks = totals.select(*by, col, (F.col("cum__n") - F.col("_n") + 1).alias(out))
-    return join_keys(df, ranks, [*by, col], "left") if by else df.join(ranks, col, "left").select(*df.columns, out)
+    """Rank where ties share the smallest position; missing values and NaN get none.
+
+    Rows are dealt by (value, hash of the row), so a frequent value is spread over as many
+    ranges as it fills. Inside a range a row has its rank there plus the range's start;
+    only rows of the value that a range begins with may take their rank from an earlier
+    one, the first in which that value is the last."""
+    by, there = list(by), known(df, col)
+    order = F.col(col).desc() if descending else F.col(col).asc()
+    spread = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t and t != "variant"])
+    dealt = slotted(df.filter(there), by, [order, spread])
+    placed = dealt.withColumn("_rank", F.rank().over(Window.partitionBy("_key").orderBy(order)))
+    first, last = (F.max, F.min) if descending else (F.min, F.max)
+    ends = placed.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.max("_rank").alias("_late"),
+                                      first(col).alias("_first"), last(col).alias("_last"))
+    ends = _slot_starts(ends, by, ["n"])
+    # where the run of a value begins that ends one range and goes on in the next
+    runs = ends.groupBy(*[F.col(f"_key.`{b}`").alias(f"_r_{b}") for b in by], F.col("_last").alias("_value")).agg(
+        F.min(F.col("_start_n") + F.col("_late")).alias("_run"))
+    same = F.col("_first") == F.col("_value")
+    for b in by:
+        same = same & F.col(f"_key.`{b}`").eqNullSafe(F.col(f"_r_{b}"))
+    starts = ends.join(runs, same, "left").select("_key", "_start_n", "_first", "_run")
+    rank = F.when(F.col(col) == F.col("_first"), F.coalesce("_run", F.col("_start_n") + 1)).otherwise(
+        F.col("_start_n") + F.col("_rank"))
+    ranked = placed.join(starts, "_key").select(*df.columns, rank.alias(out))
+    return ranked.unionByName(df.filter(~there).withColumn(out, F.lit(None).cast("bigint")))
 
 
 def mean_rank(df: DataFrame, first: str, second: str, out: str = "mean_rank") -> DataFrame:
@@ -104,59 +143,76 @@ def mean_rank(df: DataFrame, first: str, second: str, out: str = "mean_rank") ->
 def hashed_position(df: DataFrame, by: Sequence[str], unique_id: Sequence[str], seed: int, out: str) -> DataFrame:
     """Position 1..n of every row inside its group, in the order of a seeded
     hash of a unique id: exact, and the same on every run and partitioning."""
-    by = list(by)
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), *unique_id)).withColumn("_cell", hash_cell(F.col("_h")))
-    cells = hashed.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("n"))
-    starts = _cell_starts(cells, by, ["n"], descending=False)
-    inside = Window.partitionBy("_key").orderBy("_h", *unique_id)
-    return (_with_starts(hashed, starts, by, ["n"])
-            .withColumn(out, F.col("_start_n") + F.row_number().over(inside))
-            .select(*df.columns, out))
+    by, order = list(by), ["_h", *unique_id]
+    dealt = slotted(df.withColumn("_h", F.xxhash64(F.lit(seed), *unique_id)), by, [F.col(c) for c in order])
+    starts = _slot_starts(dealt.groupBy("_key").agg(F.count(F.lit(1)).alias("n")), by, ["n"]).drop("n")
+    place = F.col("_start_n") + F.row_number().over(Window.partitionBy("_key").orderBy(*order))
+    return dealt.join(starts, "_key").withColumn(out, place).select(*df.columns, out)
 
 
-def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float]) -> DataFrame:
+def exact_quantiles(long: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float],
+                    cell_rows: int = CELL_ROWS) -> DataFrame:
     """Exact, linearly interpolated quantiles per group.
 
-    First pass: count rows per cell and find the cells that hold the wanted
-    ranks. Second pass: read only those cells, count their distinct values and
-    pick the ranks. Neither pass gathers a group in one task.
+    A pass counts rows per cell and finds the cells that hold the wanted ranks. While one
+    of them has more than ``cell_rows`` rows and two values, all are cut into equal widths
+    between their ends and counted again. Then only their distinct values are read and the
+    ranks picked. No pass gathers a group in one task.
     """
     by = list(by)
     x = F.col(value).cast("double")
-    rows = (long.filter(F.col(value).isNotNull() & ~F.isnan(x))
-            .select(*by, x.alias("_x")).withColumn("_cell", value_cell(F.col("_x"))))
-    cells = rows.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("n"))
-    sized = cells.withColumn("_total", F.sum("n").over(Window.partitionBy(*by)))
-    located = _cell_starts(sized, by, ["n"], descending=False, keep=["n", "_total"])
-
-    def position(p: float) -> Column:
-        return (F.col("_total") - 1) * F.lit(float(p))
-
-    ranks = [f(position(p)) for p in probs.values() for f in (F.floor, F.ceil)]
-    wanted = None
-    for r in ranks:
-        hit = (r >= F.col("_start_n")) & (r < F.col("_start_n") + F.col("n"))
-        wanted = hit if wanted is None else wanted | hit
-    needed = small_side(located.filter(wanted).select(*by, "_cell", "_start_n", "_total"))
-
-    values = (join_keys(rows, needed, [*by, "_cell"], "inner")
-              .groupBy(*by, "_cell", "_start_n", "_total", "_x").agg(F.count(F.lit(1)).alias("n")))
-    inside = Window.partitionBy(*by, "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    placed = values.withColumn("_end", F.col("_start_n") + F.sum("n").over(inside))
+    rows = long.filter(F.col(value).isNotNull() & ~F.isnan(x)).select(*by, (x + F.lit(0.0)).alias("_x"))
+    position = {k: (F.col("_total") - 1) * F.lit(float(p)) for k, p in probs.items()}
+    ranks = [f(p) for p in position.values() for f in (F.floor, F.ceil)]
+
+    def holding(cells: DataFrame, group: Sequence[str]) -> DataFrame:
+        """Of counted cells (by, _cell, n, _lo, _hi, _total, _from) those with a wanted rank;
+        ``_from`` is where the first cell of ``group`` starts."""
+        before = Window.partitionBy(*group).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        start = F.col("_from") + F.coalesce(F.sum("n").over(before), F.lit(0))
+        placed = cells.withColumn("_start", start)
+        hit = F.exists(F.array(*ranks), lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("n")))
+        return small_side(placed.filter(hit).select(*by, "_lo", "_hi", "_start", "_total", "n"))
+
+    counted = [F.count(F.lit(1)).alias("n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")]
+    cells = rows.groupBy(*by, value_cell(F.col("_x")).alias("_cell")).agg(*counted)
+    whole = F.sum("n").over(Window.partitionBy(*by)) if by else F.sum("n").over(Window.partitionBy(F.lit(1)))
+    needed = holding(cells.withColumns({"_total": whole, "_from": F.lit(0)}), by or [F.lit(1)])
+
+    def inside(needed: DataFrame) -> DataFrame:
+        """The rows of the needed cells, with the cell's own columns."""
+        side = needed.select(*[F.col(b).alias(f"_r_{b}") for b in by], "_lo", "_hi", "_start", "_total")
+        match = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
+        for b in by:
+            match = match & F.col(b).eqNullSafe(F.col(f"_r_{b}"))
+        return rows.join(side, match)
+
+    while not needed.filter((F.col("n") > cell_rows) & (F.col("_lo") < F.col("_hi"))).isEmpty():
+        part = inside(needed.withColumnRenamed("n", "_n"))
+        # halves keep the width of the widest range finite; infinities are ends of their own
+        share = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        cut = F.when(F.col("_x") == F.col("_lo"), 0).when(F.col("_x") == F.col("_hi"), 4095).otherwise(
+            F.least(F.greatest(F.floor(F.coalesce(F.nanvl(share, F.lit(0.5)), F.lit(0.5)) * 4094).cast("int"), F.lit(0)), F.lit(4093)) + 1)
+        group = [*by, "_start", "_total"]
+        finer = part.groupBy(*group, cut.alias("_cell")).agg(*counted).withColumnRenamed("_start", "_from")
+        needed = holding(finer, [*by, "_from"])
+
+    values = inside(needed).groupBy(*by, "_start", "_total", "_x").agg(F.count(F.lit(1)).alias("n"))
+    within = Window.partitionBy(*by, "_start").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    placed = values.withColumn("_end", F.col("_start") + F.sum("n").over(within))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_end") - F.col("n")) & (rank < F.col("_end")), F.col("_x")))
 
     picked = placed.groupBy(*by).agg(F.max("_total").alias("_total"), *[
-        at(f(position(p))).alias(f"_{side}_{k}")
-        for k, p in probs.items() for side, f in (("lo", F.floor), ("hi", F.ceil))])
+        at(f(position[k])).alias(f"_{side}_{k}") for k in probs for side, f in (("lo", F.floor), ("hi", F.ceil))])
 
-    def between(k: str, p: float) -> Column:
-        lo, hi, part = F.col(f"_lo_{k}"), F.col(f"_hi_{k}"), position(p) - F.floor(position(p))
+    def between(k: str) -> Column:
+        lo, hi, part = F.col(f"_lo_{k}"), F.col(f"_hi_{k}"), position[k] - F.floor(position[k])
         # the ends of a flat or whole step may be infinite
         return F.when((lo == hi) | (part == 0), lo).otherwise(lo + (hi - lo) * part)
 
-    return picked.select(*by, *[between(k, p).alias(k) for k, p in probs.items()])
+    return picked.select(*by, *[between(k).alias(k) for k in probs])
 
 
 # ---------------------------------------------------------------- first / best per group

@@ -14,7 +14,7 @@ from ..functions import as_number
 from ..session import cut_lineage
 from .common import attach_scalars, join_keys, long_text, numeric_columns, small_side
 from .filters import drop_null_target
-from .ordered import _cell_starts, hash_cell, running_before
+from .ordered import _cell_starts, hash_bits, hash_cell, running_before
 from .projection import select_existing
 
 # ---------------------------------------------------------------- exact splits
@@ -28,11 +28,13 @@ def _hash_order(ids: Sequence[str], seed: int) -> Column:
     return F.struct(F.xxhash64(F.lit(seed), *ids).alias("h"), *[F.col(i).alias(f"i{j}") for j, i in enumerate(ids)])
 
 
-def _cutoffs(df: DataFrame, target: str, ids: Sequence[str], seed: int, wanted: DataFrame) -> DataFrame:
+def _cutoffs(df: DataFrame, target: str, ids: Sequence[str], seed: int, wanted: DataFrame, rows: int) -> DataFrame:
     """(target, _rank, _key): the rows at the ``wanted`` (target, _rank) positions
     of the hash order of their class. Only the hash cells that hold a wanted
-    position are ranked."""
-    marked = df.select(target, _hash_order(ids, seed).alias("_key")).withColumn("_cell", hash_cell(F.col("_key.h")))
+    position are ranked; they get finer with the number of ``rows``, so that a cell of
+    the largest possible class stays small."""
+    marked = df.select(target, _hash_order(ids, seed).alias("_key")).withColumn(
+        "_cell", hash_cell(F.col("_key.h"), hash_bits(rows)))
     cells = marked.groupBy(target, "_cell").agg(F.count(F.lit(1)).alias("n"))
     placed = _cell_starts(cells, [target], ["n"], descending=False, keep=["n"])
     hit = (F.col("_rank") > F.col("_start_n")) & (F.col("_rank") <= F.col("_start_n") + F.col("n"))
@@ -43,11 +45,15 @@ def _cutoffs(df: DataFrame, target: str, ids: Sequence[str], seed: int, wanted:
             .filter(F.col("_pos") == F.col("_rank")).select(target, "_rank", "_key"))
 
 
+def _row_total(counts: DataFrame) -> int:
+    return counts.agg(F.sum("n")).first()[0] or 0
+
+
 def _quotas(counts: DataFrame, target: str, share: float) -> DataFrame:
     """(target, _rank): how many rows of each class make up ``share`` of all rows,
     rounded up over all classes: floors first, the rest to the largest remainders
     (ties by the class as text)."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total = _row_total(counts)
     wanted = math.ceil(share * total)
     exact = F.lit(wanted).cast("bigint") * F.col("n") / F.lit(max(total, 1))
     parts = counts.select(target, F.floor(exact).alias("_floor"), (F.floor(exact) - exact).alias("_late"),
@@ -63,8 +69,9 @@ def stratified_split(df: DataFrame, target: str, test_size: float, ids: Sequence
     rounds up over all rows; its rows are the first of each class in the order of a
     hash of a unique id. Only cut-off keys are searched; the rows meet the one
     cut-off of their class and are not ranked."""
-    quotas = _quotas(_class_counts(df, target), target, test_size)
-    cuts = _cutoffs(df, target, ids, seed, quotas.filter(F.col("_rank") > 0))
+    counts = _class_counts(df, target)
+    quotas = _quotas(counts, target, test_size)
+    cuts = _cutoffs(df, target, ids, seed, quotas.filter(F.col("_rank") > 0), _row_total(counts))
     met = join_keys(df, small_side(cuts.select(target, F.col("_key").alias("_cut"))), [target], "left")
     first = (_hash_order(ids, seed) <= F.col("_cut")).cast("int")
     return met.select(*df.columns, F.coalesce(first, F.lit(0)).alias(out))
@@ -76,12 +83,13 @@ def stratified_folds(df: DataFrame, target: str, k: int, ids: Sequence[str], see
     any number of classes."""
     # row i of the class-sorted table belongs to fold i mod k; a class ends fold f
     # where its rows of the folds up to f are used up
-    placed = running_before(_class_counts(df, target), [target], "n", "_offset")
+    counts = _class_counts(df, target)
+    placed = running_before(counts, [target], "n", "_offset")
     sizes = [F.floor((F.col("n") - F.pmod(F.lit(f) - F.col("_offset"), F.lit(k)) + k - 1) / k) for f in range(k)]
     ends = F.array(*[reduce(lambda a, b: a + b, sizes[:f + 1]) for f in range(k - 1)]).cast("array<bigint>")
     bounds = placed.select(target, ends.alias("_ends"))
     wanted = bounds.select(target, F.explode(F.array_distinct("_ends")).alias("_rank")).filter(F.col("_rank") > 0)
-    cuts = _cutoffs(df, target, ids, seed, wanted).groupBy(target).agg(
+    cuts = _cutoffs(df, target, ids, seed, wanted, _row_total(counts)).groupBy(target).agg(
         F.map_from_entries(F.collect_list(F.struct("_rank", "_key"))).alias("_cuts"))  # at most k - 1 entries
     met = join_keys(df, small_side(join_keys(bounds, cuts, [target], "left")), [target], "left")
     met = met.withColumn("_k", _hash_order(ids, seed))
@@ -172,7 +180,7 @@ def smote(df: DataFrame, target: str, row_id: str, vector: str, k: int = 5, seed
     if extra:
         key = _hash_order([row_id], seed)
         wanted = df.sparkSession.createDataFrame([(1, extra)], "_one int, _rank bigint")
-        cut = _cutoffs(marked, "_one", [row_id], seed, wanted).first()["_key"]
+        cut = _cutoffs(marked, "_one", [row_id], seed, wanted, n_min).first()["_key"]
         limit = F.struct(*[F.lit(v).alias(n) for n, v in cut.asDict().items()])
         times = F.lit(base) + (key <= limit).cast("int")
     else:

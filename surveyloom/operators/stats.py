@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType
 
 from ..functions import as_number
 from ..session import ship_by_value
-from .common import attach_scalars, long_numeric, long_text, small_side
+from .common import attach_scalars, join_keys, long_numeric, long_text, small_side
 from .ordered import exact_quantiles, rank_min, running_totals
 from .profile import null_percent
 from .projection import select_existing
@@ -42,16 +42,10 @@ def median_fill(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(as_number(c), F.lit(fill[c])) for c in cols})
 
 
-def text_cell(c: Column) -> Column:
-    """Monotone cell of a text: its first three bytes in hexadecimal."""
-    return F.rpad(F.hex(F.substring(c.cast("binary"), 1, 3)), 6, "0")
-
-
 def level_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(variable, level, code): sorted levels numbered from 0, missing included."""
     levels = long_text(df, cols).select("variable", F.coalesce("value", F.lit(NULL_LEVEL)).alias("level")).distinct()
-    numbered = running_totals(levels, ["variable"], "level", {"n": F.count(F.lit(1))}, descending=False,
-                              cell=text_cell)
+    numbered = running_totals(levels, ["variable"], "level", {"n": F.count(F.lit(1))}, descending=False)
     return numbered.select("variable", "level", (F.col("cum_n") - 1).cast("int").alias("code"))
 
 
@@ -131,12 +125,16 @@ def dummy_class_moments(df: DataFrame, cols: Sequence[str], target: str) -> Data
 def ordinal_class_moments(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Moments of the ordinal codes, computed from the joint counts."""
     counts = joint_counts(df, cols, target).join(level_codes(df, cols), ["variable", "level"])
-    code = F.col("code").cast("double")  # squares of many levels exceed a bigint
-    sums = counts.groupBy("variable", "class").agg(
-        F.sum("n").alias("n"), (F.sum(F.col("n") * code) / F.sum("n")).alias("mean"),
-        (F.sum(F.col("n") * code * code) / F.sum("n")).alias("_square"))
-    return sums.select(F.col("variable").alias("expanded_feature"), "variable", F.lit("ordinal").alias("expansion"),
-                       "class", "n", "mean", (F.col("_square") - F.col("mean") * F.col("mean")).alias("var"))
+    per_code = counts.groupBy("variable", "class", F.col("code").cast("double").alias("code")).agg(F.sum("n").alias("n"))
+    sums = per_code.groupBy("variable", "class").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("code")) / F.sum("n")).alias("mean"))
+    # squares around the class mean, not a difference of large squares
+    around = join_keys(per_code, sums.select("variable", "class", "mean", F.col("n").alias("_all")), ["variable", "class"], "inner")
+    spread = around.groupBy("variable", "class").agg(
+        F.max("_all").alias("n"), F.max("mean").alias("mean"),
+        (F.sum(F.col("n") * F.pow(F.col("code") - F.col("mean"), 2)) / F.max("_all")).alias("var"))
+    return spread.select(F.col("variable").alias("expanded_feature"), "variable", F.lit("ordinal").alias("expansion"),
+                         "class", "n", "mean", "var")
 
 
 def anova_f(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,

@@ -95,3 +95,63 @@ def test_share_and_mean_rank(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0), ("b", 3.0, 5.0), ("c", 4.0, 1.0)], "v string, x double, y double")
     assert [round(r["share"], 4) for r in O.share(df, "x").orderBy("v").collect()] == [0.125, 0.375, 0.5]
     assert [r["mean_rank"] for r in O.mean_rank(df, "x", "y").orderBy("v").collect()] == [2.0, 1.5, 2.0]
+
+
+def sizes(df):
+    """Rows of each slot."""
+    return sorted(r["count"] for r in df.groupBy("_slot").count().collect())
+
+
+@pytest.mark.parametrize("build", [
+    lambda i: F.lit(1_700_000_000) + i,                                        # epoch seconds
+    lambda i: F.format_string("Customer#%09d", i),                             # names with one prefix
+    lambda i: F.when(i % 3 == 0, F.lit(5)).otherwise(i),                       # one value on a third of all rows
+    lambda i: F.lit(2.0) ** (i % 50) + i / 7])
+def test_slots_are_even_whatever_the_values(spark, build):
+    df = spark.range(200_000, numPartitions=8).select("id", build(F.col("id")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sizes(O.slotted(df, [], [F.col("v").desc(), F.xxhash64("id", "v")]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(found) == 8 and sum(found) == 200_000 and found[-1] < 2 * 25_000
+
+
+def test_ranks_and_totals_across_slots(spark):
+    rng = random.Random(2)
+    rows = [(k, rng.choice(["a", "b", None]), rng.choice([1.0, 1.0, 1.0, 2.0, 3.0, float(k % 40), None, float("nan")])) for k in range(3000)]
+    df = spark.createDataFrame(rows, "id int, g string, v double").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for descending in (True, False):
+            there = [(g, v) for _, g, v in rows if v is not None and v == v]
+            want = {(i, g): None if v is None or v != v else 1 + sum(h == g and (w > v if descending else w < v) for h, w in there) for i, g, v in rows}
+            got = O.rank_min(df, "v", "r", by=["g"], descending=descending).collect()
+            assert {(r["id"], r["g"]): r["r"] for r in got} == want and len(got) == len(rows)
+            whole = {r["id"]: r["r"] for r in O.rank_min(df, "v", "r", descending=descending).collect()}
+            assert whole == {i: None if v is None or v != v else 1 + sum(w > v if descending else w < v for _, w in there) for i, g, v in rows}
+            sums = O.running_totals(df, ["g"], "v", {"n": F.count(F.lit(1))}, descending)
+            for r in sums.collect():
+                assert r["cum_n"] == sum(h == r["g"] and (w >= r["v"] if descending else w <= r["v"]) for h, w in there)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_rank_has_no_exchange_by_value(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    plan = O.rank_min(df, "v", "r")._jdf.queryExecution().toString()
+    assert "hashpartitioning(v#" not in plan
+
+
+@pytest.mark.parametrize("cell_rows", [1, 7, 100])
+def test_quantile_cells_are_cut_until_they_are_small(spark, cell_rows):
+    rng = random.Random(cell_rows)
+    values = [1.7e9 + k for k in range(900)] + [1.7e9 + 0.5] * 300 + [float("inf"), float("-inf"), -1e308, 1e308, 0.0, -0.0, 5e-324]
+    rng.shuffle(values)
+    df = frame(spark, values[:600]).unionByName(frame(spark, values[600:], "h"))
+    for r in O.exact_quantiles(df, ["variable"], "value", {"a": 0.1, "b": 0.5, "c": 0.9}, cell_rows).collect():
+        part = sorted(values[:600] if r["variable"] == "g" else values[600:])
+        for name, p in (("a", 0.1), ("b", 0.5), ("c", 0.9)):
+            assert r[name] == pytest.approx(np.quantile(part, p), rel=1e-12)
+    whole = O.exact_quantiles(frame(spark, values), [], "value", {"b": 0.5}, cell_rows).first()
+    assert whole["b"] == pytest.approx(np.quantile(values, 0.5))

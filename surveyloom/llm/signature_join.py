@@ -226,9 +226,12 @@ def candidates(a: Tree, b: Tree, same: bool, apart, percent: int = PERCENT) -> I
             stack.append((x, y - 1, i[keep], j[keep]))
 
 
-def forest(left: pd.DataFrame, right: pd.DataFrame | None, percent: int = PERCENT) -> list[tuple[bytes, bytes]]:
+def forest(left: pd.DataFrame, right: pd.DataFrame | None, percent: int = PERCENT, doubtful: int = 0) -> list[tuple[bytes, bytes]]:
     """Proposals that connect what may be similar between two blocks (or within ``left``).
 
+    The first ``doubtful`` candidates are proposed without taking them for links; each
+    one after that connects its ends, so that others between them are left out.
+
     Blocks have key, n, signature, root (what is connected already has one root) and
     failed (keys that an earlier check found not similar)."""
     rows = left if right is None else pd.concat([left, right], ignore_index=True)
@@ -247,6 +250,7 @@ def forest(left: pd.DataFrame, right: pd.DataFrame | None, percent: int = PERCEN
     out = []
 
     def visit(a, b, same):
+        nonlocal doubtful
         (at, one), (bt, two) = a, b
         width = min(one.levels[0][0].shape[1], two.levels[0][0].shape[1])
         one, two = one.at(width), two.at(width)
@@ -277,6 +281,12 @@ def forest(left: pd.DataFrame, right: pd.DataFrame | None, percent: int = PERCEN
                 ok = [k for k in range(len(p)) if keys[q[k]] not in failed[p[k]] and keys[p[k]] not in failed[q[k]]] if any(failed) else range(len(p))
                 if not len(ok):
                     break
+                if doubtful > 0:
+                    out.extend((keys[p[k]], keys[q[k]]) for k in ok[:doubtful])
+                    doubtful -= len(ok)
+                    rest = ok[len(ok) + doubtful:] if doubtful < 0 else []
+                    p, q = p[rest], q[rest]
+                    continue
                 k = ok[0]
                 out.append((keys[p[k]], keys[q[k]]))
                 old, new = root[q[k]], root[p[k]]
@@ -298,12 +308,23 @@ def forest(left: pd.DataFrame, right: pd.DataFrame | None, percent: int = PERCEN
 
 # ---------------------------------------------------------------- the join in Spark
 
-def _groups(members: DataFrame) -> DataFrame:
-    """(g, key, n): groups of two or more entries; of groups with the same members one."""
+def _groups(tokens: DataFrame, percent: int) -> DataFrame:
+    """(g, key, n, c, band): groups of two or more entries, each with another one whose
+    size allows a link; of groups with the same members one.
+
+    Rows are dealt by token once: copies are dropped, groups counted and their members
+    found on that partitioning. Links stay in a band of sizes or go to the next."""
+    width = float(-np.log(percent / 100)) * 1.01   # a little wider than the ratio that a link allows
+    members = tokens.repartition(F.col("token")).dropDuplicates(["token", "key"]).withColumn(
+        "band", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
     sums = members.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("key")).alias("x"),
                                         F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")).where("c > 1")
     kept = sums.groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token", "c")
-    return members.join(kept, "token").select(F.col("token").alias("g"), "key", "n", "c")
+    found = materialise(members.join(kept, "token").select(F.col("token").alias("g"), "key", "n", "c", "band"))
+    near = found.groupBy("g", "band").agg(F.count("*").alias("m")).select("g", F.explode(F.array(
+        F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "m")
+    near = near.groupBy("g", "band").agg(F.sum("m").alias("m")).where("m > 1").select("g", "band")
+    return found.join(near, ["g", "band"], "left_semi").select("g", "key", "n", "c", "band")
 
 
 def _signed(batches):
@@ -345,13 +366,10 @@ def _maybe(percent: int):
     return run
 
 
-def _blocks(groups: DataFrame, percent: int, block: int) -> DataFrame:
-    """Adds (band, share): a group of up to ``block`` entries is one block; a larger one is
-    cut into bands of sizes, so that links stay in a band or go to the next, and a band
-    into equal shares by hash."""
-    width = float(-np.log(percent / 100)) * 1.01   # a little wider than the ratio that a link allows
-    band = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
-    large = groups.where(F.col("c") > block).withColumn("band", band)
+def _blocks(groups: DataFrame, block: int) -> DataFrame:
+    """Adds ``share``: a group of up to ``block`` entries is one block; of a larger one each
+    band of sizes is cut into equal shares by hash."""
+    large = groups.where(F.col("c") > block)
     counts = large.groupBy(F.col("g").alias("_g"), F.col("band").alias("_b")).agg(F.count("*").alias("_m"))
     share = F.pmod(F.xxhash64("key"), F.ceil(F.col("_m") / block).cast("bigint")).cast("int")
     large = large.join(counts, (F.col("g") == F.col("_g")) & (F.col("band") == F.col("_b"))).withColumn("share", share)
@@ -368,14 +386,13 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
     within blocks, and then between the blocks of a group."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(found)
-    members = materialise(spread(docs, order, percent=percent).distinct())
-    groups = materialise(_groups(members))
+    groups = materialise(_groups(spread(docs, order, percent=percent), percent))
     keys = groups.select("key").distinct()
     ids = classes.join(keys, "key", "left_semi").select(F.col("least").alias("_id")).distinct()
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     sets = texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(keys, "key", "left_semi")
     sets = materialise(sets.dropDuplicates(["key"]))
-    placed = materialise(_blocks(groups, percent, block).join(sets.select("key", "signature"), "key"))
+    placed = materialise(_blocks(groups, block).join(sets.select("key", "signature"), "key"))
     pair = "a binary, b binary"
     checked: list[DataFrame] = []
 
@@ -400,7 +417,8 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
     def rows_now(again: DataFrame | None) -> DataFrame:
         """The members of all groups that are not connected yet, with what is known."""
         known = roots.select(F.col("node").alias("key"), "root")
-        rows = placed if again is None else placed.join(again, "g", "left_semi")
+        rows = placed.where("c > 2")   # two entries were compared as centre and member
+        rows = rows if again is None else rows.join(again, "g", "left_semi")
         rows = rows.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
         bad = None
         for part in checked:
@@ -409,14 +427,14 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
         several = rows.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a != _b").select("g")
         return materialise(rows.join(several, "g", "left_semi"))
 
-    def within(rows: DataFrame) -> DataFrame:
+    def within(rows: DataFrame, doubtful: int) -> DataFrame:
         spot = ["g", "band", "share"]
         several = rows.groupBy(*spot).agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a != _b").select(*spot)
         def propose(key, part):
-            return pd.DataFrame([(key[0], *p) for p in forest(part, None, percent)], columns=["g", "a", "b"])
+            return pd.DataFrame([(key[0], *p) for p in forest(part, None, percent, doubtful)], columns=["g", "a", "b"])
         return rows.join(several, spot, "left_semi").groupBy(*spot).applyInPandas(propose, f"g bigint, {pair}")
 
-    def between(rows: DataFrame) -> DataFrame:
+    def between(rows: DataFrame, doubtful: int) -> DataFrame:
         # pairs of blocks of one group: their number, not that of the entries, counts
         blocks = rows.where(F.col("c") > block).groupBy("g", "band", "share").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         other = blocks.select("g", *[F.col(c).alias(f"{c}2") for c in ("band", "share", "low", "high")])
@@ -427,14 +445,14 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
         other = rows.select(*[F.col(c).alias(f"{c}2" if c in ("band", "share") else c) for c in rows.columns])
         second = other.join(pairs.select(*[F.col(c).alias(c) for c in spot]), ["g", "band2", "share2"])
         def propose(key, left, right):
-            return pd.DataFrame([(key[0], *p) for p in forest(left, right, percent)], columns=["g", "a", "b"])
+            return pd.DataFrame([(key[0], *p) for p in forest(left, right, percent, doubtful)], columns=["g", "a", "b"])
         return first.groupBy(*spot).cogroup(second.groupBy(*spot)).applyInPandas(propose, f"g bigint, {pair}")
 
     for search in (within, between):
-        again = None
+        again, doubtful = None, 0
         while True:
             rows = rows_now(again)
-            found_pairs = materialise(search(rows).select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+            found_pairs = materialise(search(rows, doubtful).select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
             if found_pairs.isEmpty():
                 break
             roots = check(found_pairs.select("a", "b").distinct())
@@ -442,6 +460,8 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
             again = materialise(found_pairs.join(checked[-1].where("not good"), ["a", "b"]).select("g").distinct())
             if again.isEmpty():
                 break
+            # where proposals fail, many more are checked at a time
+            doubtful = 4 * doubtful or 256
     return roots
 
 

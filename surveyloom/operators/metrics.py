@@ -1,5 +1,8 @@
 """Evaluation of scored tables (label 0/1, score). Threshold metrics are one
-aggregate; curve metrics run over distinct scores with running totals in cells."""
+aggregate; curve metrics run over distinct scores with running totals by range.
+
+A row whose score is null or NaN is unscored: it is in no count but ``unscored``, no
+total and no curve."""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import label_rules
 from .common import attach_scalars, explode_stats, join_keys, small_side
-from .ordered import best_per_group, running_totals, top_k
+from .ordered import best_per_group, first_per_group, known, running_totals, top_k
 from .reshape import melt, union_all
 
 
@@ -23,6 +26,11 @@ def reaches(score: Column, threshold: float) -> Column:
     return F.when(~F.isnan(score.cast("double")), score >= threshold)
 
 
+def _unscored(score: str) -> Column:
+    value = F.col(score).cast("double")
+    return F.count_if(value.isNull() | F.isnan(value)).alias("unscored")
+
+
 def _confusion_cols(label: Column, predicted: Column) -> dict[str, Column]:
     return {"tn": F.count_if((label == 0) & ~predicted), "fp": F.count_if((label == 0) & predicted),
             "fn": F.count_if((label == 1) & ~predicted), "tp": F.count_if((label == 1) & predicted)}
@@ -36,9 +44,10 @@ def _rates(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Column]:
 
 def confusion(df: DataFrame, threshold: float, label: str = "label", score: str = "score",
               by: Sequence[str] = ()) -> DataFrame:
-    """TN, FP, FN and TP when scores at or above the threshold are positive."""
+    """TN, FP, FN and TP when scores at or above the threshold are positive, and the
+    number of unscored rows."""
     counts = _confusion_cols(F.col(label), reaches(F.col(score), threshold))
-    return df.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()])
+    return df.groupBy(*by).agg(*[c.alias(n) for n, c in counts.items()], _unscored(score))
 
 
 def binary_metrics(df: DataFrame, threshold: float, label: str = "label", score: str = "score",
@@ -57,8 +66,8 @@ def threshold_sweep(df: DataFrame, thresholds: Sequence[float], label: str = "la
         counts = _confusion_cols(F.col(label), reaches(F.col(score), float(t)))
         aggs += [c.alias(names[n]) for n, c in counts.items()]
         cols = {n: F.col(a) for n, a in names.items()}
-        entries.append({**{b: F.col(b) for b in by}, "threshold": F.lit(float(t)), **cols, **_rates(**cols)})
-    return explode_stats(df.groupBy(*by).agg(*aggs), entries)
+        entries.append({**{b: F.col(b) for b in by}, "threshold": F.lit(float(t)), **cols, "unscored": F.col("unscored"), **_rates(**cols)})
+    return explode_stats(df.groupBy(*by).agg(*aggs, _unscored(score)), entries)
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -93,8 +102,9 @@ def cumulative_scores(df: DataFrame, label: str = "label", score: str = "score",
     return running_totals(df, by, score, {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)})
 
 
-def _with_totals(curve: DataFrame, df: DataFrame, label: str, by: Sequence[str]) -> DataFrame:
-    totals = df.groupBy(*by).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
+def _with_totals(curve: DataFrame, df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
+    scored = df.filter(known(df, score))
+    totals = scored.groupBy(*by).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n"))
     if not by:
         return attach_scalars(curve, totals)
     return join_keys(curve, small_side(totals), list(by), "inner")
@@ -106,7 +116,7 @@ def curve_areas(df: DataFrame, label: str = "label", score: str = "score", by: S
     The area under the ROC curve is exact: ties count one half; null for one class.
     Average precision is step-wise: recall gained at each score times the precision
     there; 0 without positives."""
-    curve = _with_totals(cumulative_scores(df, label, score, by), df, label, by)
+    curve = _with_totals(cumulative_scores(df, label, score, by), df, label, score, by)
     # negatives below this score = all negatives minus those at or above it
     wins = F.col("pos") * ((F.col("n") - F.col("cum_neg")) + F.col("neg") * 0.5)
     step = F.col("pos") * F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"))
@@ -125,7 +135,7 @@ def average_precision(df: DataFrame, label: str = "label", score: str = "score",
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
     """(fpr, tpr) at every distinct score, and the origin per curve."""
-    curve = _with_totals(cumulative_scores(df, label, score, by), df, label, by)
+    curve = _with_totals(cumulative_scores(df, label, score, by), df, label, score, by)
     points = curve.select(*by, F.col(score).alias("threshold"), F.try_divide("cum_neg", "n").alias("fpr"),
                           F.try_divide("cum_pos", "p").alias("tpr"))
     origin = df.select(*by).distinct() if by else df.agg(F.count(F.lit(1)).alias("_n")).select()
@@ -147,6 +157,8 @@ def winner_rows(summary: DataFrame, winners: DataFrame, keys: Sequence[str], thr
     bp = F.round(F.col(threshold) * 10000).cast("bigint")
     left = winners.withColumn("_t", bp)
     right = summary.withColumn("_t", bp).drop(threshold)
+    rest = [c for c in right.columns if c not in keys and c != "_t"]
+    right = first_per_group(right, [*keys, "_t"], rest, rest)   # a summary row listed twice counts once
     return left.join(right, [*keys, "_t"], "left").drop("_t")
 
 

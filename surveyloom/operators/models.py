@@ -10,12 +10,15 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -26,7 +29,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_scalars, numeric_columns
+from ..session import cut_lineage
+from .common import attach_scalars, join_keys, numeric_columns
 from .metrics import (
     classification_report,
     confusion,
@@ -58,6 +62,9 @@ class ModelConfig:
     scale: bool = True
     with_mean: bool = True
 
+    def __hash__(self) -> int:
+        return hash(self.label)
+
     @property
     def label(self) -> str:
         extra = "".join(f"__{k}_{v}" for k, v in sorted(self.params.items()))
@@ -190,26 +197,74 @@ def predict_scores(fitted: PipelineModel, df: DataFrame, keep: Sequence[str], ou
 
 # ---------------------------------------------------------------- evaluation loops
 
-CV_SCHEMA = ("feature_set string, fold int, model string, strategy string, threshold double, recall double, "
-             "precision double, f1 double, accuracy double, roc_auc double, pr_auc double, "
-             "tn bigint, fp bigint, fn bigint, tp bigint")
-
-
-def _evaluate(scored: DataFrame, thresholds: Sequence[float]) -> list[dict]:
-    """Threshold metrics and curve metrics; a handful of rows."""
-    kept = scored.select(F.col("label").cast("int").alias("label"), "score").persist()
-    try:
-        areas = curve_areas(kept).first()
-        rows = threshold_sweep(kept, thresholds).collect()
-    finally:
-        kept.unpersist()
-    return [{**r.asDict(), "roc_auc": areas["roc_auc"], "pr_auc": areas["average_precision"]} for r in rows]
-
-
-def _fitted_side_by_side(train: DataFrame, features: Sequence[str], target: str, row_id: str,
-                         configs: Sequence[ModelConfig], parallelism: int) -> Iterator[tuple[ModelConfig, PipelineModel]]:
-    """Every configuration fitted on ``train``. Preprocessing is learned once per way
-    of scaling and over-sampling done once per strategy, not once per model."""
+METRICS = ("threshold", "recall", "precision", "f1", "accuracy", "roc_auc", "pr_auc", "tn", "fp", "fn", "tp")
+PART_ROWS = 50_000   # training rows a partition holds at least, so that few rows make few tasks
+
+
+def raw_scores(fits: Sequence[tuple[Mapping[str, object], Model]], prepared: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(tags, score, is_margin, keep) of every fitted estimator for every prepared row. The
+    estimators stand side by side in one projection, so the rows are read once for all."""
+    df, entries = prepared.select(*keep, "features"), []
+    for i, (tags, fitted) in enumerate(fits):
+        one, out = fitted.copy(), f"_s{i}"
+        kind = "probabilityCol" if one.hasParam("probabilityCol") else "rawPredictionCol"
+        one._set(**{c: out if c == kind else "" for c in ("predictionCol", "rawPredictionCol", "probabilityCol") if one.hasParam(c)})
+        df = one.transform(df)
+        entries.append(F.struct(*[F.lit(v).alias(k) for k, v in tags.items()], vector_to_array(out)[1].alias("score"),
+                                F.lit(kind == "rawPredictionCol").alias("is_margin")))
+    return df.select(F.explode(F.array(*entries)).alias("_e"), *keep).select("_e.*", *keep)
+
+
+def evaluate_scores(scores: DataFrame, by: Sequence[str], thresholds: Sequence[float]) -> DataFrame:
+    """Threshold and curve metrics of every model in one long table of (by, label, score,
+    is_margin): one sweep and one curve for all. Margins are scaled by their own ends."""
+    ends = scores.filter("is_margin").groupBy(*by).agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
+    scaled = join_keys(scores, ends, list(by), "left").withColumn("score", F.when(
+        F.col("is_margin"), (F.col("score") - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + F.lit(1e-9))).otherwise(F.col("score")))
+    scaled = scaled.select(*by, "label", "score")
+    areas = curve_areas(scaled, by=by).withColumnRenamed("average_precision", "pr_auc")
+    return join_keys(threshold_sweep(scaled, thresholds, by=by), areas, list(by), "left").select(*by, *METRICS)
+
+
+def first_rounds(fitted: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The boosted model after its first rounds: what fewer rounds would have given."""
+    gateway = SparkContext._gateway
+    trees, weights = fitted._java_obj.trees(), fitted.treeWeights
+    some = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    shares = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        some[i], shares[i] = trees[i], float(weights[i])
+    return GBTClassificationModel(gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(fitted.uid, some, shares))
+
+
+def _longest_rounds(configs: Sequence[ModelConfig]) -> dict[ModelConfig, list[ModelConfig]]:
+    """Which fits answer which configurations: boosted ones that differ in their rounds
+    alone come from the fit with the most of them."""
+    families: dict[tuple, list[ModelConfig]] = {}
+    for cfg in configs:
+        rest = tuple(sorted((k, v) for k, v in cfg.params.items() if k != "maxIter"))
+        families.setdefault((cfg.name, cfg.strategy, rest, "" if "maxIter" in cfg.params and cfg.name == "gbt" else cfg.label), []).append(cfg)
+    longest = lambda part: max(part, key=lambda c: c.params.get("maxIter", 0))
+    return {longest(part): part for part in families.values()}
+
+
+def _few_partitions(rows: DataFrame) -> DataFrame:
+    """Training rows kept in memory, in no more partitions than their number asks for."""
+    rows = rows.persist()
+    wanted = max(1, -(-rows.count() // PART_ROWS))
+    if rows.rdd.getNumPartitions() <= wanted:
+        return rows
+    fewer = rows.coalesce(wanted).persist()
+    fewer.count()
+    rows.unpersist()
+    return fewer
+
+
+def _fitted_side_by_side(train: DataFrame, features: Sequence[str], target: str, row_id: str, configs: Sequence[ModelConfig],
+                         parallelism: int) -> Iterator[tuple[PipelineModel, list[tuple[ModelConfig, Model]]]]:
+    """Every configuration fitted on ``train``, by the preprocessor it shares: that is
+    learned once per way of scaling, over-sampling done once per strategy, and boosting
+    once for all numbers of rounds."""
     numeric, categorical = split_columns(train, features)
     narrow = train.select(*dict.fromkeys([row_id, *features, target]))
     groups: dict[tuple, list[ModelConfig]] = {}
@@ -218,34 +273,39 @@ def _fitted_side_by_side(train: DataFrame, features: Sequence[str], target: str,
     for (scale, with_mean), same_scale in groups.items():
         prep = fit_preprocessor(narrow, numeric, categorical, with_mean, scale)
         prepared = prep.transform(narrow)
-        for strategy in dict.fromkeys(c.strategy for c in same_scale):
-            rows = training_rows(prepared, strategy, target, row_id).persist()
-            try:
-                wanted = [c for c in same_scale if c.strategy == strategy]
-                with ThreadPool(parallelism) as pool:
-                    for cfg, fitted in zip(wanted, pool.map(lambda c: fit_model(rows, c), wanted)):
-                        yield cfg, PipelineModel([*prep.stages, fitted])
-            finally:
-                rows.unpersist()
+        strategies = list(dict.fromkeys(c.strategy for c in same_scale))
+        rows = {s: _few_partitions(training_rows(prepared, s, target, row_id)) for s in strategies}
+        try:
+            jobs = list(_longest_rounds(same_scale).items())
+            # the long fits first, so that none is left over at the end
+            jobs.sort(key=lambda job: -("svc", "logistic", "tree", "forest", "gbt").index(job[0].name))
+            with ThreadPool(parallelism) as pool:
+                fitted = pool.map(lambda job: fit_model(rows[job[0].strategy], job[0]), jobs, chunksize=1)
+        finally:
+            for part in rows.values():
+                part.unpersist()
+        out = [(cfg, m if cfg == most else first_rounds(m, cfg.params["maxIter"])) for (most, part), m in zip(jobs, fitted) for cfg in part]
+        yield prep, out
 
 
 def cross_validate(df: DataFrame, sets: Mapping[str, Sequence[str]], target: str, row_id: str,
                    configs: Sequence[ModelConfig], k: int = 5, thresholds: Sequence[float] = THRESHOLDS,
-                   seed: int = SEED, parallelism: int = 4) -> DataFrame:
-    """Feature sets × folds × models × thresholds in long form."""
+                   seed: int = SEED, parallelism: int = 8) -> DataFrame:
+    """Feature sets × folds × models × thresholds in long form. All fits write their scores
+    of the held-out rows into one long table, which is evaluated once."""
     folded = stratified_folds(df, target, k, [row_id], seed).persist()
-    rows: list[dict] = []
+    parts: list[DataFrame] = []
     try:
         for set_name, features in sets.items():
             for fold in range(1, k + 1):
-                train, valid = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-                for cfg, fitted in _fitted_side_by_side(train, features, target, row_id, configs, parallelism):
-                    scored = predict_scores(fitted, valid.withColumn("label", F.col(target)), ["label"])
-                    rows += [{"feature_set": set_name, "fold": fold, "model": cfg.name, "strategy": cfg.strategy, **m}
-                             for m in _evaluate(scored, thresholds)]
+                train = folded.filter(F.col("fold") != fold)
+                valid = folded.filter(F.col("fold") == fold).withColumn("label", F.col(target).cast("int"))
+                for prep, fits in _fitted_side_by_side(train, features, target, row_id, configs, parallelism):
+                    tagged = [({"feature_set": set_name, "fold": fold, "model": c.name, "strategy": c.strategy}, m) for c, m in fits]
+                    parts.append(cut_lineage(raw_scores(tagged, prep.transform(valid), ["label"])))
     finally:
         folded.unpersist()
-    return df.sparkSession.createDataFrame(rows, CV_SCHEMA)
+    return evaluate_scores(reduce(DataFrame.unionByName, parts), ["feature_set", "fold", "model", "strategy"], thresholds)
 
 
 def parameter_grid(logistic: bool = True, tree: bool = True, forest: bool = True, gbt: bool = True) -> list[ModelConfig]:
@@ -268,24 +328,20 @@ def parameter_grid(logistic: bool = True, tree: bool = True, forest: bool = True
 
 def grid_search(df: DataFrame, features: Sequence[str], target: str, row_id: str, grid: Sequence[ModelConfig],
                 thresholds: Sequence[float] = GRID_THRESHOLDS, test_size: float = 0.3, seed: int = SEED,
-                parallelism: int = 4) -> DataFrame:
+                parallelism: int = 8) -> DataFrame:
     """Every configuration fitted on the training part and swept over thresholds
     on the hold-out part."""
     marked = stratified_split(df, target, test_size, [row_id], seed).persist()
-    rows = []
+    parts: list[DataFrame] = []
     try:
-        train, test = marked.filter("is_test = 0"), marked.filter("is_test = 1")
-        for cfg, fitted in _fitted_side_by_side(train, features, target, row_id, grid, parallelism):
-            scored = predict_scores(fitted, test.withColumn("label", F.col(target)), ["label"])
-            rows += [{"model": cfg.name, "strategy": cfg.strategy, "configuration": cfg.label,
-                      "params": json.dumps(dict(cfg.params), sort_keys=True), **m}
-                     for m in _evaluate(scored, thresholds)]
+        train, test = marked.filter("is_test = 0"), marked.filter("is_test = 1").withColumn("label", F.col(target).cast("int"))
+        for prep, fits in _fitted_side_by_side(train, features, target, row_id, grid, parallelism):
+            tagged = [({"model": c.name, "strategy": c.strategy, "configuration": c.label,
+                        "params": json.dumps(dict(c.params), sort_keys=True)}, m) for c, m in fits]
+            parts.append(cut_lineage(raw_scores(tagged, prep.transform(test), ["label"])))
     finally:
         marked.unpersist()
-    return df.sparkSession.createDataFrame(rows, (
-        "model string, strategy string, configuration string, params string, threshold double, accuracy double, "
-        "precision double, recall double, f1 double, pr_auc double, roc_auc double, "
-        "tn bigint, fp bigint, fn bigint, tp bigint"))
+    return evaluate_scores(reduce(DataFrame.unionByName, parts), ["model", "strategy", "configuration", "params"], thresholds)
 
 
 def evaluate_winner(df: DataFrame, features: Sequence[str], target: str, row_id: str, cfg: ModelConfig,
@@ -296,12 +352,10 @@ def evaluate_winner(df: DataFrame, features: Sequence[str], target: str, row_id:
     marked = stratified_split(df, target, test_size, [row_id], seed)
     train, test = marked.filter("is_test = 0"), marked.filter("is_test = 1")
     fitted = make_pipeline(train, features, target, row_id, cfg)
-    scored = predict_scores(fitted, test.withColumn("label", F.col(target).cast("int")),
-                            [row_id, *features, "label"])
-    metrics = df.sparkSession.createDataFrame(
-        [{"model": cfg.name, "strategy": cfg.strategy, **m} for m in _evaluate(scored, [threshold])],
-        "model string, strategy string, threshold double, accuracy double, precision double, recall double, f1 double, "
-        "roc_auc double, pr_auc double, tn bigint, fp bigint, fn bigint, tp bigint")
+    scored = cut_lineage(predict_scores(fitted, test.withColumn("label", F.col(target).cast("int")), [row_id, *features, "label"]))
+    tagged = scored.select(F.lit(cfg.name).alias("model"), F.lit(cfg.strategy).alias("strategy"), "label", "score",
+                           F.lit(False).alias("is_margin"))
+    metrics = evaluate_scores(tagged, ["model", "strategy"], [threshold])
     errors = error_rows(scored, threshold)
     numeric, categorical = split_columns(df, features)
     profiles = [error_profile(errors.filter(F.col("error_kind") == kind), numeric, categorical).withColumn(

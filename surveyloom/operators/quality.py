@@ -225,8 +225,14 @@ def build_dictionary(df: DataFrame, sources: Mapping[str, tuple[Sequence[tuple],
 
 
 def redundancy_matrix(rules: DataFrame, scores: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
-    """Redundancy rules (drop, keep, kind, reason) with the score of both sides."""
+    """Redundancy rules (drop, keep, kind, reason) with the score of both sides. A variable
+    listed twice counts with its highest score; rules are never multiplied."""
+    from .ordered import first_per_group
+
     out = rules
+    scores = first_per_group(scores.select("variable", "f_score", "p_value"), ["variable"], [-F.col("f_score"), "p_value"])
+    if dictionary is not None:
+        dictionary = dictionary.groupBy("variable").agg(F.min("description").alias("description"), F.min("dimension").alias("dimension"))
     for side in ("drop", "keep"):
         attached = scores.select(F.col("variable").alias(side), F.col("f_score").alias(f"f_score_{side}"),
                                  F.col("p_value").alias(f"p_value_{side}"))

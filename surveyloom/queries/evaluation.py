@@ -25,7 +25,8 @@ def scored(t):
 
 def counts_sql(t):
     return f"""COUNT(*) FILTER (label = 0 AND score < {t}) AS tn, COUNT(*) FILTER (label = 0 AND score >= {t}) AS fp,
-        COUNT(*) FILTER (label = 1 AND score < {t}) AS fn, COUNT(*) FILTER (label = 1 AND score >= {t}) AS tp"""
+        COUNT(*) FILTER (label = 1 AND score < {t}) AS fn, COUNT(*) FILTER (label = 1 AND score >= {t}) AS tp,
+        COUNT(*) FILTER (score IS NULL) AS unscored"""
 
 
 RATES = """round((tn + tp) / (tn + fp + fn + tp), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
@@ -77,7 +78,7 @@ def _(t):
 
 
 @query("p04_threshold_sweep", f"""
-    SELECT model, threshold, tn, fp, fn, tp, {RATES} FROM (""" + " UNION ALL ".join(
+    SELECT model, threshold, tn, fp, fn, tp, unscored, {RATES} FROM (""" + " UNION ALL ".join(
     f"SELECT model, {t}::DOUBLE AS threshold, {counts_sql(t)} FROM {SCORED} GROUP BY model" for t in THRESHOLDS) + ")")
 def _(t):
     return rounded(M.threshold_sweep(scored(t), THRESHOLDS, by=["model"]), *RATE_COLS)

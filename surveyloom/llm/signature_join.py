@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -43,6 +43,7 @@ ship_by_value(__name__)
 SHINGLE, PERCENT = 4, 85
 CELLS_A_ROW, MOST_CELLS = 8, 1 << 24      # at most 64 MB in a task and 16 MB broadcast
 BLOCK, FAN = 1024, 16
+BROADCAST_IDS = 500_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -317,10 +318,12 @@ def _groups(tokens: DataFrame, percent: int) -> DataFrame:
     width = float(-np.log(percent / 100)) * 1.01   # a little wider than the ratio that a link allows
     members = tokens.repartition(F.col("token")).dropDuplicates(["token", "key"]).withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
-    sums = members.groupBy("token").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("key")).alias("x"),
-                                        F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("y")).where("c > 1")
-    kept = sums.groupBy("c", "x", "y").agg(F.min("token").alias("token")).select("token", "c")
-    found = materialise(members.join(kept, "token").select(F.col("token").alias("g"), "key", "n", "c", "band"))
+    inside = Window.partitionBy("token")
+    shared = members.withColumns({"c": F.count("*").over(inside), "x": F.bit_xor(F.xxhash64("key")).over(inside),
+                                  "y": F.bit_xor(F.xxhash64(F.lit(1), "key")).over(inside)}).where("c > 1")
+    shared = materialise(shared.select(F.col("token").alias("g"), "key", "n", "c", "band", "x", "y"))
+    kept = shared.groupBy("c", "x", "y").agg(F.min("g").alias("g")).select("g")
+    found = materialise(shared.join(kept, "g", "left_semi").select("g", "key", "n", "c", "band"))
     near = found.groupBy("g", "band").agg(F.count("*").alias("m")).select("g", F.explode(F.array(
         F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "m")
     near = near.groupBy("g", "band").agg(F.sum("m").alias("m")).where("m > 1").select("g", "band")
@@ -388,11 +391,13 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
     order = spark.sparkContext.broadcast(found)
     groups = materialise(_groups(spread(docs, order, percent=percent), percent))
     keys = groups.select("key").distinct()
-    ids = classes.join(keys, "key", "left_semi").select(F.col("least").alias("_id")).distinct()
+    ids = materialise(classes.join(keys, "key", "left_semi").select(F.col("least").alias("_id")).distinct())
+    if ids.count() <= BROADCAST_IDS:   # a few MB at most; more ids meet the texts by a shuffle
+        ids = F.broadcast(ids)
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     sets = texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(keys, "key", "left_semi")
     sets = materialise(sets.dropDuplicates(["key"]))
-    placed = materialise(_blocks(groups, block).join(sets.select("key", "signature"), "key"))
+    placed = materialise(_blocks(groups, block))
     pair = "a binary, b binary"
     checked: list[DataFrame] = []
 
@@ -406,26 +411,31 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
             good = good.unionByName(more)
         return materialise(components(good.where("good").select("a", "b")))
 
-    # the centre of a group
+    # the centre of a group; narrow pairs first, signatures once for each
     shared = groups.groupBy("key").agg(F.sum("c").alias("shared"))
-    centres = groups.join(shared, "key").groupBy("g").agg(F.max(F.struct("shared", "key")).alias("_c")).select("g", F.col("_c.key").alias("b"))
-    centres = centres.join(sets.select(F.col("key").alias("b"), F.octet_length("found").alias("_l"), F.col("signature").alias("y")), "b")
-    stars = placed.join(centres.select("g", "b", (F.col("_l") / 8).cast("bigint").alias("m"), "y"), "g").where(F.col("key") != F.col("b"))
-    stars = stars.select(F.col("key").alias("a"), "n", F.col("signature").alias("x"), "b", "m", "y").mapInArrow(_maybe(percent), pair)
+    centres = groups.join(shared, "key").groupBy("g").agg(F.max(F.struct("shared", "key", "n")).alias("_c"))
+    stars = groups.join(centres, "g").where(F.col("key") != F.col("_c.key")).select(
+        F.col("key").alias("a"), "n", F.col("_c.key").alias("b"), F.col("_c.n").alias("m"))
+    stars = stars.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
+    stars = stars.join(sets.select(F.col("key").alias("a"), F.col("signature").alias("x")), "a").join(
+        sets.select(F.col("key").alias("b"), F.col("signature").alias("y")), "b").select("a", "n", "x", "b", "m", "y")
+    stars = stars.mapInArrow(_maybe(percent), pair)
     roots = check(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    def rows_now(again: DataFrame | None) -> DataFrame:
-        """The members of all groups that are not connected yet, with what is known."""
+    def rows_now(again: DataFrame | None, least: int) -> DataFrame:
+        """The members of all groups of more than ``least`` that are not connected yet, with
+        what is known of them."""
         known = roots.select(F.col("node").alias("key"), "root")
-        rows = placed.where("c > 2")   # two entries were compared as centre and member
+        rows = placed.where(F.col("c") > least)
         rows = rows if again is None else rows.join(again, "g", "left_semi")
         rows = rows.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        several = rows.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a != _b").select("g")
         bad = None
         for part in checked:
             bad = part.where("not good") if bad is None else bad.unionByName(part.where("not good"))
-        rows = rows.join(bad.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("failed")), "key", "left")
-        several = rows.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a != _b").select("g")
-        return materialise(rows.join(several, "g", "left_semi"))
+        failed = bad.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("failed"))
+        rows = rows.join(several, "g", "left_semi").join(failed, "key", "left")
+        return materialise(rows.join(sets.select("key", "signature"), "key"))
 
     def within(rows: DataFrame, doubtful: int) -> DataFrame:
         spot = ["g", "band", "share"]
@@ -436,7 +446,7 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
 
     def between(rows: DataFrame, doubtful: int) -> DataFrame:
         # pairs of blocks of one group: their number, not that of the entries, counts
-        blocks = rows.where(F.col("c") > block).groupBy("g", "band", "share").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        blocks = rows.groupBy("g", "band", "share").agg(F.min("root").alias("low"), F.max("root").alias("high"))
         other = blocks.select("g", *[F.col(c).alias(f"{c}2") for c in ("band", "share", "low", "high")])
         pairs = blocks.join(other, "g").where("(band2 = band and share2 > share) or band2 = band + 1").where("low != high or low2 != high2 or low != low2")
         spot = ["g", "band", "share", "band2", "share2"]
@@ -448,10 +458,11 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
             return pd.DataFrame([(key[0], *p) for p in forest(left, right, percent, doubtful)], columns=["g", "a", "b"])
         return first.groupBy(*spot).cogroup(second.groupBy(*spot)).applyInPandas(propose, f"g bigint, {pair}")
 
-    for search in (within, between):
+    # two entries were compared as centre and member; only larger groups than a block have several
+    for search, least in ((within, 2), (between, block)):
         again, doubtful = None, 0
         while True:
-            rows = rows_now(again)
+            rows = rows_now(again, least)
             found_pairs = materialise(search(rows, doubtful).select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
             if found_pairs.isEmpty():
                 break

@@ -20,12 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
+from .common import materialise
 
 ship_by_value(__name__)
 
 PROFILE = 400          # n-grams in a profile, and at most in a document's list
-MAX_LANGUAGES = 1000   # bound of the model: the languages with most rows are learned
+BLOCK = 1000            # languages whose profiles are compared at a time: 3 MB of them
 _HELD = 2_000_000       # counts a task holds per language before it sums them up
+_MOST = 8_000_000       # and of all languages before it passes them on
 
 
 def letter_table() -> np.ndarray:
@@ -67,15 +69,21 @@ def first(codes: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     return codes[np.lexsort((codes, -n))[:size]]
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE,
-          max_languages: int = MAX_LANGUAGES) -> list[tuple[str, list[int]]]:
-    """Profiles of the languages of all given rows: (language, codes by rank).
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE) -> DataFrame:
+    """(lang, grams): the profile of every language of the given rows, codes by rank.
 
-    Counts are summed per partition and then by Spark; only the ``size`` first
-    n-grams of at most ``max_languages`` languages come back.
-    """
+    Counts are summed per task and then by Spark; a language keeps its ``size`` first
+    n-grams, however many languages there are."""
     def counted(batches):
         letters, seen, held = letter_table(), defaultdict(list), Counter()
+
+        def passed_on():
+            for name, parts in seen.items():
+                codes, n = merged(parts)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(codes), pa.string()), "gram": codes, "n": n})
+            seen.clear()
+            held.clear()
+
         for batch in batches:
             for t, name in zip(batch.column(0), batch.column(1)):
                 name, found = name.as_py(), count_grams(t.as_py(), letters)
@@ -83,23 +91,28 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = P
                 held[name] += len(found[0])
                 if held[name] > _HELD:
                     seen[name] = [merged(seen[name])]
-                    held[name] = 0
-        for name, parts in seen.items():
-            codes, n = merged(parts)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(codes), pa.string()), "gram": codes, "n": n})
+                    held[name] = len(seen[name][0][0])
+            if held.total() > _MOST:
+                yield from passed_on()
+        yield from passed_on()
 
     known = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).dropna()
-    top = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(max_languages)
-    names = sorted(r["lang"] for r in top.collect())
-    if not names:
-        return []
-    counts = known.where(F.col("lang").isin(*names)).mapInArrow(counted, "lang string, gram bigint, n bigint")
-    summed = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    summed = known.mapInArrow(counted, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ranked = summed.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-    found = defaultdict(list)
-    for r in ranked.where(F.col("rank") <= size).select("lang", "rank", "gram").collect():
-        found[r["lang"]].append((r["rank"], r["gram"]))
-    return [(name, [g for _, g in sorted(found[name])]) for name in sorted(found)]
+    listed = ranked.where(F.col("rank") <= size).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("rank", "gram"))).alias("g"))
+    return materialise(listed.select("lang", F.col("g.gram").alias("grams")))
+
+
+def blocks(profiles: DataFrame, size: int = BLOCK) -> Iterator[list[tuple[str, list[int]]]]:
+    """The profiles in the order of their names, ``size`` languages at a time."""
+    part: list[tuple[str, list[int]]] = []
+    for r in profiles.orderBy("lang").toLocalIterator():
+        part.append((r["lang"], r["grams"]))
+        if len(part) == size:
+            yield part
+            part = []
+    if part:
+        yield part
 
 
 def identify(profiles: list[tuple[str, list[int]]], size: int = PROFILE):
@@ -128,15 +141,24 @@ def identify(profiles: list[tuple[str, list[int]]], size: int = PROFILE):
     return of
 
 
-def predict(profiles: list[tuple[str, list[int]]], text: Column, size: int = PROFILE) -> Column:
-    """Struct (lang_pred, score) of a text column; nothing but the text is read."""
+def predict(profiles: DataFrame, text: Column, size: int = PROFILE, block: int = BLOCK) -> Column:
+    """Struct (lang_pred, score) of a text column; nothing but the text is read. Blocks of
+    languages are compared one after the other, and the best so far stays (of equals the
+    first by name)."""
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 
-    @F.arrow_udf("lang_pred string, score double")
-    def rated(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        of = identify(profiles, size)
-        for part in parts:
-            found = [of(t) for t in part.to_pylist()]
-            yield pa.array([{"lang_pred": a, "score": b} for a, b in found], type=kind)
-
-    return rated(text.cast("string"))
+    def rated(part: list[tuple[str, list[int]]]) -> Column:
+        @F.arrow_udf("lang_pred string, score double")
+        def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            of = identify(part, size)
+            for texts in parts:
+                found = [of(t) for t in texts.to_pylist()]
+                yield pa.array([{"lang_pred": a, "score": b} for a, b in found], type=kind)
+
+        return run(text.cast("string"))
+
+    best = None
+    for part in blocks(profiles, block):
+        one = rated(part)
+        best = one if best is None else F.when(one["score"] > best["score"], one).otherwise(best)
+    return rated([]) if best is None else best

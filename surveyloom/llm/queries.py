@@ -87,7 +87,9 @@ def _simhash(docs: DataFrame) -> DataFrame:
 def _repeated_bytes(docs: DataFrame) -> DataFrame:
     cut = repeats.remove_repeats(docs)
     removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, r: a + r["end"] - r["start"])
-    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256")
+    listed = F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"])), ",")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), "kept_sha256",
+                      listed.alias("removed_spans"), F.coalesce(F.try_divide(removed, "n_bytes"), F.lit(0.0)).alias("removed_share"))
 
 
 @query("op9_personal_data", "documents")

@@ -75,6 +75,18 @@ def test_language_id(spark, tables, docs):
     assert language_id.identify(learned, 3)("A b?") == ("x", 1.0)
 
 
+def test_every_language_is_learned(spark):
+    """1,500 languages of one letter run each; blocks of any size predict the same."""
+    word = lambda k: "".join(chr(0x4E00 + 7 * k + j) for j in range(5))
+    docs = spark.createDataFrame([(f"{word(k)} {word(k)}", f"l{k:04d}") for k in range(1500)], "text string, lang string").repartition(4)
+    profiles = language_id.learn(docs)
+    assert profiles.count() == 1500
+    asked = docs.where("lang in ('l0000', 'l0999', 'l1000', 'l1499')")
+    for block in (1000, 700):
+        rated = asked.select("lang", language_id.predict(profiles, F.col("text"), block=block).alias("r")).select("lang", "r.*").collect()
+        assert len(rated) == 4 and all(r["lang"] == r["lang_pred"] for r in rated)
+
+
 def language_id_code(gram):
     code = 0
     for c in gram:
@@ -239,7 +251,12 @@ def brute_removed(texts, length=400):
 
 def test_repeated_bytes(spark, tables, docs):
     wanted = brute_removed([(t or "").encode() for _, t, *_ in docs])
-    same([tuple(r) for r in rows_of(spark, tables, "op8_repeated_bytes")], [(d[0], *w) for d, w in zip(docs, wanted)])
+    found = rows_of(spark, tables, "op8_repeated_bytes")
+    same([tuple(r)[:5] for r in found], [(d[0], *w) for d, w in zip(docs, wanted)])
+    for r in found:
+        spans = [tuple(map(int, x.split(":"))) for x in r["removed_spans"].split(",") if x]
+        assert len(spans) == r["n_spans"] and sum(b - a for a, b in spans) == r["n_removed"]
+        assert r["removed_share"] == pytest.approx(r["n_removed"] / max(1, r["n_bytes"]))
 
 
 @pytest.mark.parametrize("small", [1, 4000])
@@ -277,6 +294,19 @@ def test_personal_data(spark, tables, docs):
         assert {f"{k}:{a}:{b}" for k, a, b in wanted[r["doc_id"]][5]} <= set(r["spans"].split(","))| {""}
 
 
+def test_training_takes_whole_texts_of_every_kind(spark):
+    far = "word " * 12_000 + "card 4111 1111 1111 1111 end"
+    rows = [(f"year {k}",) for k in range(400)] + [("call 2 of them",)] * 900 + [(far,), ("a@b.cd",), (None,), ("1.2.3.4",)]
+    docs = spark.createDataFrame(rows, "text string")
+    seen = []
+    original, pii.fit = pii.fit, lambda texts: seen.extend(texts) or {}
+    try:
+        pii.train(docs, sample=5)
+    finally:
+        pii.fit = original
+    assert far in seen and "a@b.cd" in seen and "1.2.3.4" in seen and len(seen) == len(set(seen)) <= 25
+
+
 def test_field_sums_over_all_segmentations():
     scored = {(0, 0, "ip"): 0.5, (0, 1, "card"): 1.2, (1, 1, "ip"): -0.3, (1, 2, "email"): 0.7, (2, 2, "ip"): 0.1}
     def segmentations(at):

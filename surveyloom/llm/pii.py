@@ -24,13 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
+from .common import materialise
 
 ship_by_value(__name__)
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_WORDS, MAX_CHARS = 5, 64      # bound of an entity
-SAMPLE = 600                      # texts the field is trained on
-SAMPLE_CHARS = 20_000             # regions past this place of a sampled text are not trained on
+SAMPLE = 120                      # texts of each kind, and of none, that the field is trained on
+SAMPLE_CHARS = 200_000            # longer texts are not trained on; the others are used whole
 CERTAIN = 2.0                     # log-odds by which an added span must beat plain words
 
 # The given patterns.
@@ -220,8 +221,6 @@ def examples(text: str) -> Iterator[tuple[int, dict, dict]]:
     """(words, candidates, true segments by the patterns) of every region."""
     spans = base_spans(text)
     for words in regions(text):
-        if words[0][0] > SAMPLE_CHARS:
-            return
         found = candidates(text, words)
         true = {(i, j, k) for (i, j), (s, e, _) in found.items() for k, a, b in spans if (a, b) == (s, e)}
         yield len(words), found, true
@@ -243,16 +242,24 @@ def fit(texts: list[str], epochs: int = 6, rate: float = 0.3, decay: float = 1e-
     return weights
 
 
-def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> dict[str, float]:
-    """Fit on at most ``sample`` texts with a digit or ``@``: those with the smallest
-    hash of their text, so that the model doesn't depend on the order of rows."""
+def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE, most_chars: int = SAMPLE_CHARS) -> dict[str, float]:
+    """Fit on whole texts: of those that may hold a kind, by a plain pattern for each, the
+    ``sample`` with the smallest hashes, and as many with a digit or ``@`` that hold none.
+    Copies are one text. The model doesn't depend on the order of rows; at most
+    5 * ``sample`` texts of ``most_chars`` characters or fewer leave their tasks."""
     t = F.col(f"`{text}`").cast("string")
-    asked = docs.select(F.substring(t, 1, SAMPLE_CHARS + 2000).alias("t"), F.xxhash64(t).alias("h")).where(F.col("t").rlike("[0-9@]"))
-    # hashes first, so that only the texts of the sample leave their tasks
-    last = asked.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if last is None:
+    holds = {"email": t.contains("@"), "ip": t.rlike(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]"), "card": t.rlike(r"([0-9][\x20-]?){12}"),
+             "phone": t.rlike(r"\+[0-9]")}
+    asked = docs.select(t.alias("t"), F.xxhash64(t).alias("h"), *[c.alias(k) for k, c in holds.items()]).where(
+        t.rlike("[0-9@]") & (F.length(t) <= most_chars))
+    hashes = materialise(asked.groupBy("h").agg(*[F.max(k).alias(k) for k in holds]))
+    none = ~(F.col("email") | F.col("ip") | F.col("card") | F.col("phone"))
+    chosen: set[int] = set()
+    for wanted in (*(F.col(k) for k in holds), none):
+        chosen.update(r["h"] for r in hashes.where(wanted).orderBy("h").limit(sample).collect())
+    if not chosen:
         return fit([])
-    rows = asked.where(F.col("h") <= last).orderBy("h", "t").limit(sample).collect()
+    rows = asked.where(F.col("h").isin(*chosen)).groupBy("h").agg(F.min("t").alias("t")).orderBy("h").collect()
     return fit([r["t"] for r in rows])
 
 

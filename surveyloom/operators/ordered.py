@@ -70,7 +70,7 @@ def slotted(df: DataFrame, by: Sequence[str], order: Sequence[Column]) -> DataFr
     return dealt.withColumn("_key", F.struct("_slot", *by))
 
 
-def _slot_starts(sums: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def slot_starts(sums: DataFrame, by: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sums per ``_key`` become the totals of the group's slots before this one."""
     group = [F.col(f"_key.`{b}`") for b in by] or [F.lit(1)]
     before = Window.partitionBy(*group).orderBy("_key._slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +86,7 @@ def running_totals(df: DataFrame, by: Sequence[str], value: str, measures: Mappi
     order = F.col(value).desc() if descending else F.col(value).asc()
     per_value = df.filter(known(df, value)).groupBy(*by, value).agg(*[m.alias(k) for k, m in measures.items()])
     dealt = slotted(per_value, by, [order])
-    starts = _slot_starts(dealt.groupBy("_key").agg(*[F.sum(k).alias(k) for k in names]), by, names).drop(*names)
+    starts = slot_starts(dealt.groupBy("_key").agg(*[F.sum(k).alias(k) for k in names]), by, names).drop(*names)
     inside = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return dealt.join(starts, "_key").select(*by, value, *names, *[
         (F.col(f"_start_{k}") + F.sum(k).over(inside)).alias(f"cum_{k}") for k in names])
@@ -120,7 +120,7 @@ def rank_min(df: DataFrame, col: str, out: str, by: Sequence[str] = (), descendi
     first, last = (F.max, F.min) if descending else (F.min, F.max)
     ends = placed.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.max("_rank").alias("_late"),
                                       first(col).alias("_first"), last(col).alias("_last"))
-    ends = _slot_starts(ends, by, ["n"])
+    ends = slot_starts(ends, by, ["n"])
     # where the run of a value begins that ends one range and goes on in the next
     runs = ends.groupBy(*[F.col(f"_key.`{b}`").alias(f"_r_{b}") for b in by], F.col("_last").alias("_value")).agg(
         F.min(F.col("_start_n") + F.col("_late")).alias("_run"))
@@ -145,7 +145,7 @@ def hashed_position(df: DataFrame, by: Sequence[str], unique_id: Sequence[str],
     hash of a unique id: exact, and the same on every run and partitioning."""
     by, order = list(by), ["_h", *unique_id]
     dealt = slotted(df.withColumn("_h", F.xxhash64(F.lit(seed), *unique_id)), by, [F.col(c) for c in order])
-    starts = _slot_starts(dealt.groupBy("_key").agg(F.count(F.lit(1)).alias("n")), by, ["n"]).drop("n")
+    starts = slot_starts(dealt.groupBy("_key").agg(F.count(F.lit(1)).alias("n")), by, ["n"]).drop("n")
     place = F.col("_start_n") + F.row_number().over(Window.partitionBy("_key").orderBy(*order))
     return dealt.join(starts, "_key").withColumn(out, place).select(*df.columns, out)
 
@@ -230,8 +230,9 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
                     keep: Sequence[str] | None = None) -> DataFrame:
     """First row of each group in a total order.
 
-    A minimum over a struct combines on the map side, so a hot group is reduced
-    before the shuffle and nothing is sorted per group.
+    A minimum over a struct combines on the map side, so a hot group is reduced to one row
+    a task before the shuffle. Spark keeps such a minimum in a sort-based aggregate: a
+    task sorts its rows by the group's key, but no group is ever gathered or sorted.
     """
     kept = [c for c in (keep or df.columns) if c not in keys]
     packed = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_ordered_key(order))],

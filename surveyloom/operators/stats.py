@@ -9,14 +9,14 @@ from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..functions import as_number
-from ..session import ship_by_value
+from ..session import cut_lineage, ship_by_value
 from .common import attach_scalars, join_keys, long_numeric, long_text, small_side
-from .ordered import exact_quantiles, rank_min, running_totals
+from .ordered import exact_quantiles, rank_min, running_totals, slot_starts, slotted
 from .profile import null_percent
 from .projection import select_existing
 
@@ -231,8 +231,8 @@ def select_k_best(df: DataFrame, ranking: DataFrame, k: int | None, keep: Sequen
 
 def mutual_info(df: DataFrame, discrete: Sequence[str], continuous: Sequence[str], target: str,
                 bins: int = 10) -> DataFrame:
-    """Mutual information (nats) with the target: exact for discrete columns,
-    over equal-frequency bins for continuous ones."""
+    """Mutual information (nats) with the target: exact for discrete columns, over
+    equal-frequency bins for continuous ones (:func:`neighbour_information` needs none)."""
     base = df.filter(F.col(target).isNotNull())
     parts = [joint_counts(base, discrete, target)] if discrete else []
     if continuous:
@@ -247,14 +247,76 @@ def mutual_info(df: DataFrame, discrete: Sequence[str], continuous: Sequence[str
     joint = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     # Σ n·ln(n·N / (n_level·n_class)) / N = (Σ n ln n − Σ n_level ln n_level − Σ n_class ln n_class + N ln N) / N
     def xlogx(c: str) -> Column:
-        return F.sum(F.col(c) * F.log(F.col(c).cast("double")))
-
-    by_cell = joint.groupBy("variable").agg(xlogx("n").alias("a"), F.sum("n").alias("total"))
-    by_level = joint.groupBy("variable", "level").agg(F.sum("n").alias("m")).groupBy("variable").agg(xlogx("m").alias("b"))
-    by_class = joint.groupBy("variable", "class").agg(F.sum("n").alias("m")).groupBy("variable").agg(xlogx("m").alias("c"))
-    return by_cell.join(by_level, "variable").join(by_class, "variable").select(
-        "variable", F.greatest(F.lit(0.0), (F.col("a") - F.col("b") - F.col("c")
-                    + F.col("total") * F.log(F.col("total").cast("double"))) / F.col("total")).alias("mutual_info"))
+        return F.col(c) * F.log(F.col(c).cast("double"))
+
+    # the joint counts are read once: sums by level, by class and over all are grouping sets of one exchange
+    sums = joint.groupingSets([["variable", "level"], ["variable", "class"], ["variable"]], "variable", "level", "class").agg(
+        F.sum("n").alias("m"), F.sum(xlogx("n")).alias("a"), F.grouping("level").alias("no_level"), F.grouping("class").alias("no_class"))
+    whole = (F.col("no_level") == 1) & (F.col("no_class") == 1)
+    found = sums.groupBy("variable").agg(
+        F.max(F.when(whole, F.col("a"))).alias("a"), F.max(F.when(whole, F.col("m"))).alias("total"),
+        F.sum(F.when(~whole, xlogx("m"))).alias("b"))
+    return found.select("variable", F.greatest(F.lit(0.0), (F.col("a") - F.col("b") + xlogx("total")) / F.col("total")).alias("mutual_info"))
+
+
+def digamma(n: Column) -> Column:
+    """Digamma of a positive number: six steps up, then the asymptotic series."""
+    n = n.cast("double")
+    z = n + 6
+    late = F.log(z) - 1 / (2 * z) - 1 / (12 * z ** 2) + 1 / (120 * z ** 4) - 1 / (252 * z ** 6) + 1 / (240 * z ** 8)
+    for step in range(6):
+        late = late - 1 / (n + step)
+    return late
+
+
+def neighbour_information(df: DataFrame, continuous: Sequence[str], target: str, k: int = 3) -> DataFrame:
+    """Mutual information (nats) of continuous columns with a class target from nearest
+    neighbours: for each row the distance to the k-th nearest value of its own class, and
+    the number of rows of any class that are closer; then a mean of digammas.
+
+    Everything runs in range slots. The k nearest of a sorted value are among the k on
+    either side, so a slot only needs the k values next to it from the neighbouring slots;
+    and the rows closer than a distance are the difference of two places in the order of
+    all values, found by sorting the two ends of each row's interval among the values.
+    Missing values take the median; a class of one row is left out. Rows with k copies in
+    their class are at distance 0 and count the copies of any class."""
+    base = df.filter(F.col(target).isNotNull())
+    long = long_numeric(median_fill(base, continuous), continuous, [target]).select(
+        "variable", F.col(target).alias("class"), F.col("value").cast("double").alias("x"))
+    sizes = small_side(long.groupBy("variable", "class").agg(F.count(F.lit(1)).alias("size")))
+    rows = join_keys(long, sizes, ["variable", "class"], "inner").filter(F.col("size") > 1)
+    group = ["variable", "class"]
+    dealt = slotted(rows, group, [F.col("x").asc()]).withColumn("_id", F.monotonically_increasing_id())
+    inside = Window.partitionBy("_key").orderBy("x", "_id")
+    placed = dealt.withColumns({
+        "_near": F.array(*[f("x", j).over(inside) for j in range(1, k + 1) for f in (F.lag, F.lead)]),
+        "_place": F.row_number().over(inside), "_rows": F.count(F.lit(1)).over(Window.partitionBy("_key"))})
+    # the k values at either end of a slot, and from them those next to every slot
+    ends = placed.filter((F.col("_place") <= k) | (F.col("_place") > F.col("_rows") - k)).groupBy("_key").agg(
+        F.collect_list(F.when(F.col("_place") <= k, F.col("x"))).alias("_head"),
+        F.collect_list(F.when(F.col("_place") > F.col("_rows") - k, F.col("x"))).alias("_tail"))
+    slots = Window.partitionBy("_key.variable", "_key.class").orderBy("_key._slot")
+    halo = ends.select("_key", F.concat(F.flatten(F.collect_list("_tail").over(slots.rowsBetween(-k, -1))),
+                                        F.flatten(F.collect_list("_head").over(slots.rowsBetween(1, k)))).alias("_halo"))
+    gaps = F.array_sort(F.transform(F.filter(F.concat("_near", "_halo"), lambda v: v.isNotNull()), lambda v: F.abs(v - F.col("x"))))
+    kth = F.least(F.lit(k), F.col("size") - 1).cast("int")
+    reached = cut_lineage(placed.join(halo, "_key").select("variable", "x", "size", "_id", kth.alias("k"), F.element_at(gaps, kth).alias("r")))
+    # 1: a value, 0 and 2: the ends of an interval just before or after the values that are equal to it
+    point = F.col("r") == 0
+    events = F.array(F.struct(F.col("x").alias("t"), F.lit(1).alias("o"), F.lit(0).alias("sign")),
+                     F.struct((F.col("x") - F.col("r")).alias("t"), F.when(point, 0).otherwise(2).alias("o"), F.lit(-1).alias("sign")),
+                     F.struct((F.col("x") + F.col("r")).alias("t"), F.when(point, 2).otherwise(0).alias("o"), F.lit(1).alias("sign")))
+    spread = reached.select("variable", "_id", F.explode(events).alias("_e")).select("variable", "_id", "_e.*")
+    sorted_in = slotted(spread, ["variable"], [F.col("t"), F.col("o"), F.col("_id")])
+    starts = slot_starts(sorted_in.groupBy("_key").agg(F.count_if(F.col("o") == 1).alias("n")), ["variable"], ["n"]).drop("n")
+    upto = Window.partitionBy("_key").orderBy("t", "o", "_id").rowsBetween(Window.unboundedPreceding, 0)
+    below = sorted_in.withColumn("_below", F.sum(F.when(F.col("o") == 1, 1).otherwise(0)).over(upto)).join(starts, "_key")
+    closer = below.filter("sign <> 0").groupBy("variable", "_id").agg(
+        F.sum(F.col("sign") * (F.col("_below") + F.col("_start_n"))).alias("m"))
+    both = reached.join(closer, ["variable", "_id"])
+    mean = both.groupBy("variable").agg(F.avg(digamma(F.col("k")) - digamma(F.col("size")) - digamma(F.col("m"))).alias("_mean"),
+                                        F.count(F.lit(1)).alias("_n"))
+    return mean.select("variable", F.greatest(F.lit(0.0), digamma(F.col("_n")) + F.col("_mean")).alias("mutual_info"))
 
 
 def available_specs(df: DataFrame, specs: DataFrame) -> DataFrame:

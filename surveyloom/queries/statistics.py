@@ -142,6 +142,23 @@ def _(t):
     return rounded(S.mutual_info(labelled(t), ["lang", "source"], ["n_chars"], "toxic"), "mutual_info")
 
 
+# brute force over all pairs of labelled documents; digamma of whole numbers as harmonic sums
+NEAREST = f"""(SELECT a.doc_id, any_value(a.n_chars) AS x, any_value(a.toxic) AS y, COUNT(*) AS others, least(3, COUNT(*)) AS k,
+    list_sort(list(abs(a.n_chars - b.n_chars)))[least(3, COUNT(*))] AS r
+    FROM {DOCS} a JOIN {DOCS} b ON a.toxic = b.toxic AND a.doc_id <> b.doc_id GROUP BY a.doc_id)"""
+PSI = "(coalesce(list_sum(list_transform(range(1, ({n})::BIGINT), lambda j: 1.0 / j)), 0) - 0.57721566490153286)"
+
+
+@query("k08b_neighbour_information", f"""
+    SELECT 'n_chars' AS variable, round(greatest(0, {PSI.format(n="COUNT(*)")} + avg(p)), 6) AS mutual_info FROM (
+      SELECT {PSI.format(n="k")} - {PSI.format(n="others + 1")} - {PSI.format(n="m")} AS p FROM (
+        SELECT any_value(a.k) AS k, any_value(a.others) AS others,
+               COUNT(*) FILTER (abs(a.x - b.x) < a.r OR (a.r = 0 AND a.x = b.x)) AS m
+        FROM {NEAREST} a, {NEAREST} b GROUP BY a.doc_id))""")
+def _(t):
+    return rounded(S.neighbour_information(labelled(t), ["n_chars"], "toxic"), "mutual_info")
+
+
 @query("k10_available_specs", f"""
     SELECT 'n_lines' AS variable, 'size' AS "group", 'numeric' AS kind,
            round((COUNT(*) - COUNT(n_lines)) * 100.0 / COUNT(*), 4) AS null_pct FROM {LINES}

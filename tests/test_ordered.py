@@ -155,3 +155,48 @@ def test_quantile_cells_are_cut_until_they_are_small(spark, cell_rows):
             assert r[name] == pytest.approx(np.quantile(part, p), rel=1e-12)
     whole = O.exact_quantiles(frame(spark, values), [], "value", {"b": 0.5}, cell_rows).first()
     assert whole["b"] == pytest.approx(np.quantile(values, 0.5))
+
+
+def harmonic(n):
+    return sum(1 / j for j in range(1, n)) - 0.5772156649015329
+
+
+def brute_information(rows, k):
+    sizes = {y: sum(b == y for _, b in rows) for _, y in rows}
+    rows = [(x, y) for x, y in rows if sizes[y] > 1]
+    total = 0.0
+    for i, (x, y) in enumerate(rows):
+        own = min(k, sizes[y] - 1)
+        r = sorted(abs(x - u) for j, (u, v) in enumerate(rows) if v == y and j != i)[own - 1]
+        m = sum(abs(x - u) < r or (r == 0 and u == x) for u, _ in rows)
+        total += harmonic(own) - harmonic(sizes[y]) - harmonic(m)
+    return max(0.0, harmonic(len(rows)) + total / len(rows))
+
+
+@pytest.mark.parametrize("k, partitions", [(3, 2), (5, 40), (1, 8)])
+def test_neighbour_information_is_the_brute_force(spark, k, partitions):
+    from surveyloom.operators.stats import neighbour_information
+
+    rng = random.Random(k)
+    rows = [(float(rng.choice([rng.randrange(400), 7, rng.randrange(5)]) + (300 * y if y < 3 else 0)), y)
+            for y in [rng.choice([0, 0, 0, 1, 2]) for _ in range(250)] + [3] + [4, 4]]
+    noise = [rng.randrange(10**6) / 8 for _ in rows]
+    df = spark.createDataFrame([(a, b, y) for (a, y), b in zip(rows, noise)] + [(1.0, 1.0, None)], "a double, b double, y int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r["variable"]: r["mutual_info"] for r in neighbour_information(df, ["a", "b"], "y", k).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got["a"] == pytest.approx(brute_information(rows, k), abs=1e-9)
+    assert got["b"] == pytest.approx(brute_information([(b, y) for (_, y), b in zip(rows, noise)], k), abs=1e-9)
+    assert got["a"] > 0.1
+
+
+def test_digamma(spark):
+    from surveyloom.operators.stats import digamma
+
+    for n, v in spark.range(1, 60).select("id", digamma(F.col("id"))).collect():
+        assert v == pytest.approx(harmonic(n), abs=1e-11)

@@ -12,3 +12,11 @@ from .household import (  # noqa: F401
     scenario_dataset,
     select_region,
 )
+from .modelling import (  # noqa: F401
+    BENCHMARK_CONFIGS,
+    Benchmark,
+    column_roles,
+    explore,
+    objectives,
+    run_benchmark,
+)

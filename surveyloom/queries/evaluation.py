@@ -228,3 +228,66 @@ def _(t):
     summary = results(t).withColumns({"strategy": F.lit("smote"), "threshold": F.lit(0.3), "roc_auc": col("accuracy"),
                                       "pr_auc": col("accuracy")})
     return M.top_models_view(summary, {"F": "LogisticRegression", "O": "DecisionTree"})
+
+
+# ---------------------------------------------------------------- unscored rows
+
+HOLES = f"""(SELECT * REPLACE (CASE WHEN o_orderkey % 10 NOT IN (3, 7) THEN score END AS score) FROM {SCORED})"""
+RATED = f"(SELECT * FROM {HOLES} WHERE score IS NOT NULL)"
+
+
+def holes(t):
+    """Every fifth row is unscored: half of them null, half NaN."""
+    gap = F.when(col("o_orderkey") % 10 == 7, F.lit(float("nan"))).when(col("o_orderkey") % 10 != 3, col("score"))
+    return scored(t).withColumn("score", gap)
+
+
+@query("p01b_confusion_unscored", f"SELECT model, {counts_sql(0.5)} FROM {HOLES} GROUP BY model")
+def _(t):
+    return M.confusion(holes(t), 0.5, by=["model"])
+
+
+@query("p02c_binary_metrics_unscored", f"SELECT *, {RATES} FROM (SELECT model, {counts_sql(0.35)} FROM {HOLES} GROUP BY model)")
+def _(t):
+    return rounded(M.binary_metrics(holes(t), 0.35, by=["model"]), *RATE_COLS)
+
+
+@query("p04b_threshold_sweep_unscored", f"""
+    SELECT model, threshold, tn, fp, fn, tp, unscored, {RATES} FROM (""" + " UNION ALL ".join(
+    f"SELECT model, {t}::DOUBLE AS threshold, {counts_sql(t)} FROM {HOLES} GROUP BY model" for t in THRESHOLDS) + ")")
+def _(t):
+    return rounded(M.threshold_sweep(holes(t), THRESHOLDS, by=["model"]), *RATE_COLS)
+
+
+@query("p05c_roc_auc_unscored", AUC.format(by="model,", part="PARTITION BY model", both="PARTITION BY model,", t=RATED))
+def _(t):
+    return rounded(M.roc_auc(holes(t), by=["model"]), "roc_auc")
+
+
+@query("p06b_average_precision_unscored", f"""
+    SELECT model, round(SUM(pos * cp / (cp + cn)) / max(p), 6) AS average_precision FROM {CURVE.replace(SCORED, RATED)} GROUP BY model""")
+def _(t):
+    return rounded(M.average_precision(holes(t), by=["model"]), "average_precision")
+
+
+@query("p07b_roc_curve_unscored", f"""
+    SELECT model, round(score, 6) AS threshold, round(cn / n, 6) AS fpr, round(cp / p, 6) AS tpr FROM {CURVE.replace(SCORED, RATED)}
+    UNION ALL SELECT model, 'inf'::DOUBLE, 0.0, 0.0 FROM {CURVE.replace(SCORED, RATED)} GROUP BY model""")
+def _(t):
+    curve = rounded(M.roc_curve(holes(t), by=["model"]), "fpr", "tpr")
+    return curve.withColumn("threshold", F.when(col("threshold") > 1, col("threshold")).otherwise(F.round("threshold", 6)))
+
+
+@query("p09b_winner_rows_listed_twice", f"SELECT model, threshold, recall, precision FROM {SWEEP} WHERE threshold = 0.3")
+def _(t):
+    sweep = M.threshold_sweep(scored(t), (0.2, 0.3, 0.4), by=["model"]).select("model", "threshold", "recall", "precision")
+    winners = scored(t).select("model").distinct().withColumn("threshold", F.lit(0.1) + F.lit(0.2))
+    return rounded(M.winner_rows(sweep.unionByName(sweep), winners, ["model"]), "threshold", "recall", "precision")
+
+
+@query("p10b_error_rows_unscored", f"""
+    SELECT o_orderkey, label, CAST(score >= 0.4 AS INTEGER) AS prediction,
+           CASE WHEN label = 0 THEN 'false_positive' ELSE 'false_negative' END AS error_kind FROM {RATED}
+    WHERE label <> CAST(score >= 0.4 AS INTEGER)""")
+def _(t):
+    return M.error_rows(holes(t), 0.4).select("o_orderkey", "label", "prediction", "error_kind")

@@ -8,6 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
+from .. import plans
+from ..operators import encode as E
 from ..operators import models as M
 from ..operators import prep as P
 from ..operators.common import attach_scalars
@@ -100,6 +102,18 @@ def _(t):
                       F.size("v").cast("bigint").alias("slots"))
 
 
+@query("l05b_one_hot_level_per_customer", """
+    WITH known AS (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 3 <> 0 AND c_name IS NOT NULL),
+         coded AS (SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS code FROM known)
+    SELECT c_custkey, code, (SELECT COUNT(*) FROM known) AS slots FROM customer LEFT JOIN coded USING (c_name)""")
+def _(t):
+    """A level per customer: the dictionary stays a table and meets the rows by join."""
+    customers = t.customer.select("c_custkey", "c_name")
+    encoder = E.fit_encoder(customers.filter("c_custkey % 3 <> 0"), [], ["c_name"])
+    return E.with_codes(customers, encoder.levels, ["c_name"], "_code").select(
+        "c_custkey", col("c_name_code").alias("code"), F.lit(encoder.sizes["c_name"]).cast("bigint").alias("slots"))
+
+
 @query("l06_standard_scale", """
     SELECT l_orderkey, l_linenumber, l_partkey,
            round((l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER (), 6) AS l_quantity_scaled,
@@ -344,6 +358,17 @@ def _(t):
     return _checked(M.cross_validate(df, FOUR_SETS, "toxic", "doc_id", configs, k=5), "feature_set", "fold", "model", "strategy")
 
 
+@query("m08c_cross_validate_whole_benchmark", f"""
+    SELECT s AS feature_set, fold, m AS model, w AS strategy, threshold, positives, negatives, true AS consistent
+    FROM (SELECT unnest({list(FOUR_SETS)}) AS s), (SELECT unnest(['logistic', 'tree', 'forest', 'gbt', 'svc']) AS m),
+         (SELECT unnest(['weighted', 'smote']) AS w), {FIVE_FOLDS}, {_thresholds(M.THRESHOLDS)}""")
+def _(t):
+    """All five models under both strategies: 200 fits."""
+    df = labelled(t).withColumn("text_per_char", F.try_divide("text_length", "n_chars"))
+    found = M.cross_validate(df, FOUR_SETS, "toxic", "doc_id", plans.BENCHMARK_CONFIGS, k=5)
+    return _checked(found, "feature_set", "fold", "model", "strategy")
+
+
 @query("m09b_grid_search_whole", f"""
     SELECT model, strategy, n_configurations, threshold, positives, negatives, true AS consistent
     FROM (VALUES ('logistic', 'plain', 3), ('logistic', 'weighted', 3), ('tree', 'plain', 12), ('tree', 'weighted', 12),
@@ -364,6 +389,30 @@ def _(t):
                                       0.4)[1], "model")
 
 
+@query("m10b_winner_report_supports", f"""
+    SELECT class, support FROM (SELECT unnest([('0', negatives), ('1', positives), ('accuracy', positives + negatives),
+      ('macro avg', positives + negatives), ('weighted avg', positives + negatives)]) AS x, x[1] AS class, x[2] AS support FROM {HOLD_OUT})""")
+def _(t):
+    """The report per class of the winner on the hold-out."""
+    found = M.evaluate_winner(labelled(t), FEATURES, "toxic", "doc_id", M.ModelConfig("tree", "weighted"), 0.5)
+    return found[4].select("class", col("support").cast("bigint").alias("support"))
+
+
+@query("m10c_winner_errors_add_up", """
+    SELECT kind AS error_kind, true AS as_counted, true AS profiled FROM (SELECT unnest(['false_positive', 'false_negative']) AS kind), (
+        SELECT COUNT(*) AS n FROM labels) WHERE n > 0""")
+def _(t):
+    """Misclassified rows of the winner are as many as its matrix says, and each kind that
+    occurs has a profile."""
+    _, metrics, errors, profile, _ = M.evaluate_winner(labelled(t), FEATURES, "toxic", "doc_id", M.ModelConfig("tree", "weighted"), 0.5)
+    kinds = metrics.select(F.explode(F.array(F.struct(F.lit("false_positive").alias("error_kind"), col("fp").alias("n")),
+                                             F.struct(F.lit("false_negative").alias("error_kind"), col("fn").alias("n")))).alias("_k")).select("_k.*")
+    rows = errors.groupBy("error_kind").agg(F.count(F.lit(1)).alias("rows"))
+    named = profile.groupBy("error_kind").agg(F.count_if(col("mean").isNotNull() | col("mode").isNotNull()).alias("values"))
+    joined = kinds.join(rows, "error_kind", "left").join(named, "error_kind", "left").na.fill(0, ["rows", "values"])
+    return joined.select("error_kind", (col("rows") == col("n")).alias("as_counted"), ((col("values") > 0) == (col("n") > 0)).alias("profiled"))
+
+
 @query("m11_export_models", """
     SELECT alias, model, strategy, threshold, n_features, COUNT(*) AS n_rows_trained, CAST(0 AS BIGINT) AS target_null_rows_dropped
     FROM labels, (VALUES ('radar', 'logistic', 'weighted', 0.2::DOUBLE, 5), ('plain', 'tree', 'plain', 0.5::DOUBLE, 5))
@@ -436,3 +485,18 @@ def _(t):
     out = M.grouped_importance(fitted, df)
     return attach_scalars(out, out.agg(F.max("influence").alias("top"))).select(
         "variable", col("influence").between(0, 1).alias("in_range"), (col("top") == 1).alias("scaled_to_one"))
+
+
+@query("m13_benchmark_run", f"""
+    SELECT objective, positives, negatives, true AS consistent, 0 AS target_null_rows_dropped, positives_all + negatives_all AS n_rows_trained
+    FROM (SELECT unnest(['most_detection', 'best_balance', 'no_leakage']) AS objective), {HOLD_OUT},
+         (SELECT COUNT(*) FILTER (toxic = 1) AS positives_all, COUNT(*) FILTER (toxic = 0) AS negatives_all FROM labels)""")
+def _(t):
+    """Sets, folds, means, winners, hold-out and export as one run of two models; any
+    precision will do, so that every objective has a winner."""
+    folder = f"{ensure_checkpoint_dir(t._spark)}/models-{uuid.uuid4().hex}"
+    done = plans.run_benchmark(labelled(t), SETS, "toxic", "doc_id", ["no_leakage"], [M.ModelConfig("logistic", "weighted"), M.ModelConfig("tree", "weighted")],
+                               folder, k=2, min_precision=0.0).tables
+    sides = done["exports"].select(col("alias").alias("objective"), col("target_null_rows_dropped").cast("int").alias("target_null_rows_dropped"),
+                                   "n_rows_trained")
+    return _checked(done["holdout"], "objective").drop("threshold").join(sides, "objective")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
+from .. import plans
 from ..operators import quality as Q
 from ..operators.common import attach_scalars
 from ..operators.profile import profile_columns
@@ -216,6 +217,21 @@ def _(t):
     return Q.redundancy_matrix(rules, scores)
 
 
+@query("j11b_redundancy_matrix_scores_listed_twice", """
+    WITH s AS (SELECT 'S' || c_custkey AS variable, c_acctbal AS f_score, c_acctbal / 10000 AS p_value FROM customer)
+    SELECT 'S' || c_custkey AS "drop", 'S' || (c_custkey + 1000) AS keep, c_mktsegment AS kind,
+           d.f_score AS f_score_drop, k.f_score AS f_score_keep, d.p_value AS p_value_drop, k.p_value AS p_value_keep
+    FROM customer LEFT JOIN s d ON d.variable = 'S' || c_custkey LEFT JOIN s k ON k.variable = 'S' || (c_custkey + 1000)""")
+def _(t):
+    name = F.concat(F.lit("S"), col("c_custkey"))
+    rules = t.customer.select(name.alias("drop"), F.concat(F.lit("S"), col("c_custkey") + 1000).alias("keep"),
+                              col("c_mktsegment").alias("kind"))
+    scores = t.customer.select(name.alias("variable"), col("c_acctbal").alias("f_score"),
+                               (col("c_acctbal") / 10000).alias("p_value"))
+    lower = scores.withColumn("f_score", col("f_score") - 1)
+    return Q.redundancy_matrix(rules, lower.unionByName(scores))
+
+
 CONCEPTS = {"speed": ["ouch", "tion"], "home": ["casa", "haus"], "nothing": ["zzqqy", "qqzzx"]}
 
 
@@ -279,3 +295,27 @@ def _(t):
     return Q.variable_map(t.part.select(name.alias("variable")),
                           [(["P1", "P2"], "identifier", "tracing", False), (["P7"], "weight", "weighting", False)],
                           {"P7": "weight_final"}, features)
+
+
+ROLES = {"o_orderkey": "numeric", "o_custkey": "numeric", "o_orderstatus": "categorical", "half": "binary", "urgent": "target", "empty": "binary"}
+
+
+def _explored(t, report):
+    df = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", (col("o_orderkey") % 2).cast("int").alias("half"),
+                         (col("o_orderpriority") == "1-URGENT").cast("int").alias("urgent"), F.lit(None).cast("int").alias("empty"))
+    return plans.explore(df, "urgent", leak_patterns=["cust"], reports=[report])[report]
+
+
+@query("j17_explore_column_roles", " UNION ALL ".join(f"""
+    SELECT '{c}' AS variable, '{r}' AS role, COUNT(*) - COUNT({c}) AS null_count, COUNT(DISTINCT {c}) AS n_unique FROM (SELECT *,
+        o_orderkey % 2 AS half, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS urgent, CAST(NULL AS INTEGER) AS empty FROM orders)""" for c, r in ROLES.items()))
+def _(t):
+    return _explored(t, "columns").select("variable", "role", "null_count", "n_unique")
+
+
+@query("j17b_explore_recommendation", """SELECT * FROM (VALUES ('o_orderkey', 'include_conservative', 'usable in exploration and first models'),
+    ('o_custkey', 'exclude_conservative', 'name suggests leakage'), ('o_orderstatus', 'include_conservative', 'usable in exploration and first models'),
+    ('half', 'include_conservative', 'usable in exploration and first models'), ('urgent', 'target', 'target variable'),
+    ('empty', 'review', 'high share of missing values')) AS v(variable, decision, reason), (SELECT 1 FROM orders LIMIT 1) AS one(x)""".replace("SELECT *", "SELECT variable, decision, reason", 1))
+def _(t):
+    return _explored(t, "recommendation")

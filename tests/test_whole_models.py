@@ -40,3 +40,8 @@ def test_cross_validation_has_four_sets_and_five_folds(spark, data, monkeypatch)
 def test_six_models_are_exported(spark, data, monkeypatch):
     args, _ = asked(monkeypatch, "export_models", "m11b_export_models_whole", spark, data)
     assert len(args[4]) == 6 and len({alias for alias, _, _ in args[4]}) == 6
+
+
+def test_whole_cross_validation_has_two_hundred_fits(spark, data, monkeypatch):
+    args, named = asked(monkeypatch, "cross_validate", "m08c_cross_validate_whole_benchmark", spark, data)
+    assert len(args[1]) * named["k"] * len(args[4]) == 200

@@ -23,7 +23,7 @@ HEADLINE = [
     "g03_best_per_objective", "j02_rule_violations", "j07_classify_features", "j14_model_ready", "k02_anova_f",
     "k02b_anova_f_many_classes", "k08_mutual_info", "l01b_stratified_split_many_classes", "l02_stratified_folds_counts",
     "l06_standard_scale", "l08_smote_balance", "m01_logistic_scores", "m02_tree_scores", "m12_saved_model_scores_whole_table",
-    "p04_threshold_sweep", "p05b_roc_auc_continuous", "p06_average_precision", "p07_roc_curve",
+    "k06_ordinal_encode", "k08b_neighbour_information", "l05b_one_hot_level_per_customer", "m03_forest_scores", "f04_mean_rank", "p04_threshold_sweep", "p05b_roc_auc_continuous", "p06_average_precision", "p07_roc_curve",
 ]
 
 

@@ -1,17 +1,24 @@
-"""Exact k nearest neighbours with pivots and the triangle inequality.
+"""Exact k nearest neighbours with pivots and the triangle inequality, ring by ring.
 
-Rows are assigned to the nearest of a few pivots and cut into blocks of bounded
-size. The k-th distance inside the own block bounds the search: a row visits
-another cell only when the triangle inequality cannot rule it out. Tasks compare
-one block with one block and emit at most k candidates per row, so no task holds
-more than two blocks and the pairs themselves are never written.
+About √rows rows are pivots; every row belongs to the nearest of them and every cell is
+cut into blocks of bounded size. A row looks into cells in the order of their pivots'
+distances, a few at first and then more. Its k-th distance so far is its bound, and a
+cell that the triangle inequality puts beyond the bound is never looked into. As the
+bound gets tighter after each ring, most rows are done after the first ones.
+
+Rows on their way to a block travel in chunks of bounded size, and the block is copied to
+a chunk once; a task compares one chunk with one block and emits at most k candidates per
+row, so the pairs themselves are never written.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, ship_by_value
@@ -19,34 +26,51 @@ from ..session import cut_lineage, ship_by_value
 ship_by_value(__name__)
 
 BLOCK_ROWS = 2048
-MAX_PIVOTS = 256
+RING = 4           # cells a row looks into after its own, four times as many in each later ring
+_SCHEMA = "id bigint, neighbour_id bigint, distance double"
+
+
+def _squares(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Squared distances by a matrix product; see :func:`_slack` for its rounding error."""
+    return np.maximum((q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)[None, :] - 2.0 * (q @ x.T), 0.0)
+
+
+def _slack(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """What a squared distance of :func:`_squares` may be off by, per row of ``q``."""
+    return 1e-12 * q.shape[1] * ((q * q).sum(axis=1) + (x * x).sum(axis=1).max() + 1.0)
 
 
 def _nearest(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Top-k of one block against another, ties by id."""
+    """Top-k of one block against another, ties by id: a matrix product picks some more
+    candidates than asked for, exact differences order them."""
     x, ids = np.stack(data["v"].to_numpy()), data["id"].to_numpy()
     q, own = np.stack(queries["v"].to_numpy()), queries["id"].to_numpy()
-    xx, qq = (x * x).sum(axis=1), (q * q).sum(axis=1)
-    # squared distances by matrix product pick the candidates, with room for its
-    # rounding error; their order comes from exact differences
-    rough = qq[:, None] + xx[None, :] - 2.0 * (q @ x.T)
+    rough = _squares(q, x)
     rough[own[:, None] == ids[None, :]] = np.inf
-    last = min(k, len(x)) - 1
-    limit = np.partition(rough, last, axis=1)[:, last] + 1e-9 * (qq + xx.max() + 1.0)
+    some = min(k + 8, len(x))
+    picked = np.argpartition(rough, some - 1, axis=1)[:, :some]
+    reach = np.take_along_axis(rough, picked, axis=1)
+    limit = np.partition(reach, min(k, some) - 1, axis=1)[:, min(k, some) - 1] + 2 * _slack(q, x)
     who, near, dist = [], [], []
-    for i in range(len(q)):
-        maybe = np.flatnonzero((rough[i] <= limit[i]) & np.isfinite(rough[i]))
-        exact = np.sqrt(((x[maybe] - q[i]) ** 2).sum(axis=1))
-        take = np.lexsort((ids[maybe], exact))[:k]
-        who.append(np.repeat(own[i], len(take)))
-        near.append(ids[maybe][take])
-        dist.append(exact[take])
-    return pd.DataFrame({"id": np.concatenate(who), "neighbour_id": np.concatenate(near),
-                         "distance": np.concatenate(dist)})
 
-
-def _blocks_of(cell: Column, counts: list[int]) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in counts]), cell + 1)
+    def add(rows, maybe):
+        exact = np.sqrt(((x[maybe] - q[rows][:, None, :]) ** 2).sum(axis=2))
+        exact[own[rows][:, None] == ids[maybe]] = np.inf
+        order = np.lexsort((ids[maybe], exact), axis=1)[:, :k]
+        exact, best = np.take_along_axis(exact, order, axis=1), np.take_along_axis(ids[maybe], order, axis=1)
+        there = np.isfinite(exact)
+        who.append(np.repeat(own[rows], there.sum(axis=1)))
+        near.append(best[there])
+        dist.append(exact[there])
+
+    # rows with more ties at the limit than were picked are taken one by one
+    crowded = (rough <= limit[:, None]).sum(axis=1) > some
+    simple = np.flatnonzero(~crowded)
+    for at in range(0, len(simple), 1024):
+        add(simple[at:at + 1024], picked[simple[at:at + 1024]])
+    for i in np.flatnonzero(crowded):
+        add(np.array([i]), np.flatnonzero(rough[i] <= limit[i])[None, :])
+    return pd.DataFrame({"id": np.concatenate(who), "neighbour_id": np.concatenate(near), "distance": np.concatenate(dist)})
 
 
 def knn_join(df: DataFrame, row_id: str, vector: str, k: int, block_rows: int = BLOCK_ROWS,
@@ -80,58 +104,69 @@ def knn_join(df: DataFrame, row_id: str, vector: str, k: int, block_rows: int =
 
 def _knn_distinct(base: DataFrame, k: int, block_rows: int, pivots: int | None) -> DataFrame:
     """The search over distinct vectors."""
-    total = base.count()
-    wanted = pivots or max(1, min(MAX_PIVOTS, total // block_rows))
-    chosen = base.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()  # at most MAX_PIVOTS rows
-    points = np.unique(np.array([r["v"] for r in chosen], dtype=float), axis=0) if chosen else np.zeros((0, 1))
-    n_cells = len(points)
-    if n_cells == 0:
-        return base.select("id", F.col("id").alias("neighbour_id"), F.lit(0.0).alias("distance"),
-                           F.lit(1).alias("rank")).limit(0)
-
-    @F.pandas_udf("array<double>")
-    def to_pivots(v: pd.Series) -> pd.Series:
-        x = np.stack(v.to_numpy())
-        return pd.Series([np.sqrt(((points - row) ** 2).sum(axis=1)) for row in x])
-
-    cells = base.withColumn("d", to_pivots("v")).withColumn(
-        "cell", (F.array_position("d", F.array_min("d")) - 1).cast("int"))
-    stats = {r["cell"]: r for r in cells.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.element_at("d", F.col("cell") + 1)).alias("r")).collect()}
-    sizes = [-(-stats[c]["n"] // block_rows) if c in stats else 0 for c in range(n_cells)]
-    radius = [float(stats[c]["r"]) if c in stats else -1.0 for c in range(n_cells)]
-    rows = cells.withColumn("block", F.pmod(F.xxhash64("id"), F.greatest(_blocks_of(F.col("cell"), sizes), F.lit(1))).cast("int"))
-    schema = "id bigint, neighbour_id bigint, distance double"
-
-    def own_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(pdf, pdf, k)
-
-    local = rows.select("id", "v", "cell", "block").groupBy("cell", "block").applyInPandas(own_block, schema)
-    if sum(sizes) == 1:
-        candidates = local
-    else:
-        bound = local.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(
-            F.lit(float("inf"))).alias("theta"))
-        known = rows.join(bound, "id", "left").withColumn("theta", F.coalesce("theta", F.lit(float("inf"))))
-        slack = 1e-9
-        reach = F.filter(F.sequence(F.lit(0), F.lit(n_cells - 1)), lambda j: (
-            (F.element_at("d", j + 1) - F.element_at(F.array(*[F.lit(r) for r in radius]), j + 1)
-             <= F.col("theta") + slack) & (F.element_at(F.array(*[F.lit(s) for s in sizes]), j + 1) > 0)))
-        visits = (known.select("id", "v", "cell", "block", F.explode(reach).alias("to_cell"))
-                  .select("*", F.explode(F.sequence(F.lit(0), _blocks_of(F.col("to_cell"), sizes) - 1)).alias("to_block"))
-                  .filter((F.col("cell") != F.col("to_cell")) | (F.col("block") != F.col("to_block"))))
-        key = ["cell", "block", "to_cell", "to_block"]
-        routes = visits.select(*[F.col(c).alias(f"r_{c}") for c in key]).distinct()
-        data = rows.select(F.col("id").alias("x_id"), F.col("v").alias("x_v"), F.col("cell").alias("r_to_cell"),
-                           F.col("block").alias("r_to_block")).join(routes, ["r_to_cell", "r_to_block"])
-
-        def two_blocks(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-            if q.empty or x.empty:
-                return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour_id": pd.Series(dtype="int64"),
-                                     "distance": pd.Series(dtype="float64")})
-            return _nearest(q, x.rename(columns={"x_id": "id", "x_v": "v"}), k)
-
-        far = visits.groupBy(*key).cogroup(data.groupBy(*[f"r_{c}" for c in key])).applyInPandas(two_blocks, schema)
-        candidates = local.unionByName(far)
+    context, total = base.sparkSession.sparkContext, base.count()
+    if total == 0:
+        return base.select("id", F.col("id").alias("neighbour_id"), F.lit(0.0).alias("distance"), F.lit(1).alias("rank")).limit(0)
+    # a few MB of pivots for a billion rows
+    chosen = base.orderBy(F.xxhash64("id"), "id").limit(pivots or max(1, min(math.isqrt(total), -(-4 * total // block_rows)))).collect()
+    points = np.array([r["v"] for r in chosen], dtype=float)
+    shared = context.broadcast(points)
+
+    @F.pandas_udf("cell int, far double")
+    def home(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for v in batches:
+            q = np.stack(v.to_numpy())
+            d = _squares(q, shared.value)
+            cell = d.argmin(axis=1)
+            yield pd.DataFrame({"cell": cell.astype(np.int32), "far": np.sqrt(d[np.arange(len(q)), cell] + _slack(q, shared.value))})
+
+    dealt = base.withColumn("_h", home("v"))
+    stats = {r["cell"]: r for r in dealt.groupBy("_h.cell").agg(F.count(F.lit(1)).alias("n"), F.max("_h.far").alias("far")).collect()}
+    radius = context.broadcast(np.array([stats[c]["far"] if c in stats else -1.0 for c in range(len(points))]))
+    sizes = {c: -(-r["n"] // block_rows) for c, r in stats.items()}
+    blocks = base.sparkSession.createDataFrame(sorted(sizes.items()), "cell int, blocks bigint")
+    rows = cut_lineage(dealt.select("id", "v", F.col("_h.cell").alias("cell")).join(F.broadcast(blocks), "cell").select(
+        "id", "v", "cell", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block")))
+
+    @F.pandas_udf("cells array<int>, seen int, more boolean")
+    def ring(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for v, theta, seen, wide in batches:
+            q, bound, first, take = np.stack(v.to_numpy()), theta.to_numpy(float), seen.to_numpy(), wide.to_numpy()
+            d, far = np.sqrt(_squares(q, shared.value)), radius.value
+            slack = np.sqrt(2 * _slack(q, shared.value)) + 1e-9
+            open_ = (far[None, :] >= 0) & (d - far[None, :] <= (bound + slack)[:, None])
+            order = np.argsort(d, axis=1, kind="stable")
+            reached = np.take_along_axis(open_, order, axis=1)
+            cells, more = [], []
+            for i, (at, n) in enumerate(zip(first, take)):
+                cells.append(order[i, at:at + n][reached[i, at:at + n]].astype(np.int32))
+                more.append(bool(reached[i, at + n:].any()))
+            yield pd.DataFrame({"cells": cells, "seen": (first + take).astype(np.int32), "more": more})
+
+    def compare(key, q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or x.empty:
+            return pd.DataFrame({"id": pd.Series(dtype="int64"), "neighbour_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
+        return _nearest(q, x, k)
+
     order = Window.partitionBy("id").orderBy("distance", "neighbour_id")
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    state = rows.select("id", "v", F.lit(float("inf")).alias("theta"), F.lit(0).alias("seen"))
+    best, wide = None, 1
+    while True:
+        state = cut_lineage(state.withColumn("_r", ring("v", "theta", "seen", F.lit(wide))))
+        visits = state.select("id", "v", F.explode("_r.cells").alias("cell")).join(F.broadcast(blocks), "cell").select(
+            "id", "v", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("block"))
+        chunks = visits.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("chunks"))
+        spread = visits.join(chunks, ["cell", "block"]).select("id", "v", "cell", "block", F.pmod(F.xxhash64("id"), "chunks").cast("int").alias("chunk"))
+        data = rows.join(chunks, ["cell", "block"]).select(
+            "id", "v", "cell", "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        data = data.select(*[F.col(c).alias(c) for c in data.columns])
+        spot = ["cell", "block", "chunk"]
+        found = spread.groupBy(*spot).cogroup(data.groupBy(*spot)).applyInPandas(compare, _SCHEMA)
+        found = found if best is None else best.drop("rank").unionByName(found)
+        best = cut_lineage(found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k))
+        left = state.filter("_r.more").select("id", "v", F.col("_r.seen").alias("seen"))
+        if left.isEmpty():
+            return best.select("id", "neighbour_id", "distance", "rank")
+        bound = best.groupBy("id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("theta"))
+        state = left.join(bound, "id", "left").withColumn("theta", F.coalesce("theta", F.lit(float("inf"))))
+        wide = RING if wide == 1 else 4 * wide

@@ -35,10 +35,12 @@ def ensure_unique(df: DataFrame, key: Sequence[str], name: str = "table") -> Dat
     """The table with a check inside its plan: running it fails when a key
     repeats. The check needs the partitioning a join on the key needs anyway, so
     the table is not computed twice."""
-    size = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    size, own = F.count(F.lit(1)).over(Window.partitionBy(*key)), "_size"
+    while own in df.columns:   # a column of the caller stays as it is
+        own = f"_{own}"
     message = F.lit(f"{name} is not unique by {', '.join(key)}")
-    fine = F.when(F.col("_size") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return df.withColumn("_size", size).filter(fine).drop("_size")
+    fine = F.when(F.col(own) == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return df.withColumn(own, size).filter(fine).drop(own)
 
 
 def key_audit(df: DataFrame, candidates: Sequence[Sequence[str]], table: str = "") -> DataFrame:

@@ -46,7 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="surveyloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(configured)

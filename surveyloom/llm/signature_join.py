@@ -43,7 +43,7 @@ ship_by_value(__name__)
 SHINGLE, PERCENT = 4, 85
 CELLS_A_ROW, MOST_CELLS = 8, 1 << 24      # at most 64 MB in a task and 16 MB broadcast
 BLOCK, FAN = 1024, 16
-BROADCAST_IDS = 500_000
+BROADCAST_ROWS = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -321,9 +321,9 @@ def _groups(tokens: DataFrame, percent: int) -> DataFrame:
     inside = Window.partitionBy("token")
     shared = members.withColumns({"c": F.count("*").over(inside), "x": F.bit_xor(F.xxhash64("key")).over(inside),
                                   "y": F.bit_xor(F.xxhash64(F.lit(1), "key")).over(inside)}).where("c > 1")
-    shared = materialise(shared.select(F.col("token").alias("g"), "key", "n", "c", "band", "x", "y"))
-    kept = shared.groupBy("c", "x", "y").agg(F.min("g").alias("g")).select("g")
-    found = materialise(shared.join(kept, "g", "left_semi").select("g", "key", "n", "c", "band"))
+    # a group is named by its members, so those of several tokens fall together
+    shared = shared.select(F.xxhash64("c", "x", "y").alias("g"), "key", "n", "c", "band")
+    found = materialise(shared.dropDuplicates(["g", "key"]))
     near = found.groupBy("g", "band").agg(F.count("*").alias("m")).select("g", F.explode(F.array(
         F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "m")
     near = near.groupBy("g", "band").agg(F.sum("m").alias("m")).where("m > 1").select("g", "band")
@@ -381,6 +381,11 @@ def _blocks(groups: DataFrame, block: int) -> DataFrame:
     return small.select(out).unionByName(large.select(out))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A written table of keys, marked for broadcast if its counted rows are few MB."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """(node, root) of the entries that are similar to another, directly or in steps.
 
@@ -390,21 +395,23 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(found)
     groups = materialise(_groups(spread(docs, order, percent=percent), percent))
-    keys = groups.select("key").distinct()
+    keys = materialise(groups.select("key").distinct())
     ids = materialise(classes.join(keys, "key", "left_semi").select(F.col("least").alias("_id")).distinct())
-    if ids.count() <= BROADCAST_IDS:   # a few MB at most; more ids meet the texts by a shuffle
-        ids = F.broadcast(ids)
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(keys, "key", "left_semi")
-    sets = materialise(sets.dropDuplicates(["key"]))
+    texts = docs.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
+    sets = materialise(texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(_small(keys), "key", "left_semi"))
+    if sets.count() > keys.count():   # rows that repeat an id
+        sets = materialise(sets.dropDuplicates(["key"]))
     placed = materialise(_blocks(groups, block))
     pair = "a binary, b binary"
     checked: list[DataFrame] = []
 
     def check(pairs: DataFrame) -> DataFrame:
         """The roots after the distinct ``pairs`` were compared on their whole sets."""
-        both = pairs.join(sets.select(F.col("key").alias("a"), F.col("found").alias("x")), "a").join(
-            sets.select(F.col("key").alias("b"), F.col("found").alias("y")), "b").select("a", "b", "x", "y")
+        pairs = materialise(pairs)
+        # each side picks its sets first, so that only sets of a pair travel
+        left = sets.select(F.col("key").alias("a"), F.col("found").alias("x")).join(_small(pairs), "a")
+        right = sets.select(F.col("key").alias("b"), F.col("found").alias("y")).join(_small(pairs.select(*[F.col(c).alias(c) for c in "ab"])), "b")
+        both = left.join(right, ["a", "b"]).select("a", "b", "x", "y")
         checked.append(materialise(both.mapInArrow(_similar(percent), f"{pair}, good boolean")))
         good = checked[0]
         for more in checked[1:]:

@@ -42,7 +42,7 @@ ship_by_value(__name__)
 
 SHINGLE, PERCENT = 4, 85
 CELLS_A_ROW, MOST_CELLS = 8, 1 << 24      # at most 64 MB in a task and 16 MB broadcast
-BLOCK, FAN = 1024, 16
+BLOCK, FAN = 8192, 16
 BROADCAST_ROWS = 200_000
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 

@@ -278,8 +278,9 @@ def neighbour_information(df: DataFrame, continuous: Sequence[str], target: str,
     either side, so a slot only needs the k values next to it from the neighbouring slots;
     and the rows closer than a distance are the difference of two places in the order of
     all values, found by sorting the two ends of each row's interval among the values.
-    Missing values take the median; a class of one row is left out. Rows with k copies in
-    their class are at distance 0 and count the copies of any class."""
+    Missing values take the median; a class of one row is left out. A row with k copies in
+    its class is at distance 0: all its copies there are its neighbours, and the copies in
+    any class are counted, so that ties need no noise."""
     base = df.filter(F.col(target).isNotNull())
     long = long_numeric(median_fill(base, continuous), continuous, [target]).select(
         "variable", F.col(target).alias("class"), F.col("value").cast("double").alias("x"))
@@ -300,7 +301,10 @@ def neighbour_information(df: DataFrame, continuous: Sequence[str], target: str,
                                         F.flatten(F.collect_list("_head").over(slots.rowsBetween(1, k)))).alias("_halo"))
     gaps = F.array_sort(F.transform(F.filter(F.concat("_near", "_halo"), lambda v: v.isNotNull()), lambda v: F.abs(v - F.col("x"))))
     kth = F.least(F.lit(k), F.col("size") - 1).cast("int")
-    reached = cut_lineage(placed.join(halo, "_key").select("variable", "x", "size", "_id", kth.alias("k"), F.element_at(gaps, kth).alias("r")))
+    copies = rows.groupBy(*group, "x").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    found = placed.join(halo, "_key").select(*group, "x", "size", "_id", kth.alias("k"), F.element_at(gaps, kth).alias("r"))
+    own = F.when(F.col("r") == 0, F.col("copies")).otherwise(F.col("k"))
+    reached = cut_lineage(join_keys(found, copies, [*group, "x"], "left").select("variable", "x", "size", "_id", own.alias("k"), "r"))
     # 1: a value, 0 and 2: the ends of an interval just before or after the values that are equal to it
     point = F.col("r") == 0
     events = F.array(F.struct(F.col("x").alias("t"), F.lit(1).alias("o"), F.lit(0).alias("sign")),

@@ -143,7 +143,9 @@ def _(t):
 
 
 # brute force over all pairs of labelled documents; digamma of whole numbers as harmonic sums
-NEAREST = f"""(SELECT a.doc_id, any_value(a.n_chars) AS x, any_value(a.toxic) AS y, COUNT(*) AS others, least(3, COUNT(*)) AS k,
+NEAREST = f"""(SELECT a.doc_id, any_value(a.n_chars) AS x, any_value(a.toxic) AS y, COUNT(*) AS others,
+    CASE WHEN list_sort(list(abs(a.n_chars - b.n_chars)))[least(3, COUNT(*))] = 0 THEN COUNT(*) FILTER (a.n_chars = b.n_chars) + 1
+         ELSE least(3, COUNT(*)) END AS k,
     list_sort(list(abs(a.n_chars - b.n_chars)))[least(3, COUNT(*))] AS r
     FROM {DOCS} a JOIN {DOCS} b ON a.toxic = b.toxic AND a.doc_id <> b.doc_id GROUP BY a.doc_id)"""
 PSI = "(coalesce(list_sum(list_transform(range(1, ({n})::BIGINT), lambda j: 1.0 / j)), 0) - 0.57721566490153286)"

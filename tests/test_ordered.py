@@ -169,6 +169,7 @@ def brute_information(rows, k):
         own = min(k, sizes[y] - 1)
         r = sorted(abs(x - u) for j, (u, v) in enumerate(rows) if v == y and j != i)[own - 1]
         m = sum(abs(x - u) < r or (r == 0 and u == x) for u, _ in rows)
+        own = own if r else sum(u == x and v == y for u, v in rows)
         total += harmonic(own) - harmonic(sizes[y]) - harmonic(m)
     return max(0.0, harmonic(len(rows)) + total / len(rows))
 

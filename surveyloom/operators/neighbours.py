@@ -108,7 +108,8 @@ def _knn_distinct(base: DataFrame, k: int, block_rows: int, pivots: int | None)
     if total == 0:
         return base.select("id", F.col("id").alias("neighbour_id"), F.lit(0.0).alias("distance"), F.lit(1).alias("rank")).limit(0)
     # a few MB of pivots for a billion rows
-    chosen = base.orderBy(F.xxhash64("id"), "id").limit(pivots or max(1, min(math.isqrt(total), -(-4 * total // block_rows)))).collect()
+    wanted = pivots or (1 if total <= block_rows else min(math.isqrt(total), -(-4 * total // block_rows)))
+    chosen = base.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()
     points = np.array([r["v"] for r in chosen], dtype=float)
     shared = context.broadcast(points)
 

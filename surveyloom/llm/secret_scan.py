@@ -3,7 +3,9 @@
 All of it is column expressions. Places of matches come from the lengths of what
 a pattern matches and of what lies between; random-looking strings are found by
 Shannon entropy in a sliding window, with counts updated character by character
-and a threshold per character class. A null text has no spans.
+and a threshold per character class. Allowed stretches and base spans are cut out
+of a candidate, and what is left on either side is judged by itself. A null text
+has no spans.
 """
 
 from __future__ import annotations
@@ -27,20 +29,20 @@ WINDOW = 20
 #: Character class of a candidate, the pattern it must match, and the entropy in
 #: bits that some window of it must reach. The first class that matches counts.
 CLASSES = (
-    ("digits", "^[0-9+/_=-]+$", None),
+    ("digits", "^[0-9+/_=-]+$", 2.9),
     ("hex", "^[0-9A-Fa-f]+$", 3.0),
     ("mixed", "(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])", 3.6),
     ("letters and digits", "(?=.*[0-9])(?=.*[A-Za-z])", 3.75),
-    ("letters", "^", None),
+    ("letters", "^", 3.9),
 )
-#: Strings that look random and are no secrets: UUIDs, alphabets, addresses, samples.
+#: Pieces that look random as a whole and are no secrets: UUIDs, joined words, digests.
 ALLOWED = (
     "^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    "(?i)abcdefghijkl",
-    "(?i)(example|sample|placeholder|license)",
-    "^[A-Za-z]+([-_/=+][A-Za-z]+)+([-_/][0-9]{1,4})?$",
+    "^/?[A-Za-z]+([-_/=+][A-Za-z]+)+([-_/][0-9]{1,4})?/?$",
     "^(sha1|sha256|sha384|sha512|md5)-",
 )
+#: Stretches that are no secret wherever they stand: alphabets, digits in order, words of samples.
+STRETCHES = ("abcdefghijkl(mnopqrstuvwxyz)?", "0123456789", "example", "sample", "placeholder", "license")
 _BLOCK = 512
 
 
@@ -48,7 +50,7 @@ def _pairs(gaps: str, found: str) -> Column:
     return F.transform(found, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), m.alias("m")))
 
 
-def _placed(pairs: str) -> Column:
+def _placed(pairs: str | Column) -> Column:
     """Running positions of (gap, m) pairs."""
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
 
@@ -111,13 +113,34 @@ def _random_looking(value: Column, classes, allowed, width: int) -> Column:
     free = F.lit(False)
     for pattern in allowed:
         free = free | value.rlike(pattern)
-    return F.when(free | least.isNull(), F.lit(False)).otherwise(window_entropy(value, width) >= least)
+    return F.when(free | least.isNull() | (F.length(value) < width), F.lit(False)).otherwise(window_entropy(value, width) >= least)
 
 
-def scan(docs: DataFrame, text: str = "text", classes=CLASSES, allowed=ALLOWED, width: int = WINDOW) -> DataFrame:
+def _blank_base(candidate: Column) -> Column:
+    """The candidate's value with a space for every character of a base span."""
+    def blank(value, b):
+        low = F.greatest(b["start"] - candidate["start"], F.lit(0))
+        high = F.least(b["end"], candidate["end"]) - candidate["start"]
+        return F.concat(F.substring(value, F.lit(1), low), F.repeat(F.lit(" "), high - low),
+                        F.substring(value, high + 1, F.length(value)))
+
+    touching = F.filter("base", lambda b: (b["start"] < candidate["end"]) & (candidate["start"] < b["end"]))
+    return F.aggregate(touching, candidate["value"], blank)
+
+
+def _pieces(blanked: Column, stretches) -> Column:
+    """(start, end, value) of what lies between allowed stretches and blanks."""
+    cut = F.lit("(?i:" + "|".join([*stretches, r"\x20+"]) + ")")
+    kept, gone = F.split(blanked, cut, -1), F.regexp_extract_all(blanked, cut, F.lit(0))
+    return _placed(F.transform(kept, lambda m, i: F.struct(
+        F.coalesce(F.length(F.get(gone, i - 1)), F.lit(0)).alias("gap"), m.alias("m"))))
+
+
+def scan(docs: DataFrame, text: str = "text", classes=CLASSES, allowed=ALLOWED, stretches=STRETCHES,
+         width: int = WINDOW) -> DataFrame:
     """All columns of ``docs`` under ``doc`` and ``base`` and ``spans``: arrays of
     (start, rank, end, kind, value), ordered by start and then kind. ``spans`` holds
-    the base spans and the random-looking strings that touch none of them."""
+    the base spans and the random-looking strings beside them."""
     df = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text_or_empty(text).alias("_t"))
     # Runs of hex digits and access keys are whole runs, so the length can stand in the pattern.
     for pattern, out in ((ASSIGN, "_assign"), ("AKIA[A-Z0-9]{14,}", "_access"), ("[0-9a-f]{16,}", "_hex"), (CANDIDATE, "_cand")):
@@ -127,9 +150,12 @@ def scan(docs: DataFrame, text: str = "text", classes=CLASSES, allowed=ALLOWED,
         F.lit(KINDS[rank]).alias("kind"), s["value"].alias("value")))
     keyed = F.filter("_assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 12)
     df = df.withColumn("base", F.sort_array(F.concat(named(keyed, 0), named("_access", 1), named("_hex", 2))))
-    loose = F.filter("_cand", lambda s: F.when(
-        F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])), F.lit(False))
-        .otherwise(_random_looking(s["value"], classes, allowed, width)))
+    # The steps are columns of their own, so that a lambda does not repeat what it reads.
+    df = df.withColumn("_blank", F.transform("_cand", lambda c: F.struct(c["start"].alias("start"), _blank_base(c).alias("value"))))
+    df = df.withColumn("_piece", F.flatten(F.transform("_blank", lambda c: F.transform(
+        _pieces(c["value"], stretches), lambda p: F.struct((c["start"] + p["start"]).alias("start"), (c["start"] + p["end"]).alias("end"),
+                                                           p["value"].alias("value"))))))
+    loose = F.filter("_piece", lambda s: _random_looking(s["value"], classes, allowed, width))
     df = df.withColumn("_loose", F.when(F.size("_cand") > 0, named(loose, 3)).otherwise(named("_cand", 3)))
     return df.select("doc", "base", F.sort_array(F.concat("base", "_loose")).alias("spans"))
 

@@ -348,6 +348,43 @@ def test_secret_scan(spark, tables, docs):
     assert found[14]["spans"] == "entropy:4:28,entropy:77:109" or found[14]["spans"] == "entropy:4:28"
 
 
+def judged(value):
+    """Is a piece a secret: the class it falls in and the entropy of its windows."""
+    if len(value) < 20 or any(re.search(p, value) for p in secret_scan.ALLOWED):
+        return False
+    bits = max(-sum(c / 20 * np.log2(c / 20) for c in Counter(value[k:k + 20]).values()) for k in range(len(value) - 19))
+    return bits >= next(least for _, p, least in secret_scan.CLASSES if re.search(p, value)) - 1e-12
+
+
+def test_secret_scan_pieces(spark):
+    """Added spans against a brute-force cut: base spans and allowed stretches go, the rest is judged."""
+    rng = random.Random(5)
+    draw = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    sure = "qZ7xK2mVw9RtY4bNs8LdF3hG"                            # distinct characters: most bits a window can have
+    texts = ["internationalizationdepartment and /usr/local/share/documentation/", "2024-01-01/2024-12-31 --------------------------",
+             upper + lower + digits + "+/", "the " + sure + "example" + sure[::-1], "0123456789abcdef0123" + sure, sure + "/" + "deadbeef" * 3 + "/" + sure,
+             "qwertyUIOPasdfghJKLZxcvB", "8314095-2671748+203956", "", None, "x" * 19, "ü" + sure + "ü", "token=" + sure + "+ " + sure]
+    texts += [" ".join(rng.choice((draw(upper + lower, 30), draw(digits, 25), draw(upper + lower + digits, 24), draw("0123456789abcdef", 18) + draw(upper, 22),
+                                   draw(lower, 25) + "Sample" + draw(upper + digits, 25), "words-joined-by-hyphens", draw("ab", 40)))
+                       for _ in range(6)) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    cut = re.compile("(?i:" + "|".join(secret_scan.STRETCHES) + r")|\x20+")
+    seen = {}
+    for r in secret_scan.scan(df).collect():
+        t = r["doc"]["text"] or ""
+        wanted = set()
+        for c in re.finditer(secret_scan.CANDIDATE, t):
+            value = "".join(" " if any(b["start"] <= k < b["end"] for b in r["base"]) else t[k] for k in range(*c.span()))
+            edges = [0, *[e for m in cut.finditer(value) for e in m.span()], len(value)]
+            wanted |= {(c.start() + a, c.start() + b) for a, b in zip(edges[::2], edges[1::2]) if judged(value[a:b])}
+        seen[r["doc"]["i"]] = got = {(x["start"], x["end"]) for x in r["spans"] if x["kind"] == "entropy"}
+        assert got == wanted, t
+        assert [x for x in r["spans"] if x["kind"] != "entropy"] == r["base"]
+    assert [len(seen[i]) for i in range(13)] == [0, 0, 0, 2, 1, 2, 1, 1, 0, 0, 0, 1, 1]
+    assert seen[6] == {(0, 24)} and seen[7] == {(0, 22)}
+
+
 def test_window_entropy(spark):
     rng = random.Random(2)
     values = ["".join(rng.choice(secret_scan.ALPHABET[:n]) for _ in range(rng.randrange(20, 70))) for n in (2, 10, 60) for _ in range(20)]
@@ -410,3 +447,21 @@ def test_chat_tree(spark):
         assert [(t["role"], t["text"]) for t in r["turns"]] == [(a, b) for _, a, b in mine]
         assert "".join(r["loss"]) == "".join(b for _, a, b in mine if a == "assistant")
     assert chat_tree.build(df.limit(0))[0].count() == 0
+
+
+def test_chat_tree_long_conversation(spark):
+    """10,000 turns, and a second conversation that leaves the first halfway."""
+    turns = [(1, k, "assistant" if k % 2 else "user", f"t{k}") for k in range(10_000)]
+    turns += [(2, k, role, text if k < 5_000 else text + "!") for _, k, role, text in turns[:5_010]]
+    nodes, convs = chat_tree.build(spark.createDataFrame(turns, "conv_id int, turn int, role string, text string"))
+    node = {r["key"]: r for r in nodes.collect()}
+    assert len(node) == 10_010
+    for path in (r["path"] for r in convs.collect()):
+        at = 0
+        for k in path:
+            assert node[k]["position"] == at == sum(x["end"] - x["start"] for x in node[k]["attention"])
+            assert len(node[k]["attention"]) <= 2
+            at += node[k]["length"]
+    back = {r["conv_id"]: r for r in chat_tree.read_back(nodes, convs).collect()}
+    assert [tuple(t) for t in back[1]["turns"]] == [t[2:] for t in turns[:10_000]]
+    assert [tuple(t) for t in back[2]["turns"]] == [t[2:] for t in turns[10_000:]]

@@ -85,20 +85,23 @@ def build(turns: DataFrame, **columns) -> tuple[DataFrame, DataFrame]:
     along = steps.select("at", "key").join(owners, "at", "left_semi").join(spots, "key")
     along = along.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("depth", "start", "length", "owner", "key"))).alias("path"))
 
-    def join_up(state, s):
-        last = F.element_at(state, -1)
-        end = s["start"] + s["length"]
+    def walk(state, s):
+        spans, end = state["spans"], s["start"] + s["length"]
+        last = F.get(spans, F.size(spans) - 1)
         fresh = F.struct(s["start"].alias("start"), end.alias("end"))
-        touches = (F.size(state) > 0) & (F.get(state, F.size(state) - 1)["end"] == s["start"])
         grown = F.struct(last["start"].alias("start"), end.alias("end"))
-        return F.when(touches, F.array_append(F.slice(state, 1, F.size(state) - 1), grown)).otherwise(F.array_append(state, fresh))
-
-    owned = along.select("at", "path", F.explode(F.filter("path", lambda p: p["owner"] == F.col("at"))).alias("n"))
-    above = F.slice("path", 1, F.col("n.depth"))
-    seen = owned.select(F.col("n.key").alias("key"),
-                        F.aggregate(above, F.lit(0).cast("bigint"), lambda a, s: a + s["length"]).alias("position"),
-                        F.when(F.col("n.depth") > 0, F.aggregate(above, F.array().cast("array<struct<start:bigint,end:bigint>>"), join_up))
-                        .otherwise(F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("attention"))
+        seen = F.struct(s["key"].alias("key"), state["position"].alias("position"), spans.alias("attention"))
+        return F.struct(
+            (state["position"] + s["length"]).alias("position"),
+            F.when((F.size(spans) > 0) & (last["end"] == s["start"]), F.array_append(F.slice(spans, 1, F.size(spans) - 1), grown))
+            .otherwise(F.array_append(spans, fresh)).alias("spans"),
+            F.when(s["owner"] == F.col("at"), F.array_append(state["seen"], seen)).otherwise(state["seen"]).alias("seen"))
+
+    # one pass over a path gives all its nodes their position and ancestors; the path is not copied
+    nothing = F.struct(
+        F.lit(0).cast("bigint").alias("position"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"),
+        F.array().cast("array<struct<key:string,position:bigint,attention:array<struct<start:bigint,end:bigint>>>>").alias("seen"))
+    seen = along.select(F.inline(F.aggregate("path", nothing, walk)["seen"]))
     return placed.drop("owner").join(seen, "key"), convs.select("conv_id", F.col("keys").alias("path"))
 
 

@@ -2,7 +2,8 @@
 
 All fitting is Spark ML. Where an estimator differs from the usual single-node
 one the difference is stated: gradient boosting is ``GBTClassifier`` and the
-support-vector classifier has a linear kernel.
+support-vector classifier is linear, on the features themselves (``svc``) or on random
+Fourier features of a Gaussian kernel (``kernel_svc``).
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .common import attach_scalars, join_keys, numeric_columns
+from .kernel import KERNEL_FEATURES, KernelFeatures, scale_gamma
 from .metrics import (
     classification_report,
     confusion,
@@ -166,7 +168,16 @@ def training_rows(prepared: DataFrame, strategy: str, target: str, row_id: str)
 
 
 def fit_model(rows: DataFrame, cfg: ModelConfig) -> Model:
-    """The estimator of a configuration on prepared :func:`training_rows`."""
+    """The estimator of a configuration on prepared :func:`training_rows`. ``kernel_svc``
+    is a chain of the kernel features (parameters ``dims``, and ``gamma``, which follows
+    from the rows by default) and the linear classifier on them."""
+    if cfg.name == "kernel_svc":
+        params = dict(cfg.params)
+        gamma, dims = params.pop("gamma", None), params.pop("dims", KERNEL_FEATURES)
+        kernel = KernelFeatures(gamma=float(gamma or scale_gamma(rows)), dims=dims, seed=SEED)
+        inner = kernel.transform(rows).select(F.col(kernel.getOutputCol()).alias("features"), "label", "weight")
+        fitted = fit_model(inner, ModelConfig("svc", cfg.strategy, params))
+        return PipelineModel([kernel, fitted._set(featuresCol=kernel.getOutputCol())])
     total = rows.agg(F.sum("weight")).first()[0] if cfg.name in ("logistic", "svc") else None
     return model(cfg.name, weight="weight", total_weight=total, **dict(cfg.params)).fit(rows)
 
@@ -182,7 +193,12 @@ def make_pipeline(train: DataFrame, features: Sequence[str], target: str, row_id
         fitted = fit_model(rows, cfg)
     finally:
         rows.unpersist()
-    return PipelineModel([*prep.stages, fitted])
+    return PipelineModel([*prep.stages, *chain_of(fitted)])
+
+
+def chain_of(fitted: Model) -> list:
+    """The stages of a fitted configuration; the last one is the classifier."""
+    return list(fitted.stages) if isinstance(fitted, PipelineModel) else [fitted]
 
 
 def predict_scores(fitted: PipelineModel, df: DataFrame, keep: Sequence[str], out: str = "score") -> DataFrame:
@@ -206,7 +222,11 @@ def raw_scores(fits: Sequence[tuple[Mapping[str, object], Model]], prepared: Dat
     estimators stand side by side in one projection, so the rows are read once for all."""
     df, entries = prepared.select(*keep, "features"), []
     for i, (tags, fitted) in enumerate(fits):
-        one, out = fitted.copy(), f"_s{i}"
+        *before, last = chain_of(fitted)
+        one, out = last.copy(), f"_s{i}"
+        for j, stage in enumerate(before):
+            df = stage.copy().setOutputCol(f"_f{i}_{j}").transform(df)
+            one._set(featuresCol=f"_f{i}_{j}")
         kind = "probabilityCol" if one.hasParam("probabilityCol") else "rawPredictionCol"
         one._set(**{c: out if c == kind else "" for c in ("predictionCol", "rawPredictionCol", "probabilityCol") if one.hasParam(c)})
         df = one.transform(df)
@@ -278,7 +298,7 @@ def _fitted_side_by_side(train: DataFrame, features: Sequence[str], target: str,
         try:
             jobs = list(_longest_rounds(same_scale).items())
             # the long fits first, so that none is left over at the end
-            jobs.sort(key=lambda job: -("svc", "logistic", "tree", "forest", "gbt").index(job[0].name))
+            jobs.sort(key=lambda job: -("svc", "logistic", "kernel_svc", "tree", "forest", "gbt").index(job[0].name))
             with ThreadPool(parallelism) as pool:
                 fitted = pool.map(lambda job: fit_model(rows[job[0].strategy], job[0]), jobs, chunksize=1)
         finally:
@@ -400,6 +420,8 @@ def grouped_importance(fitted: PipelineModel, df: DataFrame) -> DataFrame:
     """Absolute coefficients or importances, summed from feature slots to source
     columns and scaled to maximum 1."""
     last = fitted.stages[-1]
+    if last.getFeaturesCol() != "features":
+        raise ValueError("features of a kernel have no source column")
     weights = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
     prepared = PipelineModel(fitted.stages[:-1]).transform(df.limit(1))
     attrs = prepared.schema["features"].metadata["ml_attr"]["attrs"]

@@ -248,14 +248,21 @@ def _(t):
     return P.rare_categories(t.documents.select(F.concat_ws("-", "lang", "source").alias("pair")), ["pair"])
 
 
-@query("e15b_distribution_report", """
+def _rare_sql(column, value):
+    return f"""SELECT '{column}', 'categorical', 0.0::DOUBLE, NULL, NULL, NULL, NULL, (SELECT CAST(to_json(list(v ORDER BY n DESC, v)) AS VARCHAR)
+        FROM (SELECT {value} AS v, COUNT(*) AS n FROM documents GROUP BY 1 HAVING COUNT(*) < 10 ORDER BY n DESC, v LIMIT 10)), NULL
+        FROM documents HAVING COUNT(*) > 0"""
+
+
+@query("e15b_distribution_report", f"""
+    SELECT variable, kind, null_pct, min, p25, p50, p75, max, rare_categories FROM (
     SELECT 'n_chars' AS variable, 'numeric' AS kind, 0.0::DOUBLE AS null_pct, CAST(min(n_chars) AS DOUBLE) AS min,
            round(quantile_cont(CAST(n_chars AS DOUBLE), 0.25), 4) AS p25, round(quantile_cont(CAST(n_chars AS DOUBLE), 0.5), 4) AS p50,
-           round(quantile_cont(CAST(n_chars AS DOUBLE), 0.75), 4) AS p75, CAST(max(n_chars) AS DOUBLE) AS max FROM documents
-    UNION ALL SELECT 'lang', 'categorical', 0.0::DOUBLE, NULL, NULL, NULL, NULL, NULL FROM documents HAVING COUNT(*) > 0""")
+           round(quantile_cont(CAST(n_chars AS DOUBLE), 0.75), 4) AS p75, NULL AS rare_categories, CAST(max(n_chars) AS DOUBLE) AS max FROM documents
+    UNION ALL {_rare_sql("lang", "lang")} UNION ALL {_rare_sql("shelf", "source || '-' || (n_chars % 997)")})""")
 def _(t):
-    out = P.distribution_report(t.documents, ["n_chars"], ["lang"]).drop("rare_categories")
-    return rounded(out, "p25", "p50", "p75", digits=4)
+    docs = t.documents.withColumn("shelf", F.concat("source", F.lit("-"), (F.col("n_chars") % 997).cast("string")))
+    return rounded(P.distribution_report(docs, ["n_chars"], ["lang", "shelf"]), "p25", "p50", "p75", digits=4)
 
 
 def _iqr_sql(table, cols):

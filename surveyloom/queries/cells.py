@@ -357,17 +357,19 @@ def _(t):
     return filter_prefix(df, "code", "0001", "orders")[1]
 
 
-@query("c02_filter_all", """
-    SELECT 'orders' AS table_name, true AS has_code, COUNT(*) AS before_rows,
-           COUNT(*) FILTER (lpad(CAST(o_custkey AS VARCHAR), 6, '0') LIKE '00010%') AS after_rows,
-           true AS all_match FROM orders
-    UNION ALL SELECT 'customer', true, COUNT(*), COUNT(*) FILTER (lpad(CAST(c_custkey AS VARCHAR), 6, '0') LIKE '00010%'),
-           true FROM customer
-    UNION ALL SELECT 'part', false, COUNT(*), COUNT(*), true FROM part""")
+def _region_audit_sql(table, key):
+    kept = f"lpad(CAST({key} AS VARCHAR), 6, '0') LIKE '00010%'"
+    return f"""SELECT '{table}' AS table_name, true AS has_code, COUNT(*) AS before_rows, COUNT(*) FILTER ({kept}) AS after_rows,
+        CASE WHEN COUNT(*) FILTER ({kept}) > 0 THEN '00010' ELSE '' END AS codes_left, COUNT(*) FILTER ({kept}) > 0 AS all_match FROM {table}"""
+
+
+@query("c02_filter_all", f"""
+    {_region_audit_sql("orders", "o_custkey")} UNION ALL {_region_audit_sql("customer", "c_custkey")}
+    UNION ALL SELECT 'part', false, COUNT(*), COUNT(*), '', true FROM part""")
 def _(t):
     tables = {"orders": t.orders.withColumn("code", col("o_custkey").cast("string")),
               "customer": t.customer.withColumn("code", col("c_custkey").cast("string")), "part": t.part}
-    return filter_all(tables, "code", "00010")[1].drop("codes_left")
+    return filter_all(tables, "code", "00010")[1].withColumn("codes_left", F.array_join("codes_left", ","))
 
 
 TARGET = "CASE WHEN o_orderstatus = 'F' THEN '1' WHEN o_orderstatus = 'O' THEN '0' WHEN o_orderkey % 2 = 0 THEN 'x' END"

@@ -13,7 +13,7 @@ from ..operators import encode as E
 from ..operators import models as M
 from ..operators import prep as P
 from ..operators.common import attach_scalars
-from ..operators.stats import mutual_info
+from ..operators.stats import medians, mutual_info
 from ..session import ensure_checkpoint_dir
 from .aggregates import DOCS, labelled, rounded
 from .registry import query
@@ -179,6 +179,17 @@ def _(t):
     return P.build_xy(df, ["n_chars", "lang", "absent"], "toxic", keep=["doc_id"])[0]
 
 
+@query("l10b_build_xy_audit", f"""
+    SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (doc_id % 4 = 0) AS null_targets, COUNT(*) FILTER (doc_id % 4 = 1 AND lang = 'fr')
+      AS unreadable_targets, COUNT(*) FILTER (doc_id % 4 <> 0 AND NOT coalesce(doc_id % 4 = 1 AND lang = 'fr', false)) AS rows_after,
+      'n_chars,text_length' AS numeric_features, 'lang,source' AS other_features FROM {DOCS}""")
+def _(t):
+    """What was dropped for lack of a target, and how the features were split."""
+    target = F.when((col("doc_id") % 4 == 1) & (col("lang") == "fr"), "unknown").when(col("doc_id") % 4 != 0, col("toxic").cast("string"))
+    _, audit, numeric, other = P.build_xy(labelled(t).withColumn("toxic", target), ["n_chars", "lang", "text_length", "absent", "source"], "toxic")
+    return audit.withColumns({"numeric_features": F.lit(",".join(numeric)), "other_features": F.lit(",".join(other))})
+
+
 # ---------------------------------------------------------------- models
 
 # Fitted values on many features have no SQL. What has: the rows that are scored, the
@@ -288,6 +299,32 @@ def _(t):
     return _one_flag(t, "svc", "weighted", {})
 
 
+# Two rings: points of the first two components are drawn half way to the centre within
+# the median radius, and moved half as far again outwards beyond it. No line parts them.
+RADII = """(SELECT vec_id, sqrt(CAST(embedding[1] AS DOUBLE) * embedding[1] + CAST(embedding[2] AS DOUBLE) * embedding[2]) AS r
+    FROM embeddings)"""
+
+
+@query("m05c_kernel_svc_parts_rings", f"""
+    SELECT vec_id, CASE WHEN r > m THEN 1 ELSE 0 END AS outer_ring, CASE WHEN r > m THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+      true AS line_fails FROM (SELECT *, quantile_cont(r, 0.5) OVER () AS m FROM {RADII})""")
+def _(t):
+    """The kernel classifier gives every row its ring; the linear one misses a quarter of them or more."""
+    x, y = (col("embedding")[i].cast("double") for i in (0, 1))
+    points = t.embeddings.select("vec_id", x.alias("x"), y.alias("y"), F.sqrt(x * x + y * y).alias("r"))
+    middle = medians(points, ["r"])["r"]
+    rings = points.withColumn("outer_ring", (col("r") > middle).cast("int"))
+    moved = F.when(col("outer_ring") == 1, 1.5).otherwise(0.5)
+    rings = rings.select("vec_id", (col("x") * moved).alias("x"), (col("y") * moved).alias("y"), "outer_ring")
+
+    def sides(name, params):
+        fitted = M.make_pipeline(rings, ["x", "y"], "outer_ring", "vec_id", M.ModelConfig(name, "weighted", params))
+        return fitted.transform(rings).select("vec_id", "outer_ring", "prediction")
+
+    line = sides("svc", {}).agg((F.avg((col("prediction") != col("outer_ring")).cast("double")) >= 0.25).alias("line_fails"))
+    return attach_scalars(sides("kernel_svc", {"C": 100.0}), line)
+
+
 @query("m07_scaled_margin", """
     SELECT o_orderkey, round((o_totalprice - min(o_totalprice) OVER ()) / (max(o_totalprice) OVER () - min(o_totalprice) OVER ()
            + 1e-9), 6) AS score FROM orders""")

@@ -117,12 +117,15 @@ def _(t):
 @query("j06_recommend_features", f"""
     SELECT variable, CASE WHEN variable = 'n_returned' THEN 'target' WHEN variable LIKE '%price%' OR variable LIKE '%ship%'
       THEN 'exclude_conservative' WHEN null_pct > 30 THEN 'review' WHEN n_unique <= 1 THEN 'exclude'
-      ELSE 'include_conservative' END AS decision FROM (
+      ELSE 'include_conservative' END AS decision, CASE WHEN variable = 'n_returned' THEN 'target variable'
+      WHEN variable LIKE '%price%' OR variable LIKE '%ship%' THEN 'name suggests leakage'
+      WHEN null_pct > 30 THEN 'high share of missing values' WHEN n_unique <= 1 THEN 'constant column'
+      ELSE 'usable in exploration and first models' END AS reason FROM (
         SELECT variable, null_pct, n_unique FROM ({_profile_sql(LINES, LINE_COLS)})
         UNION ALL SELECT 'fixed', 0, 1 UNION ALL SELECT 'sparse', 60, 2)""")
 def _(t):
     df = lines(t).withColumns({"fixed": F.lit(2), "sparse": F.when(col("o_orderkey") % 5 < 2, col("o_orderkey") % 2)})
-    return Q.recommend_features(profile_columns(df), ["price", "ship"], "n_returned").select("variable", "decision")
+    return Q.recommend_features(profile_columns(df), ["price", "ship"], "n_returned")
 
 
 def _typed(c, kind, dtype, encode):
@@ -154,12 +157,13 @@ def _(t):
                              ("unknown", "review"))
 
 
-DIMS = [Q.DimensionRule("weight", "expansion", names=["Brand#1/PROMO"], eligible=False, family="none"),
+DIMS = [Q.DimensionRule("weight", "expansion", names=["Brand#1/PROMO"], eligible=False, family="none", reason="a weight"),
         Q.DimensionRule("services", "water", names=["Brand#2/SMALL", "Brand#2/LARGE"], eligible_except=["Brand#2/LARGE"],
-                        family="basic"),
+                        family="basic", reason="large repeats small"),
         Q.DimensionRule("energy", "fuel", prefixes=["Brand#2"], names=["Brand#3/PROMO"],
-                        eligible_only=["Brand#3/PROMO", "Brand#22/PROMO"], family="energy"),
-        Q.DimensionRule("money", "income", prefixes=["Brand#1", "Brand#4"], eligible=False)]
+                        eligible_only=["Brand#3/PROMO", "Brand#22/PROMO"], family="energy",
+                        reason="promotions carry it"),
+        Q.DimensionRule("money", "income", prefixes=["Brand#1", "Brand#4"], eligible=False, reason="an amount")]
 DIM_SQL = """SELECT p_partkey, v AS variable,
     CASE WHEN v = 'Brand#1/PROMO' THEN 'weight' WHEN v IN ('Brand#2/SMALL', 'Brand#2/LARGE') THEN 'services'
       WHEN v LIKE 'Brand#2%' OR v = 'Brand#3/PROMO' THEN 'energy' WHEN v LIKE 'Brand#1%' OR v LIKE 'Brand#4%' THEN 'money'
@@ -167,18 +171,24 @@ DIM_SQL = """SELECT p_partkey, v AS variable,
     CASE WHEN v = 'Brand#1/PROMO' THEN 'none' WHEN v IN ('Brand#2/SMALL', 'Brand#2/LARGE') THEN 'basic'
       WHEN v LIKE 'Brand#2%' OR v = 'Brand#3/PROMO' THEN 'energy' ELSE 'none' END AS family,
     CASE WHEN v = 'Brand#1/PROMO' THEN false WHEN v = 'Brand#2/SMALL' THEN true WHEN v = 'Brand#2/LARGE' THEN false
-      WHEN v LIKE 'Brand#2%' OR v = 'Brand#3/PROMO' THEN v IN ('Brand#3/PROMO', 'Brand#22/PROMO') ELSE false END AS eligible
+      WHEN v LIKE 'Brand#2%' OR v = 'Brand#3/PROMO' THEN v IN ('Brand#3/PROMO', 'Brand#22/PROMO') ELSE false END AS eligible,
+    CASE WHEN v = 'Brand#1/PROMO' THEN 'expansion' WHEN v IN ('Brand#2/SMALL', 'Brand#2/LARGE') THEN 'water'
+      WHEN v LIKE 'Brand#2%' OR v = 'Brand#3/PROMO' THEN 'fuel' WHEN v LIKE 'Brand#1%' OR v LIKE 'Brand#4%' THEN 'income'
+      ELSE 'pending' END AS subdimension,
+    CASE WHEN v = 'Brand#1/PROMO' THEN 'a weight' WHEN v IN ('Brand#2/SMALL', 'Brand#2/LARGE') THEN 'large repeats small'
+      WHEN v LIKE 'Brand#2%' OR v = 'Brand#3/PROMO' THEN 'promotions carry it'
+      WHEN v LIKE 'Brand#1%' OR v LIKE 'Brand#4%' THEN 'an amount' ELSE 'look at it first' END AS reason
     FROM (SELECT p_partkey, p_brand || '/' || p_type AS v FROM part)"""
 
 
 def _classified(t):
     variables = t.part.select("p_partkey", F.concat_ws("/", "p_brand", "p_type").alias("variable"))
-    return Q.classify_variables(variables, DIMS, Q.DimensionRule("manual", "pending", eligible=False))
+    return Q.classify_variables(variables, DIMS, Q.DimensionRule("manual", "pending", eligible=False, reason="look at it first"))
 
 
 @query("j09_classify_variables", DIM_SQL)
 def _(t):
-    return _classified(t).select("p_partkey", "variable", "dimension", "family", "eligible")
+    return _classified(t)
 
 
 @query("j09b_dimension_summary", f"SELECT dimension, family, eligible, COUNT(*) AS n_variables FROM ({DIM_SQL}) GROUP BY ALL")
@@ -259,14 +269,32 @@ def _(t):
                       (col("n_rows") > 0) & (col("bad_codes") == 0))
 
 
+def _model_ready(t):
+    return Q.model_ready(t.orders, ["o_orderkey"], ["o_custkey", "o_orderkey"], "household_id",
+                         ["o_totalprice", "o_orderstatus", "absent"], ["o_orderpriority"],
+                         {"o_orderkey": "conglome", "o_totalprice": "weight", "o_orderstatus": "target",
+                          "o_orderpriority": "priority_cat", "absent": "gone"})
+
+
 @query("j14_model_ready", """
     SELECT o_custkey || '_' || o_orderkey AS household_id, o_orderkey AS conglome, o_custkey, o_totalprice AS weight,
            o_orderstatus AS target, o_orderpriority AS priority_cat FROM orders""")
 def _(t):
-    return Q.model_ready(t.orders, ["o_orderkey"], ["o_custkey", "o_orderkey"], "household_id",
-                         ["o_totalprice", "o_orderstatus", "absent"], ["o_orderpriority"],
-                         {"o_orderkey": "conglome", "o_totalprice": "weight", "o_orderstatus": "target",
-                          "o_orderpriority": "priority_cat", "absent": "gone"})[0]
+    return _model_ready(t)[0]
+
+
+@query("j14b_model_ready_names", """
+    SELECT v.*, n.n_present FROM (VALUES ('household_id', 'household_id', false), ('o_custkey', 'o_custkey', false),
+        ('o_orderkey', 'conglome', true), ('o_totalprice', 'weight', true), ('o_orderstatus', 'target', true),
+        ('o_orderpriority', 'priority_cat', true)) AS v(original_column, renamed_column, was_renamed) JOIN (
+      UNPIVOT (SELECT COUNT(o_custkey || o_orderkey) AS household_id, COUNT(o_custkey) AS o_custkey, COUNT(o_orderkey) AS o_orderkey,
+        COUNT(o_totalprice) AS o_totalprice, COUNT(o_orderstatus) AS o_orderstatus, COUNT(o_orderpriority) AS o_orderpriority FROM orders)
+      ON COLUMNS(*) INTO NAME original_column VALUE n_present) AS n USING (original_column)""")
+def _(t):
+    """The rename report, with the values present in each column of the table it describes."""
+    table, report = _model_ready(t)
+    present = table.agg(*[F.count(c).alias(c) for c in table.columns]).unpivot([], table.columns, "renamed_column", "n_present")
+    return report.join(present, "renamed_column")
 
 
 @query("j15_variable_dictionary", f"""

@@ -2,13 +2,16 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from surveyloom.operators import metrics as M
 from surveyloom.operators import models as ML
 from surveyloom.operators import prep as P
 from surveyloom.operators import stats as S
+from surveyloom.operators.kernel import KernelFeatures, scale_gamma
 from surveyloom.operators.neighbours import knn_join
 
 
@@ -188,3 +191,47 @@ def test_importance_groups_slots(spark):
     fitted = ML.make_pipeline(df, ["x", "c"], "y", "id", ML.ModelConfig("logistic", "weighted"))
     rows = {r["variable"]: r["influence"] for r in ML.grouped_importance(fitted, df).collect()}
     assert set(rows) == {"x", "c"} and max(rows.values()) == 1.0
+
+
+def test_kernel_features_approach_the_kernel(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(30, 4))
+    df = spark.createDataFrame([(i, Vectors.dense(v)) for i, v in enumerate(points)] + [(30, Vectors.sparse(4, [1], [2.0])), (31, None)],
+                               StructType([StructField("id", IntegerType()), StructField("features", VectorUDT())])).repartition(3)
+    made = {r["id"]: r["kernel_features"] for r in KernelFeatures(gamma=0.3, dims=8192, seed=1).transform(df).collect()}
+    assert made[31] is None and len(made) == 32
+    points = np.vstack([points, [0.0, 2.0, 0.0, 0.0]])
+    z = np.stack([made[i].toArray() for i in range(31)])
+    exact = np.exp(-0.3 * ((points[:, None] - points[None]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - exact).max() < 0.06
+    assert scale_gamma(df) == pytest.approx(1 / (4 * points.var()))
+    even = df.select(array_to_vector(F.array(F.lit(2.0), F.lit(2.0))).alias("features"))
+    assert scale_gamma(df.limit(0)) == 1.0 and scale_gamma(even) == 1.0
+
+
+def _rings(spark):
+    rng = np.random.default_rng(4)
+    angle, far = rng.uniform(0, 2 * np.pi, 240), np.arange(240) % 2
+    radius = np.where(far == 1, 3.0, 1.0) + rng.normal(0, 0.1, 240)
+    rows = [(i, float(radius[i] * np.cos(angle[i])), float(radius[i] * np.sin(angle[i])), ["a", "b", None][i % 3], int(far[i])) for i in range(240)]
+    return spark.createDataFrame(rows, "id int, x double, y double, c string, target int")
+
+
+def test_kernel_classifier_parts_rings_and_is_saved(spark, tmp_path):
+    df = _rings(spark)
+    cfg = ML.ModelConfig("kernel_svc", "weighted", {"C": 100.0, "dims": 128})
+    fitted = ML.make_pipeline(df, ["x", "y", "c"], "target", "id", cfg)
+    assert fitted.transform(df).filter("prediction <> target").count() == 0
+    fitted.write().save(f"{tmp_path}/model")
+    here = {r["id"]: r["score"] for r in ML.score_table(fitted, df, 0.5, ["id"]).collect()}
+    again = {r["id"]: r["score"] for r in ML.score_table(f"{tmp_path}/model", df, 0.5, ["id"]).collect()}
+    assert here == pytest.approx(again) and len(here) == 240
+    with pytest.raises(ValueError):
+        ML.grouped_importance(fitted, df)
+
+
+def test_kernel_classifier_beside_others_in_cross_validation(spark):
+    configs = [ML.ModelConfig("svc", "weighted"), ML.ModelConfig("kernel_svc", "weighted", {"C": 100.0, "dims": 128})]
+    found = ML.cross_validate(_rings(spark), {"xy": ["x", "y"]}, "target", "id", configs, k=2, thresholds=(0.5,)).collect()
+    area = {(r["model"], r["fold"]): r["roc_auc"] for r in found}
+    assert all(area["kernel_svc", f] > 0.99 > 0.8 > area["svc", f] for f in (1, 2))

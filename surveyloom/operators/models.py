@@ -392,15 +392,20 @@ def model_matrix_json(metrics: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- export and scoring
 
 def export_models(df: DataFrame, features: Sequence[str], target: str, row_id: str,
-                  exports: Sequence[tuple[str, ModelConfig, float]], folder: str) -> DataFrame:
+                  exports: Sequence[tuple[str, ModelConfig, float]], folder: str, parallelism: int = 8) -> DataFrame:
     """Fit every configuration on all rows with a target, save it, and list what
-    was saved. An export is (alias, configuration, threshold)."""
+    was saved. An export is (alias, configuration, threshold). The fits run side by side
+    and share preprocessing and over-sampling; equal configurations are fitted once."""
     clean = df.filter(F.col(target).isNotNull())
     counts = df.agg(F.count(F.lit(1)).alias("all"), F.count(target).alias("kept")).first()
+    configs = list(dict.fromkeys(cfg for _, cfg, _ in exports))
+    fitted: dict[ModelConfig, PipelineModel] = {}
+    for prep, fits in _fitted_side_by_side(clean, features, target, row_id, configs, parallelism):
+        fitted.update((cfg, PipelineModel([*prep.stages, *chain_of(m)])) for cfg, m in fits)
     rows = []
     for alias, cfg, threshold in exports:
         path = f"{folder.rstrip('/')}/{alias}"
-        make_pipeline(clean, features, target, row_id, cfg).write().overwrite().save(path)
+        fitted[cfg].write().overwrite().save(path)
         rows.append((alias, cfg.name, cfg.strategy, float(threshold), len(features), counts["kept"],
                      counts["all"] - counts["kept"], path))
     return df.sparkSession.createDataFrame(rows, (

@@ -12,6 +12,15 @@ from ..functions import as_number, count_positive, flag, zfill
 from .joins import mark_exists
 from .ordered import _ordered_key, first_per_group
 
+UNIT_ROWS = 250_000   # rows that one task sorts and counts for a join by person
+
+
+def _by_unit(df: DataFrame, unit: Sequence[str]) -> DataFrame:
+    """Rows dealt by unit to partitions of about ``UNIT_ROWS``. Keys compress well, so
+    partitions of equal bytes would hold many million rows, all sorted and hashed at once."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // UNIT_ROWS))
+    return df.repartition(parts, *unit)
+
 
 def count_if_by(df: DataFrame, keys: Sequence[str], conds: Mapping[str, Column]) -> DataFrame:
     """Conditional counts per group; an undecided condition does not count."""
@@ -63,7 +72,7 @@ def rollup_education(df: DataFrame, roster: DataFrame, heads: DataFrame, keys: S
     education. The roster brings the age, ``heads`` the head of each group."""
     unit = [*keys, person]
     ages = roster.select(*unit, as_number(age).alias("_age"))
-    joined = mark_exists(df.join(ages, unit, "left"), heads, unit, "_is_head")
+    joined = mark_exists(_by_unit(df, unit).join(ages, unit, "left"), heads, unit, "_is_head")
     in_school = F.col("_age").between(*school_age)
     packed = F.struct(*[k.alias(f"_o{i}") for i, k in enumerate(_ordered_key([person, *order]))],
                       *[F.col(c).alias(n) for n, c in attributes.items()])
@@ -91,7 +100,8 @@ def rollup_employment(df: DataFrame, heads: DataFrame, keys: Sequence[str], pers
                       incomes: Sequence[str]) -> DataFrame:
     """Persons, persons with any positive income, and whether the head has one."""
     earns = flag(count_positive([c for c in incomes if c in df.columns]) > 0)
-    joined = mark_exists(df.withColumn("_earns", earns), heads, [*keys, person], "_is_head")
+    unit = [*keys, person]
+    joined = mark_exists(_by_unit(df.select(*unit, earns.alias("_earns")), unit), heads, unit, "_is_head")
     out = joined.groupBy(*keys).agg(
         F.count_distinct(person).alias("n_persons"), F.sum("_earns").cast("bigint").alias("n_earners"),
         F.max(flag((F.col("_is_head") == 1) & (F.col("_earns") == 1))).alias("head_earns"))

@@ -147,3 +147,18 @@ def test_profile_of_a_wide_table(spark):
     df = spark.range(5).select(*[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(230)])
     assert P.column_shapes(df).filter("is_constant").collect()[0]["variable"] == "c0"
     assert P.null_percent(df).count() == 230
+
+
+def test_employment_rollup_bounds_rows_per_task(spark, monkeypatch):
+    """Rows meet the heads in partitions of a bounded number of rows, however well they compress."""
+    from surveyloom.operators import rollup as U
+
+    monkeypatch.setattr(U, "UNIT_ROWS", 10, raising=False)
+    people = spark.createDataFrame([(i // 4, i % 4, float(i % 3)) for i in range(400)] + [(None, 1, 5.0), (7, None, 5.0), (7, 1, 5.0)],
+                                   "home int, person int, pay double")
+    heads = spark.createDataFrame([(i, 1) for i in range(100)], "home int, person int")
+    out = U.rollup_employment(people, heads, ["home"], "person", ["pay"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    got = {r["home"]: tuple(r)[1:] for r in out.collect()}
+    assert got[None] == (1, 1, 0, 1) and got[7] == (4, 5, 1, 1) and got[1] == (4, 3, 1, 1) and len(got) == 101

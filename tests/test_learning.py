@@ -109,6 +109,28 @@ def test_knn_is_exact_with_hot_copies(spark, pivots, block):
     assert {(r["id"], r["neighbour_id"], r["rank"]) for r in got} == brute(points, 4)
 
 
+def test_knn_row_travels_once_per_block(spark, monkeypatch):
+    """Without structure every cell stays open; a row still travels once per block, not per cell."""
+    from surveyloom.operators import neighbours
+
+    visits, cut = [], neighbours.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        if "_r" in out.columns:
+            listed = out.schema["_r"].dataType.names[0]
+            visits.append(out.selectExpr(f"sum(size(_r.{listed})) n").first()["n"])
+        return out
+
+    monkeypatch.setattr(neighbours, "cut_lineage", counted)
+    rng = np.random.default_rng(3)
+    points = {i: rng.normal(size=24) for i in range(400)}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in points.items()], "id bigint, v array<double>")
+    got = knn_join(df, "id", "v", 3, block_rows=20, pivots=60).collect()
+    assert {(r["id"], r["neighbour_id"], r["rank"]) for r in got} == brute(points, 3)
+    assert sum(visits) <= 400 * 30
+
+
 def test_smote_balances_and_stays_on_segments(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.normal(size=4).tolist(), int(i < 12)) for i in range(100)]

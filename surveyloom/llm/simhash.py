@@ -31,6 +31,7 @@ ship_by_value(__name__)
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
 CROWDED = 32   # fingerprints from which an anchor is resolved without pairs
+EDGE_ROWS = 20_000   # edges that a partition holds, so that few edges make few files
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _ROWS = 1 << 16
 
@@ -136,8 +137,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star rounds until the edges stay the same, however
     many that takes; each round is a minimum per node and a join with it, never a list
-    per node.
+    per node. A round deals its edges several times, so they lie in as many partitions as
+    their counted number asks for: few edges do not leave thousands of files on disk.
     """
+    context = edges.sparkSession.sparkContext
     cur = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     state = None
     while True:
@@ -146,13 +149,16 @@ def components(edges: DataFrame) -> DataFrame:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         state = mark
+        parts = max(context.defaultParallelism, -(-mark[0] // EDGE_ROWS))
+        cur = cur.coalesce(parts)
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.coalesce(parts).distinct().coalesce(parts)
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u")
         cur = materialise(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                          .unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+                          .unionByName(down.select("u", F.col("m").alias("v"))).coalesce(parts).distinct())
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:

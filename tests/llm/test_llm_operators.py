@@ -465,3 +465,20 @@ def test_chat_tree_long_conversation(spark):
     back = {r["conv_id"]: r for r in chat_tree.read_back(nodes, convs).collect()}
     assert [tuple(t) for t in back[1]["turns"]] == [t[2:] for t in turns[:10_000]]
     assert [tuple(t) for t in back[2]["turns"]] == [t[2:] for t in turns[10_000:]]
+
+
+def test_component_rounds_deal_few_edges_in_few_partitions(spark, monkeypatch):
+    """Every round's exchanges start from few partitions where the edges are few."""
+    from surveyloom.llm import simhash
+
+    plans, write = [], simhash.materialise
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(simhash, "materialise", seen)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(30) if i % 10 != 9], "a bigint, b bigint")
+    got = {r["node"]: r["root"] for r in simhash.components(edges).collect()}
+    assert got == {i: i // 10 * 10 for i in range(30)}
+    assert len(plans) > 1 and all("Coalesce " in p for p in plans[1:])

@@ -1,8 +1,10 @@
 """The registered model queries ask for the whole of their job (nothing is fitted here)."""
 
 from collections import Counter
+from threading import Barrier
 
 import pytest
+from pyspark.sql import functions as F
 
 from surveyloom.operators import models as M
 from surveyloom.queries import QUERIES
@@ -45,3 +47,25 @@ def test_six_models_are_exported(spark, data, monkeypatch):
 def test_whole_cross_validation_has_two_hundred_fits(spark, data, monkeypatch):
     args, named = asked(monkeypatch, "cross_validate", "m08c_cross_validate_whole_benchmark", spark, data)
     assert len(args[1]) * named["k"] * len(args[4]) == 200
+
+
+def test_training_rows_have_no_plan_behind_them(spark):
+    rows = spark.range(0, 1000, 1, 16).withColumn("x", F.sqrt("id")).repartition(12, "id")
+    kept = M._few_partitions(rows)
+    assert kept.rdd.getNumPartitions() == 1 and kept.count() == 1000
+    assert "Repartition" not in kept._jdf.queryExecution().analyzed().toString()
+    kept.unpersist()
+
+
+def test_folds_are_fitted_side_by_side(spark, monkeypatch):
+    rows = [(i, float(i % 7), i % 3 == 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, x double, y boolean").withColumn("y", F.col("y").cast("int"))
+    meeting, fit = Barrier(2, timeout=120), M.fit_model
+
+    def together(rows, cfg):
+        meeting.wait()   # broken unless the fit of the other fold is under way too
+        return fit(rows, cfg)
+
+    monkeypatch.setattr(M, "fit_model", together)
+    found = M.cross_validate(df, {"x": ["x"]}, "y", "id", [M.ModelConfig("tree")], k=2, thresholds=[0.5])
+    assert {r["fold"]: r["tp"] + r["fn"] + r["tn"] + r["fp"] for r in found.collect()} == {1: 30, 2: 30}

@@ -4,6 +4,8 @@ Equal shingle sets are one entry. Two similar entries share one of the first tok
 their sets in any common order of tokens; the order is by an approximate corpus count
 from a bounded sketch, rarest first, so a common passage brings no strangers together.
 Entries that share such a token form a group, and groups of the same members are one.
+What two entries can share at most follows from the places of the first token that both
+have; an entry stays in a group only if some other member leaves enough.
 
 In a group every entry is a signature: a bitmap of its tokens, of a width that follows
 from its size. Signature trees are built over blocks of a group; a node holds the
@@ -44,6 +46,8 @@ SHINGLE, PERCENT = 4, 85
 CELLS_A_ROW, MOST_CELLS = 8, 1 << 24      # at most 64 MB in a task and 16 MB broadcast
 BLOCK, FAN = 8192, 16
 BROADCAST_ROWS = 200_000
+PLACE_BITS = 16       # low bits of a spread token that hold its place in the set
+FEW = 64              # members of a token that are looked at pair by pair before they form a group
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -118,7 +122,11 @@ def first_tokens(found: np.ndarray, classes: np.ndarray, percent: int = PERCENT)
 
 
 def spread(docs: DataFrame, classes, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(token, key, n): every entry under each of its first tokens, copies mostly once."""
+    """(token, key, n): every entry under each of its first tokens, copies mostly once. The
+    low bits of a token are its place (at most the largest that they hold); tokens that are
+    alike in the bits left only meet more."""
+    most = (1 << PLACE_BITS) - 1
+
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
@@ -131,7 +139,9 @@ def spread(docs: DataFrame, classes, width: int = SHINGLE, percent: int = PERCEN
                 if len(seen) > 1 << 20:
                     seen.clear()
                 seen.add(key)
-                tokens.append(first_tokens(found, classes.value, percent))
+                first = first_tokens(found, classes.value, percent)
+                place = np.minimum(np.arange(len(first)), most).astype(np.uint64)
+                tokens.append(first >> np.uint64(PLACE_BITS) << np.uint64(PLACE_BITS) | place)
                 keys += [key] * len(tokens[-1])
                 sizes += [len(found)] * len(tokens[-1])
             if keys:
@@ -311,16 +321,30 @@ def forest(left: pd.DataFrame, right: pd.DataFrame | None, percent: int = PERCEN
 
 def _groups(tokens: DataFrame, percent: int) -> DataFrame:
     """(g, key, n, c, band): groups of two or more entries, each with another one whose
-    size allows a link; of groups with the same members one.
+    size and place of the token allow a link; of groups with the same members one.
+
+    Two similar entries meet under the first token that both have, before which neither has
+    one of the other's: they share at most what is left of each from there on. So a row has
+    a largest size ``u`` of the other, and a pair needs both. Up to ``FEW`` members of a
+    token are held against each other, more are taken as they are.
 
     Rows are dealt by token once: copies are dropped, groups counted and their members
     found on that partitioning. Links stay in a band of sizes or go to the next."""
     width = float(-np.log(percent / 100)) * 1.01   # a little wider than the ratio that a link allows
-    members = tokens.repartition(F.col("token")).dropDuplicates(["token", "key"]).withColumn(
+    token, place = F.shiftrightunsigned("token", PLACE_BITS), F.col("token").bitwiseAND((1 << PLACE_BITS) - 1)
+    members = tokens.repartition(token).select(token.alias("t"), place.alias("place"), "key", "n").groupBy("t", "key").agg(
+        F.min("place").alias("place"), F.min("n").alias("n"))
+    inside = Window.partitionBy("t")
+    shared = members.withColumn("c", F.count("*").over(inside)).where("c > 1")
+    shared = shared.withColumn("u", F.expr(f"({100 + percent} * (n - place)) div {percent} - n"))
+    shared = shared.withColumn("others", F.collect_list(F.when(F.col("c") <= FEW, F.struct("n", "u"))).over(inside))
+    fits = F.filter("others", lambda o: (o["n"] <= F.col("u")) & (o["u"] >= F.col("n")) & (100 * o["n"] >= percent * F.col("n"))
+                    & (100 * F.col("n") >= percent * o["n"]))
+    # a row that allows its own size is among the others itself
+    shared = shared.where((F.col("c") > FEW) | (F.size(fits) > (F.col("u") >= F.col("n")).cast("int"))).withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
-    inside = Window.partitionBy("token")
-    shared = members.withColumns({"c": F.count("*").over(inside), "x": F.bit_xor(F.xxhash64("key")).over(inside),
-                                  "y": F.bit_xor(F.xxhash64(F.lit(1), "key")).over(inside)}).where("c > 1")
+    shared = shared.withColumns({"c": F.count("*").over(inside), "x": F.bit_xor(F.xxhash64("key")).over(inside),
+                                 "y": F.bit_xor(F.xxhash64(F.lit(1), "key")).over(inside)}).where("c > 1")
     # a group is named by its members, so those of several tokens fall together
     shared = shared.select(F.xxhash64("c", "x", "y").alias("g"), "key", "n", "c", "band")
     found = materialise(shared.dropDuplicates(["g", "key"]))

@@ -168,6 +168,42 @@ def test_jaccard_join(spark, docs, table, block):
     assert max(Counter(c for *_, c in wanted).values()) > 40
 
 
+def test_groups_leave_out_members_that_share_too_late(spark):
+    rows = [(1, 14, "a", 100), (1, 14, "b", 100),     # 86 tokens are left of each, 92 are asked
+            (2, 8, "a", 100), (2, 8, "b", 100),
+            (3, 14, "a", 100), (3, 0, "c", 85),       # the shorter may lie in the longer one
+            (4, 14, "a", 100), (4, 1, "c", 85),
+            (5, 0, "a", 100), (5, 0, "d", 84),
+            (6, 0, "a", 100), (6, 14, "b", 100), (6, 8, "e", 100), (6, 8, "e", 100),
+            *[(7, 14, f"m{k}", 100) for k in range(signature_join.FEW + 1)]]
+    tokens = spark.createDataFrame([(t << signature_join.PLACE_BITS | p, k.encode(), n) for t, p, k, n in rows], "token bigint, key binary, n bigint")
+    found = defaultdict(set)
+    for r in signature_join._groups(tokens, 85).collect():
+        found[r["g"]].add((bytes(r["key"]).decode(), r["c"]))
+    many = frozenset((f"m{k}", signature_join.FEW + 1) for k in range(signature_join.FEW + 1))
+    assert set(map(frozenset, found.values())) == {frozenset({("a", 2), ("b", 2)}), frozenset({("a", 2), ("c", 2)}), frozenset({("a", 2), ("e", 2)}), many}
+
+
+def test_jaccard_join_around_the_limit(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.choice([12, 40, 150]))]
+        for _ in range(5):
+            lost, more = (rng.randrange(1 + len(base) // 7) for _ in range(2))
+            texts.append(" ".join([*base[lost:], *(f"w{rng.randrange(4000)}" for _ in range(more))]))
+    sets = [shingle_set(t) for t in texts]
+    least = list(range(len(sets)))
+    for a, b in combinations(range(len(sets)), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            old, new = max(least[a], least[b]), min(least[a], least[b])
+            least = [new if x == old else x for x in least]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in signature_join.join(table).collect()} == dict(enumerate(least))
+    assert 60 < len(set(least)) < 250
+
+
 def test_trees_lose_no_link():
     rng = np.random.default_rng(3)
     sets = []

@@ -418,9 +418,14 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
     within blocks, and then between the blocks of a group."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(found)
-    groups = materialise(_groups(spread(docs, order, percent=percent), percent))
-    keys = materialise(groups.select("key").distinct())
-    ids = materialise(classes.join(keys, "key", "left_semi").select(F.col("least").alias("_id")).distinct())
+    # tokens travel with a 64-bit hash of the key; what is left of them gets all keys of it
+    tokens = spread(docs, order, percent=percent).withColumn("key", F.xxhash64("key"))
+    met = materialise(_groups(tokens, percent).withColumnRenamed("key", "short"))
+    named = materialise(classes.withColumn("short", F.xxhash64("key")).join(
+        _small(materialise(met.select("short").distinct())), "short", "left_semi"))
+    groups = materialise(met.join(_small(named.select("short", "key")), "short").select("g", "key", "n", "c", "band"))
+    keys = named.select("key")
+    ids = materialise(named.select(F.col("least").alias("_id")).distinct())
     texts = docs.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
     sets = materialise(texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(_small(keys), "key", "left_semi"))
     if sets.count() > keys.count():   # rows that repeat an id
@@ -465,8 +470,10 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
         for part in checked:
             bad = part.where("not good") if bad is None else bad.unionByName(part.where("not good"))
         failed = bad.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("failed"))
-        rows = rows.join(several, "g", "left_semi").join(failed, "key", "left")
-        return materialise(rows.join(sets.select("key", "signature"), "key"))
+        rows = materialise(rows.join(several, "g", "left_semi").join(failed, "key", "left"))
+        # most signatures are settled after the first round: only those still asked for travel
+        wanted = materialise(rows.select("key").distinct())
+        return materialise(rows.join(sets.select("key", "signature").join(_small(wanted), "key", "left_semi"), "key"))
 
     def within(rows: DataFrame, doubtful: int) -> DataFrame:
         spot = ["g", "band", "share"]

@@ -231,3 +231,30 @@ def test_trees_lose_no_link():
                       + signature_join.forest(rows(range(half)), rows(range(half, len(sets))))):
         root = connected([(int(a), int(b)) for a, b in proposals])
         assert all(root[a] == root[b] for a, b in true) and len(true) > 100
+
+
+def test_jaccard_join_ships_hashed_keys_and_open_signatures(spark, monkeypatch):
+    """Tokens carry 8 bytes of key; a round asks for the signatures of its rows alone."""
+    words = [f"w{k}" for k in range(300)]
+    # one base with copies that drop more and more: proposals fail, so that several rounds run
+    texts = [" ".join(words[k:k + 200]) for k in range(0, 100, 4)] + [f"pair{k} " + " ".join(f"p{k}x{i}" for i in range(40)) + f" e{e}" for k in range(30) for e in (0, 1)]
+    kinds, asked = [], []
+    groups, small = signature_join._groups, signature_join._small
+
+    def seen(tokens, percent):
+        kinds.append(dict(tokens.dtypes)["key"])
+        return groups(tokens, percent)
+
+    def counted(df):
+        if df.columns == ["key"]:
+            asked.append(df.count())
+        return small(df)
+
+    monkeypatch.setattr(signature_join, "_groups", seen)
+    monkeypatch.setattr(signature_join, "_small", counted)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component_id"] for r in signature_join.join(table).collect()}
+    assert found == {k: 0 if k < 25 else 25 + (k - 25) // 2 * 2 for k in range(len(texts))}
+    assert kinds == ["bigint"]
+    # the pairs are settled by their centres: no round asks for their signatures
+    assert len(asked) > 1 and max(asked[1:]) <= 25 < asked[0]

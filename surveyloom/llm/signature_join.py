@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import ship_by_value
-from .common import materialise
+from .common import counted, materialise, parts_for
 from .simhash import components
 from .sketch import Counter, SCHEMA as SKETCH, SEGMENT, cells_for, merged
 
@@ -46,6 +46,8 @@ SHINGLE, PERCENT = 4, 85
 CELLS_A_ROW, MOST_CELLS = 8, 1 << 24      # at most 64 MB in a task and 16 MB broadcast
 BLOCK, FAN = 8192, 16
 BROADCAST_ROWS = 200_000
+SET_ROWS = 5_000      # rows with whole sets that a partition holds
+SEARCHES = 4          # tasks of a search or a comparison for each partition of its rows
 PLACE_BITS = 16       # low bits of a spread token that hold its place in the set
 FEW = 64              # members of a token that are looked at pair by pair before they form a group
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -347,11 +349,12 @@ def _groups(tokens: DataFrame, percent: int) -> DataFrame:
                                  "y": F.bit_xor(F.xxhash64(F.lit(1), "key")).over(inside)}).where("c > 1")
     # a group is named by its members, so those of several tokens fall together
     shared = shared.select(F.xxhash64("c", "x", "y").alias("g"), "key", "n", "c", "band")
-    found = materialise(shared.dropDuplicates(["g", "key"]))
-    near = found.groupBy("g", "band").agg(F.count("*").alias("m")).select("g", F.explode(F.array(
+    found, rows = counted(shared.dropDuplicates(["g", "key"]))
+    parts = parts_for(tokens.sparkSession, rows)
+    near = found.groupBy("g", "band").agg(F.count("*").alias("m")).coalesce(parts).select("g", F.explode(F.array(
         F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "m")
     near = near.groupBy("g", "band").agg(F.sum("m").alias("m")).where("m > 1").select("g", "band")
-    return found.join(near, ["g", "band"], "left_semi").select("g", "key", "n", "c", "band")
+    return found.join(near, ["g", "band"], "left_semi").select("g", "key", "n", "c", "band").coalesce(parts)
 
 
 def _signed(batches):
@@ -415,22 +418,26 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
 
     First each group is compared with its centre, the entry that shares the most, which
     connects a group of near copies at once. Then the trees of the blocks are searched:
-    within blocks, and then between the blocks of a group."""
+    within blocks, and then between the blocks of a group.
+
+    A round is many small shuffles: their results lie in as many partitions as the counted
+    rows they come from ask for, so that few rows do not make thousands of tasks and files."""
     spark = docs.sparkSession
     order = spark.sparkContext.broadcast(found)
     # tokens travel with a 64-bit hash of the key; what is left of them gets all keys of it
     tokens = spread(docs, order, percent=percent).withColumn("key", F.xxhash64("key"))
-    met = materialise(_groups(tokens, percent).withColumnRenamed("key", "short"))
+    met, n_met = counted(_groups(tokens, percent).withColumnRenamed("key", "short"))
+    parts = parts_for(spark, n_met)
     named = materialise(classes.withColumn("short", F.xxhash64("key")).join(
-        _small(materialise(met.select("short").distinct())), "short", "left_semi"))
-    groups = materialise(met.join(_small(named.select("short", "key")), "short").select("g", "key", "n", "c", "band"))
+        _small(materialise(met.select("short").distinct().coalesce(parts))), "short", "left_semi").coalesce(parts))
+    groups = materialise(met.join(_small(named.select("short", "key")), "short").select("g", "key", "n", "c", "band").coalesce(parts))
     keys = named.select("key")
-    ids = materialise(named.select(F.col("least").alias("_id")).distinct())
+    ids = materialise(named.select(F.col("least").alias("_id")).distinct().coalesce(parts))
     texts = docs.join(_small(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = materialise(texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(_small(keys), "key", "left_semi"))
-    if sets.count() > keys.count():   # rows that repeat an id
-        sets = materialise(sets.dropDuplicates(["key"]))
-    placed = materialise(_blocks(groups, block))
+    sets, n_sets = counted(texts.mapInArrow(_signed, "key binary, found binary, signature binary").join(_small(keys), "key", "left_semi"), SET_ROWS)
+    if n_sets > keys.count():   # rows that repeat an id
+        sets = materialise(sets.dropDuplicates(["key"]).coalesce(parts_for(spark, n_sets, SET_ROWS)))
+    placed = materialise(_blocks(groups, block).coalesce(parts))
     pair = "a binary, b binary"
     checked: list[DataFrame] = []
 
@@ -440,7 +447,7 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
         # each side picks its sets first, so that only sets of a pair travel
         left = sets.select(F.col("key").alias("a"), F.col("found").alias("x")).join(_small(pairs), "a")
         right = sets.select(F.col("key").alias("b"), F.col("found").alias("y")).join(_small(pairs.select(*[F.col(c).alias(c) for c in "ab"])), "b")
-        both = left.join(right, ["a", "b"]).select("a", "b", "x", "y")
+        both = left.join(right, ["a", "b"]).select("a", "b", "x", "y").coalesce(SEARCHES * parts)
         checked.append(materialise(both.mapInArrow(_similar(percent), f"{pair}, good boolean")))
         good = checked[0]
         for more in checked[1:]:
@@ -449,14 +456,14 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
 
     # the centre of a group; narrow pairs first, signatures once for each
     shared = groups.groupBy("key").agg(F.sum("c").alias("shared"))
-    centres = groups.join(shared, "key").groupBy("g").agg(F.max(F.struct("shared", "key", "n")).alias("_c"))
+    centres = groups.join(shared, "key").coalesce(parts).groupBy("g").agg(F.max(F.struct("shared", "key", "n")).alias("_c"))
     stars = groups.join(centres, "g").where(F.col("key") != F.col("_c.key")).select(
         F.col("key").alias("a"), "n", F.col("_c.key").alias("b"), F.col("_c.n").alias("m"))
-    stars = stars.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
-    stars = stars.join(sets.select(F.col("key").alias("a"), F.col("signature").alias("x")), "a").join(
-        sets.select(F.col("key").alias("b"), F.col("signature").alias("y")), "b").select("a", "n", "x", "b", "m", "y")
+    stars = stars.where(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).coalesce(parts).distinct().coalesce(parts)
+    stars = stars.join(sets.select(F.col("key").alias("a"), F.col("signature").alias("x")), "a").coalesce(SEARCHES * parts).join(
+        sets.select(F.col("key").alias("b"), F.col("signature").alias("y")), "b").select("a", "n", "x", "b", "m", "y").coalesce(SEARCHES * parts)
     stars = stars.mapInArrow(_maybe(percent), pair)
-    roots = check(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    roots = check(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().coalesce(parts))
 
     def rows_now(again: DataFrame | None, least: int) -> DataFrame:
         """The members of all groups of more than ``least`` that are not connected yet, with
@@ -464,16 +471,16 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
         known = roots.select(F.col("node").alias("key"), "root")
         rows = placed.where(F.col("c") > least)
         rows = rows if again is None else rows.join(again, "g", "left_semi")
-        rows = rows.join(known, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        rows = rows.join(known, "key", "left").withColumn("root", F.coalesce("root", "key")).coalesce(parts)
         several = rows.groupBy("g").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a != _b").select("g")
         bad = None
         for part in checked:
             bad = part.where("not good") if bad is None else bad.unionByName(part.where("not good"))
         failed = bad.groupBy(F.col("a").alias("key")).agg(F.collect_set("b").alias("failed"))
-        rows = materialise(rows.join(several, "g", "left_semi").join(failed, "key", "left"))
+        rows = materialise(rows.join(several, "g", "left_semi").coalesce(parts).join(failed, "key", "left").coalesce(parts))
         # most signatures are settled after the first round: only those still asked for travel
-        wanted = materialise(rows.select("key").distinct())
-        return materialise(rows.join(sets.select("key", "signature").join(_small(wanted), "key", "left_semi"), "key"))
+        wanted = materialise(rows.select("key").distinct().coalesce(parts))
+        return materialise(rows.join(sets.select("key", "signature").join(_small(wanted), "key", "left_semi"), "key").coalesce(SEARCHES * parts))
 
     def within(rows: DataFrame, doubtful: int) -> DataFrame:
         spot = ["g", "band", "share"]
@@ -501,12 +508,12 @@ def links(docs: DataFrame, classes: DataFrame, found: np.ndarray, percent: int =
         again, doubtful = None, 0
         while True:
             rows = rows_now(again, least)
-            found_pairs = materialise(search(rows, doubtful).select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+            found_pairs = materialise(search(rows, doubtful).coalesce(SEARCHES * parts).select("g", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
             if found_pairs.isEmpty():
                 break
-            roots = check(found_pairs.select("a", "b").distinct())
+            roots = check(found_pairs.select("a", "b").distinct().coalesce(parts))
             # a group is settled unless a proposal of it failed
-            again = materialise(found_pairs.join(checked[-1].where("not good"), ["a", "b"]).select("g").distinct())
+            again = materialise(found_pairs.join(checked[-1].where("not good"), ["a", "b"]).select("g").distinct().coalesce(parts))
             if again.isEmpty():
                 break
             # where proposals fail, many more are checked at a time
@@ -518,12 +525,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: i
     """(doc_id, n_shingles, component_id) for every row: the size of its set and the
     smallest id among all rows reachable over links, the row itself included."""
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").cast("string").cast("binary").alias("text"))
-    rows, found = entries(docs, cells_for(docs.count(), CELLS_A_ROW, MOST_CELLS))
-    classes = materialise(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")))
+    total = docs.count()
+    parts = parts_for(docs.sparkSession, total)
+    rows, found = entries(docs, cells_for(total, CELLS_A_ROW, MOST_CELLS))
+    classes = materialise(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")).coalesce(parts))
     roots = links(docs, classes, found, percent, block)
-    joined = classes.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    joined = classes.join(roots, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root")).coalesce(parts)
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = joined.join(smallest, "root").select("key", "component_id")
-    some = rows.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    named = joined.join(smallest, "root").select("key", "component_id").coalesce(parts)
+    some = rows.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id").coalesce(parts)
     none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return some.unionByName(none)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import materialise
+from .common import materialise, parts_for
 
 ship_by_value(__name__)
 
@@ -140,16 +140,15 @@ def components(edges: DataFrame) -> DataFrame:
     per node. A round deals its edges several times, so they lie in as many partitions as
     their counted number asks for: few edges do not leave thousands of files on disk.
     """
-    context = edges.sparkSession.sparkContext
     cur = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct())
     state = None
     while True:
         mark = cur.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == state:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+                cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct().coalesce(parts))
         state = mark
-        parts = max(context.defaultParallelism, -(-mark[0] // EDGE_ROWS))
+        parts = parts_for(edges.sparkSession, mark[0], EDGE_ROWS)
         cur = cur.coalesce(parts)
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -158,7 +157,7 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u")
         cur = materialise(small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                          .unionByName(down.select("u", F.col("m").alias("v"))).coalesce(parts).distinct())
+                          .unionByName(down.select("u", F.col("m").alias("v"))).coalesce(parts).distinct().coalesce(parts))
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:

@@ -258,3 +258,28 @@ def test_jaccard_join_ships_hashed_keys_and_open_signatures(spark, monkeypatch):
     assert kinds == ["bigint"]
     # the pairs are settled by their centres: no round asks for their signatures
     assert len(asked) > 1 and max(asked[1:]) <= 25 < asked[0]
+
+
+def test_jaccard_join_deals_few_rows_in_few_tasks(spark):
+    """With many shuffle partitions, the rounds of a small table stay a few tasks each."""
+    words = [f"w{k}" for k in range(300)]
+    texts = [" ".join(words[k:k + 200]) for k in range(0, 100, 4)] + [f"lone{k} " + " ".join(f"p{k}x{i}" for i in range(40)) for k in range(5)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    asked = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in asked}
+    context.setJobGroup("few-tasks", "few rows")
+    try:
+        for k, v in asked.items():
+            spark.conf.set(k, v)
+        found = {r["doc_id"]: r["component_id"] for r in signature_join.join(table).collect()}
+        stages = [s for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds]
+        ran = [i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i is not None]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        context.setLocalProperty("spark.job.description", None)
+    assert found == {k: 0 if k < 25 else k for k in range(len(texts))}
+    # before, some 8,000 tasks of as many stages
+    assert sum(map(bool, ran)) > 50 and sum(ran) < 4000 and sum(n >= 97 for n in ran) < 25

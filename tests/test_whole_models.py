@@ -1,7 +1,7 @@
 """The registered model queries ask for the whole of their job (nothing is fitted here)."""
 
 from collections import Counter
-from threading import Barrier
+from threading import Barrier, Event
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,3 +69,25 @@ def test_folds_are_fitted_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(M, "fit_model", together)
     found = M.cross_validate(df, {"x": ["x"]}, "y", "id", [M.ModelConfig("tree")], k=2, thresholds=[0.5])
     assert {r["fold"]: r["tp"] + r["fn"] + r["tn"] + r["fp"] for r in found.collect()} == {1: 30, 2: 30}
+
+
+def test_other_fits_are_scored_while_boosting_goes_on(spark, monkeypatch):
+    rows = [(i, float(i % 7), int(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, x double, y int")
+    scored, waited, fit, score = Event(), [], M.fit_model, M.raw_scores
+
+    def fitting(rows, cfg):
+        if cfg.name == "gbt":
+            waited.append(scored.wait(120))   # the tree is fitted and scored before boosting ends
+        return fit(rows, cfg)
+
+    def scoring(fits, *args):
+        scored.set()
+        return score(fits, *args)
+
+    monkeypatch.setattr(M, "fit_model", fitting)
+    monkeypatch.setattr(M, "raw_scores", scoring)
+    grid = [M.ModelConfig("gbt", params={"maxIter": n, "maxDepth": 1}) for n in (1, 2)] + [M.ModelConfig("tree")]
+    found = M.grid_search(df, ["x"], "y", "id", grid, thresholds=[0.5], parallelism=1).collect()
+    assert sorted(r["configuration"] for r in found) == sorted(c.label for c in grid)
+    assert waited == [True]

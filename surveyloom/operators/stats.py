@@ -263,7 +263,8 @@ def digamma(n: Column) -> Column:
     """Digamma of a positive number: six steps up, then the asymptotic series."""
     n = n.cast("double")
     z = n + 6
-    late = F.log(z) - 1 / (2 * z) - 1 / (12 * z ** 2) + 1 / (120 * z ** 4) - 1 / (252 * z ** 6) + 1 / (240 * z ** 8)
+    late = (F.log(z) - 1 / (2 * z) - 1 / (12 * z ** 2) + 1 / (120 * z ** 4) - 1 / (252 * z ** 6) + 1 / (240 * z ** 8)
+            - 1 / (132 * z ** 10))
     for step in range(6):
         late = late - 1 / (n + step)
     return late

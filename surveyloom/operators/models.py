@@ -450,8 +450,9 @@ def grouped_importance(fitted: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def rf_importance(df: DataFrame, features: Sequence[str], target: str, row_id: str, trees: int = 500) -> DataFrame:
-    """Importance of every column in a class-weighted random forest."""
-    cfg = ModelConfig("forest", "weighted", {"numTrees": trees, "maxDepth": 15, "minInstancesPerNode": 3})
+    """Importance of every column in a class-weighted random forest. The node that a row has
+    reached is kept, so that no level passes its row through all trees from their roots."""
+    cfg = ModelConfig("forest", "weighted", {"numTrees": trees, "maxDepth": 15, "minInstancesPerNode": 3, "cacheNodeIds": True})
     clean = df.filter(F.col(target).isNotNull())
     fitted = make_pipeline(clean, features, target, row_id, cfg)
     return grouped_importance(fitted, clean).withColumnRenamed("influence", "rf_importance")

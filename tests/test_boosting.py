@@ -75,3 +75,17 @@ def test_unfit_rows_are_refused(spark, row):
     df = spark.createDataFrame([row], ["features", "label", "weight"])
     with pytest.raises(Exception, match="features must be finite"):
         M.fit_model(df, M.ModelConfig("gbt", "weighted", {"maxIter": 2}))
+
+
+def test_importance_forest_keeps_its_node_ids(monkeypatch, train):
+    class Asked(Exception):
+        pass
+
+    def stop(*args):
+        raise Asked(args)
+
+    monkeypatch.setattr(M, "make_pipeline", stop)
+    with pytest.raises(Asked) as caught:
+        M.rf_importance(train, ["weight"], "label", "id")
+    params = caught.value.args[0][4].params
+    assert params["cacheNodeIds"] and (params["numTrees"], params["maxDepth"]) == (500, 15)
